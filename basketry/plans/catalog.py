@@ -164,14 +164,14 @@ def q_association_rules(spark, sf):
 
 
 def q_recommend_top_item(spark, sf):
-    rules, baskets = _final_rules(spark, sf)
-    top = (
-        R.item_support(baskets.items)
-        .orderBy(F.desc("support"), "item")
+    """Recommendations for a user holding the antecedent of the strongest rule."""
+    rules, _ = _final_rules(spark, sf)
+    held = (
+        rules.orderBy(F.desc("confidence"), "antecedent", "consequent")
         .limit(1)
-        .select(F.col("item").alias("antecedent"))
+        .select("antecedent")
     )
-    return _round(R.recommend(rules, top), "confidence", "interest")
+    return _round(R.recommend(rules, held), "confidence", "interest")
 
 
 def q_recommend_all(spark, sf):
@@ -370,7 +370,7 @@ SELECT antecedent, consequent, pair_support, antecedent_support, round(confidenc
        consequent_support, round(prob_consequent, 6) AS prob_consequent, round(interest, 6) AS interest
 FROM rules""",
     "recommend_top_item": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
-, top AS (SELECT item FROM support ORDER BY support DESC, item LIMIT 1)
+, top AS (SELECT antecedent AS item FROM rules ORDER BY confidence DESC, antecedent, consequent LIMIT 1)
 SELECT DISTINCT r.consequent, round(r.confidence, 6) AS confidence, round(r.interest, 6) AS interest
 FROM rules r JOIN top ON r.antecedent = top.item
 WHERE r.consequent NOT IN (SELECT item FROM top)""",

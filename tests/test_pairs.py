@@ -1,0 +1,127 @@
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.functions.pairs import explode_pairs, polynomial_bucket
+from basketry.operators.pairs import (
+    frequent_pairs,
+    pair_support,
+    pcy_pass1,
+    pcy_pruning,
+    prepare_baskets,
+)
+from basketry.sources.tables import basket_items, purchases
+from conftest import SF_SMALL
+from helpers import brute_pair_support
+
+
+def _sets(df):
+    baskets = {}
+    for r in df.collect():
+        baskets.setdefault((r.customer_id, r.date), set()).add(r.item)
+    return list(baskets.values())
+
+
+@pytest.fixture(scope="module")
+def sparse_items(spark):
+    return basket_items(purchases(spark, SF_SMALL, items="partkey"))
+
+
+@pytest.fixture(scope="module")
+def dense_items(spark):
+    return basket_items(purchases(spark, SF_SMALL, items="name"))
+
+
+def test_polynomial_bucket_value(spark):
+    df = spark.createDataFrame([("whole milk", "yogurt")], "a string, b string")
+    assert df.select(polynomial_bucket("a", "b", 100).alias("h")).first().h == 30
+
+
+def test_explode_pairs_counts(spark):
+    df = spark.createDataFrame([(["a", "b", "c", "d"],), (["x"],), ([],)], "items array<string>")
+    got = sorted(tuple(r) for r in explode_pairs(df).collect())
+    assert got == [("a", "b"), ("a", "c"), ("a", "d"), ("b", "c"), ("b", "d"), ("c", "d")]
+
+
+@pytest.mark.parametrize("max_items", [2, 3, 1000])
+def test_pair_support_matches_brute_force(spark, dense_items, max_items):
+    bs = prepare_baskets(dense_items, max_items=max_items)
+    if max_items < 5:
+        assert bs.heavy is not None  # the chunked path is exercised
+    got = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
+    assert got == brute_pair_support(_sets(dense_items))
+
+
+def test_identical_baskets_are_weighted(spark):
+    rows = [(c, "2020-01-01", i) for c in range(50) for i in ("a", "b", "c")] + [(99, "2020-01-01", "a")]
+    df = spark.createDataFrame(rows, "customer_id long, date string, item string")
+    got = {(r.item_a, r.item_b): r.support for r in pair_support(prepare_baskets(df)).collect()}
+    assert got == {("a", "b"): 50, ("a", "c"): 50, ("b", "c"): 50}
+
+
+def test_one_hot_basket_is_chunked(spark):
+    # one basket holds most rows: it is cut into chunks, pairs stay exact
+    rows = [(1, "d", f"i{k:03d}") for k in range(120)] + [(2, "d", "i000"), (2, "d", "i001")]
+    df = spark.createDataFrame(rows, "customer_id long, date string, item string")
+    bs = prepare_baskets(df, max_items=16)
+    assert bs.heavy.count() == 1
+    got = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
+    want = brute_pair_support([{f"i{k:03d}" for k in range(120)}, {"i000", "i001"}])
+    assert got == want and len(got) == 120 * 119 // 2
+
+
+@pytest.mark.parametrize("num_buckets,hash_kind", [(None, "xxhash64"), (100, "polynomial"),
+                                                    (65_536, "xxhash64"), (1_000_003, "polynomial")])
+def test_pcy_equals_plain_count(spark, sparse_items, num_buckets, hash_kind):
+    bs = prepare_baskets(sparse_items)
+    got = {(r.item_a, r.item_b): r.support
+           for r in frequent_pairs(bs, 2, num_buckets=num_buckets, hash_kind=hash_kind).collect()}
+    want = {k: v for k, v in brute_pair_support(_sets(sparse_items)).items() if v >= 2}
+    assert got == want
+
+
+def test_pcy_chunked_equals_plain(spark, dense_items):
+    got = {(r.item_a, r.item_b): r.support
+           for r in frequent_pairs(dense_items, 3, num_buckets=101, max_items=3).collect()}
+    want = {k: v for k, v in brute_pair_support(_sets(dense_items)).items() if v >= 3}
+    assert got == want
+
+
+def test_pass1_buckets_and_pruning(spark, sparse_items):
+    bs = prepare_baskets(sparse_items)
+    items, buckets = pcy_pass1(bs, 2, 1_000_003, "polynomial")
+    supports = brute_pair_support(_sets(sparse_items))
+    # bucket counts equal the sum of the supports of the pairs hashed into them
+    spark_pairs = spark.createDataFrame([(a, b, n) for (a, b), n in supports.items()],
+                                        "a string, b string, n long")
+    want = (spark_pairs.select(polynomial_bucket("a", "b", 1_000_003).alias("bucket"), "n")
+            .groupBy("bucket").agg(F.sum("n").alias("count")).where("count >= 2"))
+    assert sorted(tuple(r) for r in buckets.collect()) == sorted(tuple(r) for r in want.collect())
+    report = pcy_pruning(bs, 2, 1_000_003).first()
+    assert report.all_pairs == len(supports)
+    assert report.all_pairs >= report.item_candidates >= report.bucket_candidates
+    assert report.bucket_candidates >= sum(1 for v in supports.values() if v >= 2)
+
+
+def test_support_bounded_by_item_support(spark, dense_items):
+    bs = prepare_baskets(dense_items)
+    items = {r.item: r.n for r in bs.items.groupBy("item").agg(F.count("*").alias("n")).collect()}
+    for r in pair_support(bs).collect():
+        assert r.support <= min(items[r.item_a], items[r.item_b])
+
+
+def test_matches_fpgrowth(spark, sparse_items):
+    from pyspark.ml.fpm import FPGrowth
+
+    baskets = sparse_items.groupBy("customer_id", "date").agg(F.collect_set("item").alias("items"))
+    n = baskets.count()
+    model = FPGrowth(itemsCol="items", minSupport=2 / n - 1e-12, minConfidence=1.0).fit(baskets)
+    fp = {tuple(sorted(r.items)): r.freq for r in model.freqItemsets.where(F.size("items") == 2).collect()}
+    got = {(r.item_a, r.item_b): r.support for r in frequent_pairs(sparse_items, 2).collect()}
+    assert got == fp
+
+
+def test_null_keys_and_items_dropped(spark):
+    rows = [(1, "d", "a"), (1, "d", "b"), (None, "d", "a"), (None, "d", "b"), (2, "d", None), (2, "d", "a")]
+    df = spark.createDataFrame(rows, "customer_id long, date string, item string")
+    got = {(r.item_a, r.item_b): r.support for r in pair_support(prepare_baskets(df)).collect()}
+    assert got == {("a", "b"): 1}
