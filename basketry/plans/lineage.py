@@ -9,6 +9,7 @@ session has none and Spark runs in local mode, as in tests.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +34,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Used where a plan reads the same derived data in several passes (the two
     passes of PCY read the baskets twice, as the reference reads its basket
-    file twice). The result carries exact size statistics.
+    file twice). One job writes it; later reads are column-pruned scans with
+    exact size statistics, and the data outlives any executor.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(folder)
+    return spark.read.parquet(folder)

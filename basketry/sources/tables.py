@@ -69,6 +69,17 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the session has cores.
+
+    For inputs whose per-row work is heavy (tokenising whole documents). A
+    large input already has at least as many splits as cores and is
+    returned unchanged, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id bigint, text string)``."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
