@@ -24,6 +24,8 @@ from basketry.operators.pairs import (
     prepare_baskets,
 )
 from basketry.operators.rules import (
+    RuleGenerator,
+    association_rules,
     basket_total,
     generate_rules,
     item_support,
@@ -36,6 +38,8 @@ from basketry.operators.text import word_count
 
 __all__ = [
     "BasketSet",
+    "RuleGenerator",
+    "association_rules",
     "basket_total",
     "baskets_per_month",
     "degree_count",
