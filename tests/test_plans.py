@@ -33,3 +33,21 @@ def test_purchases_scan_is_pruned(spark):
 def test_top_pair_limits_before_shuffle(spark):
     plan = _plan(top_pair_per_month(purchases(spark, SF_SMALL)))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_no_cross_join_in_any_plan(spark):
+    for name, fn in QUERIES.items():
+        plan = _plan(fn(spark, SF_SMALL))
+        for marker in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert marker not in plan, (name, marker)
+
+
+def test_heavy_basket_plan_has_no_cross_join(spark):
+    from basketry.operators.pairs import pair_support, prepare_baskets
+    from basketry.sources.tables import basket_items
+
+    bs = prepare_baskets(basket_items(purchases(spark, SF_SMALL)), max_items=3)
+    assert bs.heavy is not None
+    plan = _plan(pair_support(bs))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BroadcastHashJoin" in plan  # the checked heavy list is broadcast

@@ -8,15 +8,17 @@ from basketry.streaming import incremental_word_count
 def test_incremental_word_count_equals_batch(spark):
     src = tempfile.mkdtemp(prefix="basketry-stream-src-")
     ckpt = tempfile.mkdtemp(prefix="basketry-stream-ckpt-")
+    out = os.path.join(tempfile.mkdtemp(prefix="basketry-stream-out-"), "counts")
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("a b a\n\tc\n")
-    with open(os.path.join(src, "b.txt"), "w") as f:
-        f.write("b  b\fa\n")
-    q = incremental_word_count(spark.readStream.text(src), ckpt, "wc_stream")
+    q = incremental_word_count(spark.readStream.text(src), ckpt, out)
     try:
         q.processAllAvailable()
-        got = {r.word: r.n for r in spark.sql("SELECT * FROM wc_stream").collect()}
+        with open(os.path.join(src, "b.txt"), "w") as f:
+            f.write("b  b\fa\n")
+        q.processAllAvailable()
     finally:
         q.stop()
+    got = {r.word: r.n for r in spark.read.parquet(out).collect()}
     want = {r.word: r.n for r in word_count(spark.read.text(src)).collect()}
     assert got == want == {"a": 3, "b": 3, "c": 1}
