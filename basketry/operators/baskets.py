@@ -97,10 +97,15 @@ def purchase_irregularity(purchases: DataFrame, single_day: str = "zero") -> Dat
 
 def most_irregular_customers(purchases: DataFrame, k: int = 1, single_day: str = "null") -> DataFrame:
     """The ``k`` customers with the largest ``stddev_items`` (nulls last,
-    ties by ascending ``customer_id``)."""
+    ties by ascending ``customer_id``).
+
+    Ranking uses the deviation rounded to 9 decimals: two customers with the
+    same daily counts in a different order can differ in the last bits of a
+    floating-point sum, and that noise must not decide the tie.
+    """
     return (
         purchase_irregularity(purchases, single_day)
-        .orderBy(F.desc_nulls_last("stddev_items"), F.asc("customer_id"))
+        .orderBy(F.desc_nulls_last(F.round("stddev_items", 9)), F.asc("customer_id"))
         .limit(k)
     )
 

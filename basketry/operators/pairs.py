@@ -39,8 +39,11 @@ from basketry.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from basketry.plans.lineage import materialize
 
 DEFAULT_KEYS = ("customer_id", "date")
-# Largest basket expanded inside one task; bigger baskets are chunked.
-DEFAULT_MAX_ITEMS = 1000
+# Largest basket expanded as one array (at most 19,900 pairs); bigger
+# baskets are chunked and spread.
+DEFAULT_MAX_ITEMS = 200
+# Heavy-basket work is spread over at most this many tasks per core.
+TASKS_PER_CORE = 16
 # Bucket ids are broadcast for the PCY bitmap only up to this many buckets.
 MAX_BROADCAST_BUCKETS = 4_000_000
 
@@ -60,6 +63,8 @@ class BasketSet:
     attrs: tuple[str, ...]
     max_items: int
     heavy: DataFrame | None
+    heavy_chunks: int = 0  # chunks of all heavy baskets
+    heavy_cells: int = 0  # (lo, hi) chunk pairs of all heavy baskets
 
     @property
     def columns(self) -> list[str]:
@@ -95,7 +100,23 @@ def prepare_baskets(
         *keys, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("n_chunks")
     )
     heavy, rows = broadcast_if_small(heavy, broadcast_rows)
-    return BasketSet(items, keys, attrs, max_items, None if rows == 0 else heavy)
+    if rows == 0:
+        return BasketSet(items, keys, attrs, max_items, None)
+    cells = F.col("n_chunks").cast("bigint") * (F.col("n_chunks") - 1) / 2
+    sizes = heavy.agg(F.sum("n_chunks").alias("chunks"), F.sum(cells).cast("bigint").alias("cells")).first()
+    return BasketSet(items, keys, attrs, max_items, heavy, int(sizes.chunks), int(sizes.cells))
+
+
+def _spread(df: DataFrame, units: int) -> DataFrame:
+    """Round-robin ``df`` over one task per unit of work (capped by cores).
+
+    Rows here are small (item arrays) but each expands to up to
+    ``max_items`` squared pairs, so partitions must be sized by rows, not by
+    bytes: an explicit partition count keeps adaptive execution from
+    coalescing many such rows into one task.
+    """
+    cap = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+    return df.repartition(max(1, min(units, cap)))
 
 
 def chunk_baskets(baskets: BasketSet, items: DataFrame | None = None) -> DataFrame:
@@ -144,7 +165,7 @@ def pair_occurrences(
 
     one = F.lit(1).cast("bigint").alias("weight")
     big = chunks.where(F.col("n_chunks") > 1)
-    within = explode_pairs(big.where(F.size("items") >= 2), keep=group).select(
+    within = explode_pairs(_spread(big.where(F.size("items") >= 2), baskets.heavy_chunks), keep=group).select(
         *group, "item_a", "item_b", one
     )
     cols = baskets.columns
@@ -160,7 +181,7 @@ def pair_occurrences(
         F.col("chunk").alias("hi"),
         F.col("items").alias("items_hi"),
     )
-    grid = lower.join(upper, [*cols, "lo", "hi"])
+    grid = _spread(lower.join(upper, [*cols, "lo", "hi"]), baskets.heavy_cells)
     across = explode_cross_pairs(grid, "items_lo", "items_hi", keep=group).select(
         *group, "item_a", "item_b", one
     )

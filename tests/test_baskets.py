@@ -114,3 +114,14 @@ def test_purchases_fixture_shape(spark):
     n = pq.read_metadata(f"{SF_SMALL}/lineitem.parquet").num_rows
     assert p.count() == n  # every line item has an order and a part
     assert [f.name for f in p.schema.fields] == ["customer_id", "date", "product", "year", "month", "day"]
+
+
+def test_irregularity_ties_ignore_float_noise(spark):
+    # same daily counts in a different order: equal deviations, tie broken by id
+    rows = []
+    for cust, counts in ((7, [1, 2, 9, 4]), (3, [9, 4, 2, 1]), (5, [4, 1, 9, 2])):
+        for day, n in enumerate(counts, start=1):
+            rows += [(cust, f"2020-01-{day:02d}", f"p{i}") for i in range(n)]
+    df = purchases_frame(spark, rows)
+    ranked = [r.customer_id for r in B.most_irregular_customers(df, 3, "zero").collect()]
+    assert ranked == [3, 5, 7]
