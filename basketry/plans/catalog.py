@@ -149,13 +149,13 @@ def q_candidate_rules(spark, sf):
 
 def q_rules_with_confidence(spark, sf):
     baskets, pairs = _rules_inputs(spark, sf)
-    support = R.item_support(baskets.items)
+    support = R.item_support(baskets.items, distinct_rows=True)
     return _round(R.with_confidence(R.generate_rules(pairs), support, CONFIDENCE), "confidence")
 
 
 def _final_rules(spark, sf):
     baskets, pairs = _rules_inputs(spark, sf)
-    return R.association_rules(pairs, baskets.items, CONFIDENCE, INTEREST), baskets
+    return R.association_rules(pairs, baskets.items, CONFIDENCE, INTEREST, distinct_rows=True), baskets
 
 
 def q_association_rules(spark, sf):
