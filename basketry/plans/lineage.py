@@ -44,4 +44,4 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(folder)
-    return spark.read.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
