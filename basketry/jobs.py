@@ -6,7 +6,8 @@ One function per task of the reference, usable from ``spark-submit``:
     spark-submit -m basketry.jobs degrees     <edge lines in> <out>
     spark-submit -m basketry.jobs basket-stats <purchases csv> <out dir>
     spark-submit -m basketry.jobs basket-lines <purchases csv> <out>
-    spark-submit -m basketry.jobs pcy         <basket lines in> <out> [--support 3] [--buckets 100]
+    spark-submit -m basketry.jobs pcy         <basket lines in> <out> [--support 3] [--buckets 100] [--pass1 <out>]
+    spark-submit -m basketry.jobs generate-edges <out> [--vertices 100000] [--edges 1000000000] [--seed 42]
     spark-submit -m basketry.jobs rules       <purchases csv> <pair file> <out> [--confidence] [--interest]
 
 Every job writes with executors; nothing is collected to the driver.
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from basketry.operators import baskets as B
 from basketry.operators import rules as R
-from basketry.operators.graph import degree_count
-from basketry.operators.pairs import frequent_pairs, prepare_baskets
+from basketry.operators.graph import degree_count, synthetic_edges
+from basketry.operators.pairs import frequent_pairs, pcy_pass1, pcy_pass2, prepare_baskets
 from basketry.operators.text import word_count
 from basketry.sources import formats, sinks
 
@@ -67,9 +68,22 @@ def basket_line_items(spark: SparkSession, source: str) -> DataFrame:
 
 
 def pcy_job(spark: SparkSession, source: str, target: str, min_support: int = 3,
-            num_buckets: int | None = 100, hash_kind: str = "polynomial") -> None:
+            num_buckets: int | None = 100, hash_kind: str = "polynomial", pass1_target: str | None = None) -> None:
+    """Frequent pairs of basket lines; with ``pass1_target`` also the pass-1
+    frequent items and buckets as tagged key/value lines."""
     baskets = prepare_baskets(basket_line_items(spark, source), keys=("basket_id",))
-    sinks.write_pairs(frequent_pairs(baskets, min_support, num_buckets, hash_kind), target)
+    if pass1_target is None or num_buckets is None:
+        sinks.write_pairs(frequent_pairs(baskets, min_support, num_buckets, hash_kind), target)
+        return
+    items, buckets = pcy_pass1(baskets, min_support, num_buckets, hash_kind)
+    sinks.pass1_lines(items, buckets).write.mode("errorifexists").text(pass1_target)
+    sinks.write_pairs(pcy_pass2(baskets, items, buckets, min_support, num_buckets, hash_kind), target)
+
+
+def generate_edges_job(spark: SparkSession, target: str, num_vertices: int = 100_000,
+                       num_edges: int = 1_000_000_000, seed: int = 42) -> None:
+    """Synthetic edge list as ``src dst`` text lines, written in parallel."""
+    sinks.edge_lines(synthetic_edges(spark, num_vertices, num_edges, seed)).write.mode("errorifexists").text(target)
 
 
 def rules_job(spark: SparkSession, purchases_csv: str, pairs_path: str, target: str,
@@ -92,6 +106,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("target")
     p.add_argument("--support", type=int, default=3)
     p.add_argument("--buckets", type=int, default=100)
+    p.add_argument("--pass1", default=None)
+    p = sub.add_parser("generate-edges")
+    p.add_argument("target")
+    p.add_argument("--vertices", type=int, default=100_000)
+    p.add_argument("--edges", type=int, default=1_000_000_000)
+    p.add_argument("--seed", type=int, default=42)
     p = sub.add_parser("rules")
     p.add_argument("purchases")
     p.add_argument("pairs")
@@ -110,7 +130,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "basket-lines":
         basket_lines_job(spark, args.source, args.target)
     elif args.job == "pcy":
-        pcy_job(spark, args.source, args.target, args.support, args.buckets)
+        pcy_job(spark, args.source, args.target, args.support, args.buckets, pass1_target=args.pass1)
+    elif args.job == "generate-edges":
+        generate_edges_job(spark, args.target, args.vertices, args.edges, args.seed)
     elif args.job == "rules":
         rules_job(spark, args.purchases, args.pairs, args.target, args.confidence, args.interest)
 

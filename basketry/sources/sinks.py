@@ -52,3 +52,25 @@ def write_pairs(pairs: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def write_basket_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Basket lines from ``to_basket_lines`` as a text folder."""
     lines.select(F.col("line").alias("value")).write.mode(mode).text(path)
+
+
+# Key prefixes of the reference's PCY pass-1 output.
+ITEM_PREFIX = "ITEM_"
+BUCKET_PREFIX = "BUCKET_"
+
+
+def pass1_lines(items: DataFrame, buckets: DataFrame) -> DataFrame:
+    """PCY pass-1 result as ``ITEM_<item><TAB>n`` and ``BUCKET_<id><TAB>n`` lines."""
+    item_lines = items.select(
+        F.concat(F.lit(ITEM_PREFIX), F.col("item"), F.lit("\t"), F.col("support").cast("string")).alias("value")
+    )
+    bucket_lines = buckets.select(
+        F.concat(F.lit(BUCKET_PREFIX), F.col("bucket").cast("string"), F.lit("\t"),
+                 F.col("count").cast("string")).alias("value")
+    )
+    return item_lines.unionByName(bucket_lines)
+
+
+def edge_lines(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``src dst`` lines, the edge-list text format."""
+    return edges.select(F.concat_ws(" ", F.col(src).cast("string"), F.col(dst).cast("string")).alias("value"))

@@ -83,3 +83,25 @@ def test_rule_generator_steps(spark):
     recs = gen.transform([top.antecedent]).collect()
     assert top.consequent in {r.consequent for r in recs}
     assert gen.transform([]).count() == 0
+
+
+def test_pcy_job_pass1_output(spark, work):
+    jobs.basket_lines_job(spark, f"{work}/baskets.csv", f"{work}/lines2")
+    jobs.pcy_job(spark, f"{work}/lines2", f"{work}/pairs2", min_support=3, num_buckets=100,
+                 pass1_target=f"{work}/pass1")
+    lines = [r.value for r in spark.read.text(f"{work}/pass1").collect()]
+    items = [v for v in lines if v.startswith("ITEM_")]
+    buckets = [v for v in lines if v.startswith("BUCKET_")]
+    assert items and buckets and len(items) + len(buckets) == len(lines)
+    assert all(int(v.split("\t")[1]) >= 3 for v in lines)
+    assert {int(v.split("\t")[0][len("BUCKET_"):]) for v in buckets} <= set(range(100))
+    assert sorted(tuple(r) for r in formats.read_pairs(spark, f"{work}/pairs2").collect()) == sorted(
+        tuple(r) for r in formats.read_pairs(spark, f"{work}/pairs").collect()
+    )
+
+
+def test_generate_edges_job(spark, work):
+    jobs.generate_edges_job(spark, f"{work}/gen", num_vertices=20, num_edges=5000, seed=42)
+    edges = formats.parse_edge_lines(spark.read.text(f"{work}/gen"))
+    assert edges.count() == 5000
+    assert edges.where("src = dst").count() == 0
