@@ -1,14 +1,16 @@
 """Batch jobs: read a source, run an operator, write the result.
 
-One function per task of the reference, usable from ``spark-submit``:
-
-    spark-submit -m basketry.jobs word-count  <text in> <out>
-    spark-submit -m basketry.jobs degrees     <edge lines in> <out>
-    spark-submit -m basketry.jobs basket-stats <purchases csv> <out dir>
-    spark-submit -m basketry.jobs basket-lines <purchases csv> <out>
-    spark-submit -m basketry.jobs pcy         <basket lines in> <out> [--support 3] [--buckets 100] [--pass1 <out>]
-    spark-submit -m basketry.jobs generate-edges <out> [--vertices 100000] [--edges 1000000000] [--seed 42]
-    spark-submit -m basketry.jobs rules       <purchases csv> <pair file> <out> [--confidence] [--interest]
+One function per task of the reference; from the command line
+(``python -m basketry.jobs ...``, or ``spark-submit run_job.py ...`` with
+the package shipped by ``--py-files``):
+
+    word-count     <text in> <out>
+    degrees        <edge lines in> <out>
+    generate-edges <out> [--vertices 100000] [--edges 1000000000] [--seed 42]
+    basket-stats   <purchases csv> <out dir>
+    basket-lines   <purchases csv> <out>
+    pcy            <basket lines in> <out> [--support 3] [--buckets 100] [--pass1 <out>]
+    rules          <purchases csv> <pair file> <out> [--confidence 0.05] [--interest 0.02]
 
 Every job writes with executors; nothing is collected to the driver.
 """

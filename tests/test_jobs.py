@@ -105,3 +105,10 @@ def test_generate_edges_job(spark, work):
     edges = formats.parse_edge_lines(spark.read.text(f"{work}/gen"))
     assert edges.count() == 5000
     assert edges.where("src = dst").count() == 0
+
+
+def test_command_line(spark, work):
+    jobs.main(["word-count", f"{work}/text", f"{work}/wc_cli"])
+    assert spark.read.text(f"{work}/wc_cli").count() == spark.read.text(f"{work}/wc").count()
+    jobs.main(["generate-edges", f"{work}/gen_cli", "--vertices", "5", "--edges", "100"])
+    assert spark.read.text(f"{work}/gen_cli").count() == 100
