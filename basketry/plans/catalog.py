@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from basketry.operators import baskets as B
 from basketry.operators import rules as R
 from basketry.operators.graph import degree_count
-from basketry.operators.pairs import frequent_pairs, pcy_pass1, prepare_baskets
+from basketry.operators.pairs import frequent_pairs, pcy_pass1, pcy_pruning, prepare_baskets
 from basketry.operators.text import word_count
 from basketry.sources import formats, sinks, tables
 
@@ -131,6 +131,10 @@ def q_frequent_pairs_pcy(spark, sf):
     return frequent_pairs(_sparse_baskets(spark, sf), SPARSE_SUPPORT, num_buckets=SPARSE_BUCKETS)
 
 
+def q_pcy_pruning(spark, sf):
+    return pcy_pruning(_sparse_baskets(spark, sf), BUCKET_SUPPORT, SPARSE_BUCKETS, "polynomial")
+
+
 def q_pair_lines_roundtrip(spark, sf):
     pairs = frequent_pairs(_dense_baskets(spark, sf), SUPPORT)
     return formats.parse_pair_lines(sinks.pair_lines(pairs))
@@ -203,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frequent_buckets": q_frequent_buckets,
     "frequent_pairs": q_frequent_pairs,
     "frequent_pairs_pcy": q_frequent_pairs_pcy,
+    "pcy_pruning": q_pcy_pruning,
     "pair_lines_roundtrip": q_pair_lines_roundtrip,
     "candidate_rules": q_candidate_rules,
     "rules_with_confidence": q_rules_with_confidence,
@@ -358,6 +363,22 @@ FROM pairs GROUP BY 1 HAVING sum(support) >= {BUCKET_SUPPORT}""",
 SELECT item_a, item_b, support FROM pairs WHERE support >= {SUPPORT}""",
     "frequent_pairs_pcy": _with(_SPARSE, _BI, _PAIRS) + f"""
 SELECT item_a, item_b, support FROM pairs WHERE support >= {SPARSE_SUPPORT}""",
+    "pcy_pruning": _with(_SPARSE, _BI, _PAIRS, _SUPPORT) + f"""
+, hashed AS (
+  SELECT item_a, item_b, support,
+         CAST(list_reduce(
+           list_transform(string_split(item_a || '|' || item_b, ''), lambda c: CAST(unicode(c) AS BIGINT)),
+           lambda h, c: (h * 31 + c) % {SPARSE_BUCKETS}, CAST(0 AS BIGINT)) AS INTEGER) AS bucket
+  FROM pairs)
+, fb AS (SELECT bucket FROM hashed GROUP BY bucket HAVING sum(support) >= {BUCKET_SUPPORT})
+, fi AS (SELECT item FROM support WHERE support >= {BUCKET_SUPPORT})
+, kept AS (
+  SELECT h.* FROM hashed h
+  WHERE h.item_a IN (SELECT item FROM fi) AND h.item_b IN (SELECT item FROM fi))
+SELECT (SELECT count(*) FROM pairs) AS all_pairs,
+       (SELECT count(*) FROM kept) AS item_candidates,
+       (SELECT count(*) FROM kept WHERE bucket IN (SELECT bucket FROM fb)) AS bucket_candidates,
+       (SELECT count(*) FROM fb) AS frequent_buckets""",
     "pair_lines_roundtrip": _with(_DENSE, _BI, _PAIRS) + f"""
 SELECT item_a, item_b, support FROM pairs WHERE support >= {SUPPORT}""",
     "candidate_rules": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
