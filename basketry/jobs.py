@@ -74,12 +74,15 @@ def pcy_job(spark: SparkSession, source: str, target: str, min_support: int = 3,
     """Frequent pairs of basket lines; with ``pass1_target`` also the pass-1
     frequent items and buckets as tagged key/value lines."""
     baskets = prepare_baskets(basket_line_items(spark, source), keys=("basket_id",))
-    if pass1_target is None or num_buckets is None:
-        sinks.write_pairs(frequent_pairs(baskets, min_support, num_buckets, hash_kind), target)
-        return
-    items, buckets = pcy_pass1(baskets, min_support, num_buckets, hash_kind)
-    sinks.pass1_lines(items, buckets).write.mode("errorifexists").text(pass1_target)
-    sinks.write_pairs(pcy_pass2(baskets, items, buckets, min_support, num_buckets, hash_kind), target)
+    try:
+        if pass1_target is None or num_buckets is None:
+            sinks.write_pairs(frequent_pairs(baskets, min_support, num_buckets, hash_kind), target)
+            return
+        items, buckets = pcy_pass1(baskets, min_support, num_buckets, hash_kind)
+        sinks.pass1_lines(items, buckets).write.mode("errorifexists").text(pass1_target)
+        sinks.write_pairs(pcy_pass2(baskets, items, buckets, min_support, num_buckets, hash_kind), target)
+    finally:
+        baskets.release()  # outputs are written; the materialised baskets are no longer needed
 
 
 def generate_edges_job(spark: SparkSession, target: str, num_vertices: int = 100_000,

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.pairs import explode_cross_pairs, explode_pairs, pair_bucket
 from basketry.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-from basketry.plans.lineage import materialize
+from basketry.plans.lineage import materialize_with_folder, remove_folder
 
 DEFAULT_KEYS = ("customer_id", "date")
 # Largest basket expanded as one array (at most 19,900 pairs); bigger
@@ -65,11 +65,19 @@ class BasketSet:
     heavy: DataFrame | None
     heavy_chunks: int = 0  # chunks of all heavy baskets
     heavy_cells: int = 0  # (lo, hi) chunk pairs of all heavy baskets
+    folder: str | None = None  # where ``items`` was materialised
 
     @property
     def columns(self) -> list[str]:
         return [*self.keys, *self.attrs]
 
+    def release(self) -> bool:
+        """Delete the materialised basket items once every result built on
+        them has been computed or written. Returns whether a folder was removed."""
+        if self.folder is None:
+            return False
+        return remove_folder(self.items.sparkSession, self.folder)
+
 
 def prepare_baskets(
     basket_items: DataFrame,
@@ -93,18 +101,19 @@ def prepare_baskets(
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     items = basket_items.where(not_null).select(*cols, F.col(item).alias("item")).distinct()
+    folder = None
     if materialize_items:
-        items = materialize(items)
+        items, folder = materialize_with_folder(items)
     sizes = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     heavy = sizes.where(F.col("_n") > max_items).select(
         *keys, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("n_chunks")
     )
     heavy, rows = broadcast_if_small(heavy, broadcast_rows)
     if rows == 0:
-        return BasketSet(items, keys, attrs, max_items, None)
+        return BasketSet(items, keys, attrs, max_items, None, folder=folder)
     cells = F.col("n_chunks").cast("bigint") * (F.col("n_chunks") - 1) / 2
     sizes = heavy.agg(F.sum("n_chunks").alias("chunks"), F.sum(cells).cast("bigint").alias("cells")).first()
-    return BasketSet(items, keys, attrs, max_items, heavy, int(sizes.chunks), int(sizes.cells))
+    return BasketSet(items, keys, attrs, max_items, heavy, int(sizes.chunks), int(sizes.cells), folder)
 
 
 def _spread(df: DataFrame, units: int) -> DataFrame:

@@ -41,7 +41,20 @@ def materialize(df: DataFrame) -> DataFrame:
     file twice). One job writes it; later reads are column-pruned scans with
     exact size statistics, and the data outlives any executor.
     """
+    return materialize_with_folder(df)[0]
+
+
+def materialize_with_folder(df: DataFrame) -> tuple[DataFrame, str]:
+    """``materialize`` that also returns the folder written, for ``remove_folder``."""
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder written by ``materialize_with_folder`` (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))

@@ -125,3 +125,16 @@ def test_null_keys_and_items_dropped(spark):
     df = spark.createDataFrame(rows, "customer_id long, date string, item string")
     got = {(r.item_a, r.item_b): r.support for r in pair_support(prepare_baskets(df)).collect()}
     assert got == {("a", "b"): 1}
+
+
+def test_release_removes_materialized_items(spark, dense_items):
+    import os
+
+    bs = prepare_baskets(dense_items)
+    assert bs.folder is not None
+    local = bs.folder.replace("file:", "", 1)
+    assert os.path.isdir(local)
+    total = pair_support(bs).count()
+    assert total > 0
+    assert bs.release() and not os.path.exists(local)
+    assert prepare_baskets(dense_items, materialize_items=False).release() is False
