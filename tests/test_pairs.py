@@ -138,3 +138,14 @@ def test_release_removes_materialized_items(spark, dense_items):
     assert total > 0
     assert bs.release() and not os.path.exists(local)
     assert prepare_baskets(dense_items, materialize_items=False).release() is False
+
+
+def test_items_with_pipe_and_comma(spark):
+    from basketry.operators.rules import association_rules
+
+    rows = [(1, "d", "a|b"), (1, "d", "c,d"), (2, "d", "a|b"), (2, "d", "c,d"), (3, "d", "a|b")]
+    df = spark.createDataFrame(rows, "customer_id long, date string, item string")
+    pairs = frequent_pairs(df, 2)
+    assert [tuple(r) for r in pairs.collect()] == [("a|b", "c,d", 2)]
+    rules = {(r.antecedent, r.consequent): r.confidence for r in association_rules(pairs, df, 0.0, 0.0).collect()}
+    assert rules == {("a|b", "c,d"): 2 / 3, ("c,d", "a|b"): 1.0}
