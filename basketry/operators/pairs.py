@@ -172,11 +172,16 @@ def pair_occurrences(
     if baskets.heavy is None:
         return pairs
 
-    one = F.lit(1).cast("bigint").alias("weight")
+    # Pairs inside a chunk depend only on the chunk's items, and pairs across
+    # two chunks only on the two item arrays: identical arrays (copies of a
+    # heavy basket) are counted once with a weight, then spread over tasks.
     big = chunks.where(F.col("n_chunks") > 1)
-    within = explode_pairs(_spread(big.where(F.size("items") >= 2), baskets.heavy_chunks), keep=group).select(
-        *group, "item_a", "item_b", one
+    inside = (
+        big.where(F.size("items") >= 2)
+        .groupBy(*group, "items")
+        .agg(F.count(F.lit(1)).alias("weight"))
     )
+    within = explode_pairs(_spread(inside, baskets.heavy_chunks), keep=[*group, "weight"])
     cols = baskets.columns
     lower = big.where(F.col("chunk") < F.col("n_chunks") - 1).select(
         *cols,
@@ -190,10 +195,13 @@ def pair_occurrences(
         F.col("chunk").alias("hi"),
         F.col("items").alias("items_hi"),
     )
-    grid = _spread(lower.join(upper, [*cols, "lo", "hi"]), baskets.heavy_cells)
-    across = explode_cross_pairs(grid, "items_lo", "items_hi", keep=group).select(
-        *group, "item_a", "item_b", one
+    grid = (
+        lower.join(upper, [*cols, "lo", "hi"])
+        .groupBy(*group, "items_lo", "items_hi")
+        .agg(F.count(F.lit(1)).alias("weight"))
     )
+    across = explode_cross_pairs(_spread(grid, baskets.heavy_cells), "items_lo", "items_hi",
+                                 keep=[*group, "weight"])
     return pairs.unionByName(within).unionByName(across)
 
 

@@ -149,3 +149,19 @@ def test_items_with_pipe_and_comma(spark):
     assert [tuple(r) for r in pairs.collect()] == [("a|b", "c,d", 2)]
     rules = {(r.antecedent, r.consequent): r.confidence for r in association_rules(pairs, df, 0.0, 0.0).collect()}
     assert rules == {("a|b", "c,d"): 2 / 3, ("c,d", "a|b"): 1.0}
+
+
+def test_heavy_basket_copies_collapse(spark):
+    items = [f"i{k:02d}" for k in range(30)]
+    rows = [(c, "d", i) for c in range(5) for i in items] + [(9, "d", "i00"), (9, "d", "i01")]
+    df = spark.createDataFrame(rows, "customer_id long, date string, item string")
+    bs = prepare_baskets(df, max_items=8)
+    assert bs.heavy.count() == 5
+    from basketry.operators.pairs import pair_occurrences
+
+    occ = pair_occurrences(bs)
+    # five copies of one heavy basket: every pair row carries weight 5 (or 6 with basket 9)
+    assert occ.count() == 30 * 29 // 2 + 1
+    got = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
+    want = brute_pair_support([set(items)] * 5 + [{"i00", "i01"}])
+    assert got == want
