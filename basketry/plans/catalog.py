@@ -22,6 +22,7 @@ from basketry.operators import rules as R
 from basketry.operators.graph import degree_count
 from basketry.operators.pairs import frequent_pairs, pcy_pass1, pcy_pruning, prepare_baskets
 from basketry.operators.text import word_count
+from basketry.plans.lineage import scratch_folder
 from basketry.sources import formats, sinks, tables
 
 # The reference's PCY support threshold and rule thresholds.
@@ -60,6 +61,13 @@ def q_edge_lines_degree_count(spark, sf):
     return degree_count(formats.parse_edge_lines(lines))
 
 
+def q_text_file_word_count(spark, sf):
+    """Documents written as a text file, read back line by line (S1 + text sink)."""
+    folder = scratch_folder(spark)
+    tables.documents_text(spark, sf).where(F.col("text").isNotNull()).select("text").write.text(folder)
+    return word_count(formats.read_text_lines(spark, folder))
+
+
 def q_top_customers(spark, sf):
     return B.top_customers_by_distinct_products(_dense(spark, sf), TOP_K)
 
@@ -68,6 +76,20 @@ def q_baskets_per_month(spark, sf):
     return B.baskets_per_month(_dense(spark, sf))
 
 
+def q_csv_baskets_per_month(spark, sf):
+    """Purchases written as the reference's CSV (header, dd/MM/yyyy dates) and
+    read back with the typed CSV reader (S3-S5 + CSV sink), then f2."""
+    folder = scratch_folder(spark)
+    csv = _dense(spark, sf).select(
+        F.col("customer_id").alias("Member_number"),
+        F.date_format("date", "dd/MM/yyyy").alias("Date"),
+        F.col("product").alias("itemDescription"),
+        "year", "month", "day",
+    )
+    sinks.write_csv(csv, folder, mode="errorifexists", header=True)
+    return B.baskets_per_month(formats.read_purchases_csv(spark, folder, date_format="dd/MM/yyyy"))
+
+
 def q_pair_counts_per_month(spark, sf):
     return B.pair_counts_per_month(_dense(spark, sf))
 
@@ -190,10 +212,12 @@ def q_recommend_all(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": q_word_count,
+    "text_file_word_count": q_text_file_word_count,
     "degree_count": q_degree_count,
     "edge_lines_degree_count": q_edge_lines_degree_count,
     "top_customers_by_distinct_products": q_top_customers,
     "baskets_per_month": q_baskets_per_month,
+    "csv_baskets_per_month": q_csv_baskets_per_month,
     "pair_counts_per_month": q_pair_counts_per_month,
     "top_pair_per_month": q_top_pair_per_month,
     "purchase_irregularity": q_purchase_irregularity,
@@ -288,6 +312,11 @@ ORACLE_SQL: dict[str, str] = {
 SELECT word, count(*) AS n
 FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents)
 WHERE word <> ''
+GROUP BY word""",
+    "text_file_word_count": r"""
+SELECT word, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents WHERE text IS NOT NULL)
+WHERE word <> ''
 GROUP BY word""",
     "degree_count": """
 SELECT vertex, direction, count(*) AS degree FROM (
@@ -308,6 +337,10 @@ ORDER BY n_products DESC, customer_id LIMIT {TOP_K}""",
     "baskets_per_month": _with(_DENSE) + """
 SELECT month, count(*) AS n_baskets
 FROM (SELECT DISTINCT customer_id, date, month FROM purchases)
+GROUP BY month""",
+    "csv_baskets_per_month": _with(_DENSE) + """
+SELECT month, count(*) AS n_baskets
+FROM (SELECT DISTINCT customer_id, date, month FROM purchases)
 GROUP BY month""",
     "pair_counts_per_month": _with(_DENSE) + """
 , bm AS (SELECT DISTINCT customer_id, date, month, product AS item FROM purchases)

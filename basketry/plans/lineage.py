@@ -44,10 +44,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return materialize_with_folder(df)[0]
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new, unique folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+
+
 def materialize_with_folder(df: DataFrame) -> tuple[DataFrame, str]:
     """``materialize`` that also returns the folder written, for ``remove_folder``."""
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark)
     df.write.mode("errorifexists").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder), folder
 

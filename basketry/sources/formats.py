@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The purchases CSV header of the reference and our names for it.
+# The purchases CSV header of the reference and our names for it
+# (the id is read as bigint so large customer keys do not overflow).
 PURCHASES_CSV_SCHEMA = T.StructType(
     [
-        T.StructField("Member_number", T.IntegerType()),
+        T.StructField("Member_number", T.LongType()),
         T.StructField("Date", T.StringType()),
         T.StructField("itemDescription", T.StringType()),
         T.StructField("year", T.IntegerType()),
