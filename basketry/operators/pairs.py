@@ -306,20 +306,29 @@ def pcy_pruning(
 
     ``(all_pairs, item_candidates, bucket_candidates, frequent_buckets)``:
     distinct pairs before pruning, after the item filter, after the item and
-    bucket filters, and the number of frequent buckets.
+    bucket filters, and the number of frequent buckets. Computed from one
+    expansion: a bucket's pass-1 count is the sum of the supports of the
+    pairs hashed into it.
     """
-    items, buckets = pcy_pass1(baskets, min_support, num_buckets, hash_kind)
-    all_pairs = pair_support(baskets).select(F.count(F.lit(1))).scalar()
-    after_items = pair_support(baskets, items=_keep_items(baskets, items))
-    ids = buckets.select("bucket")
-    if num_buckets <= MAX_BROADCAST_BUCKETS:
-        ids = F.broadcast(ids)
-    after_buckets = after_items.withColumn(
+    supports = pair_support(baskets).withColumn(
         "bucket", pair_bucket("item_a", "item_b", num_buckets, hash_kind)
-    ).join(ids, "bucket", "left_semi")
-    return baskets.items.sparkSession.range(1).select(
-        all_pairs.alias("all_pairs"),
-        after_items.select(F.count(F.lit(1))).scalar().alias("item_candidates"),
-        after_buckets.select(F.count(F.lit(1))).scalar().alias("bucket_candidates"),
-        buckets.select(F.count(F.lit(1))).scalar().alias("frequent_buckets"),
+    )
+    hot_buckets = (
+        supports.groupBy("bucket").agg(F.sum("support").alias("count"))
+        .where(F.col("count") >= min_support)
+        .select("bucket", F.lit(True).alias("_bucket_ok"))
+    )
+    hot_items = frequent_items(baskets, min_support).select("item")
+    flagged = (
+        supports.join(hot_items.select(F.col("item").alias("item_a"), F.lit(True).alias("_a_ok")), "item_a", "left")
+        .join(hot_items.select(F.col("item").alias("item_b"), F.lit(True).alias("_b_ok")), "item_b", "left")
+        .join(hot_buckets, "bucket", "left")
+    )
+    items_ok = F.coalesce(F.col("_a_ok"), F.lit(False)) & F.coalesce(F.col("_b_ok"), F.lit(False))
+    bucket_ok = F.coalesce(F.col("_bucket_ok"), F.lit(False))
+    return flagged.agg(
+        F.count(F.lit(1)).alias("all_pairs"),
+        F.count_if(items_ok).alias("item_candidates"),
+        F.count_if(items_ok & bucket_ok).alias("bucket_candidates"),
+        hot_buckets.select(F.count(F.lit(1))).scalar().alias("frequent_buckets"),
     )
