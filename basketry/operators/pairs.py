@@ -44,6 +44,8 @@ DEFAULT_KEYS = ("customer_id", "date")
 DEFAULT_MAX_ITEMS = 200
 # Heavy-basket work is spread over at most this many tasks per core.
 TASKS_PER_CORE = 16
+# Pair rows one task should generate at most from light baskets.
+PAIRS_PER_TASK = 20_000_000
 # Bucket ids are broadcast for the PCY bitmap only up to this many buckets.
 MAX_BROADCAST_BUCKETS = 4_000_000
 
@@ -66,6 +68,7 @@ class BasketSet:
     heavy_chunks: int = 0  # chunks of all heavy baskets
     heavy_cells: int = 0  # (lo, hi) chunk pairs of all heavy baskets
     folder: str | None = None  # where ``items`` was materialised
+    light_pairs: int = 0  # pairs of all light baskets (upper bound after pruning)
 
     @property
     def columns(self) -> list[str]:
@@ -105,15 +108,25 @@ def prepare_baskets(
     if materialize_items:
         items, folder = materialize_with_folder(items)
     sizes = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = sizes.where(F.col("_n") > max_items).select(
-        *keys, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("n_chunks")
-    )
-    heavy, rows = broadcast_if_small(heavy, broadcast_rows)
-    if rows == 0:
-        return BasketSet(items, keys, attrs, max_items, None, folder=folder)
-    cells = F.col("n_chunks").cast("bigint") * (F.col("n_chunks") - 1) / 2
-    sizes = heavy.agg(F.sum("n_chunks").alias("chunks"), F.sum(cells).cast("bigint").alias("cells")).first()
-    return BasketSet(items, keys, attrs, max_items, heavy, int(sizes.chunks), int(sizes.cells), folder)
+    n = F.col("_n").cast("bigint")
+    is_heavy = F.col("_n") > max_items
+    chunks = F.ceil(n / F.lit(max_items))
+    # One job measures everything the plan needs: how many baskets are heavy,
+    # how many chunks and chunk pairs they make, how many pairs light ones make.
+    stats = sizes.agg(
+        F.count_if(is_heavy).alias("heavy"),
+        F.sum(F.when(is_heavy, chunks)).alias("chunks"),
+        F.sum(F.when(is_heavy, chunks * (chunks - 1) / 2)).cast("bigint").alias("cells"),
+        F.sum(F.when(~is_heavy, n * (n - 1) / 2)).cast("bigint").alias("light_pairs"),
+    ).first()
+    light_pairs = int(stats.light_pairs or 0)
+    if not stats.heavy:
+        return BasketSet(items, keys, attrs, max_items, None, folder=folder, light_pairs=light_pairs)
+    heavy = sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks"))
+    if stats.heavy <= broadcast_rows:
+        heavy = F.broadcast(heavy)  # row count measured just above
+    return BasketSet(items, keys, attrs, max_items, heavy, int(stats.chunks), int(stats.cells), folder,
+                     light_pairs)
 
 
 def _spread(df: DataFrame, units: int) -> DataFrame:
@@ -128,6 +141,17 @@ def _spread(df: DataFrame, units: int) -> DataFrame:
     return df.repartition(max(1, min(units, cap)))
 
 
+def _spread_light(df: DataFrame, pairs: int) -> DataFrame:
+    """Round-robin light item sets when they would make more than
+    ``PAIRS_PER_TASK`` pairs per core; smaller inputs keep adaptive
+    partitioning. Rows are sized by bytes by AQE, but a 200-item set makes
+    19,900 pairs, so large inputs get an explicit task count."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if pairs <= cores * PAIRS_PER_TASK:
+        return df
+    return _spread(df, -(-pairs // PAIRS_PER_TASK))
+
+
 def chunk_baskets(baskets: BasketSet, items: DataFrame | None = None) -> DataFrame:
     """``(keys..., attrs..., chunk int, n_chunks int, items array<string>)``.
 
@@ -168,7 +192,7 @@ def pair_occurrences(
         .groupBy(*group, "items")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
-    pairs = explode_pairs(weighted, keep=[*group, "weight"])
+    pairs = explode_pairs(_spread_light(weighted, baskets.light_pairs), keep=[*group, "weight"])
     if baskets.heavy is None:
         return pairs
 

@@ -165,3 +165,17 @@ def test_heavy_basket_copies_collapse(spark):
     got = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
     want = brute_pair_support([set(items)] * 5 + [{"i00", "i01"}])
     assert got == want
+
+
+def test_large_light_workloads_are_spread(spark, dense_items, monkeypatch):
+    import basketry.operators.pairs as P
+
+    bs = prepare_baskets(dense_items)
+    assert bs.heavy is None and bs.light_pairs > 0
+    want = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
+    monkeypatch.setattr(P, "PAIRS_PER_TASK", 10)  # force the explicit spread
+    spread = pair_support(bs)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+    assert {(r.item_a, r.item_b): r.support for r in spread.collect()} == want
+    assert bs.light_pairs == sum(len(s) * (len(s) - 1) // 2 for s in _sets(dense_items))
