@@ -69,6 +69,7 @@ class BasketSet:
     heavy_cells: int = 0  # (lo, hi) chunk pairs of all heavy baskets
     folder: str | None = None  # where ``items`` was materialised
     light_pairs: int = 0  # pairs of all light baskets (upper bound after pruning)
+    heavy_broadcast: bool = True  # False: the heavy list is joined by a shuffle
 
     @property
     def columns(self) -> list[str]:
@@ -123,10 +124,11 @@ def prepare_baskets(
     if not stats.heavy:
         return BasketSet(items, keys, attrs, max_items, None, folder=folder, light_pairs=light_pairs)
     heavy = sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks"))
-    if stats.heavy <= broadcast_rows:
+    small = stats.heavy <= broadcast_rows
+    if small:
         heavy = F.broadcast(heavy)  # row count measured just above
     return BasketSet(items, keys, attrs, max_items, heavy, int(stats.chunks), int(stats.cells), folder,
-                     light_pairs)
+                     light_pairs, small)
 
 
 def _spread(df: DataFrame, units: int) -> DataFrame:
@@ -170,7 +172,13 @@ def chunk_baskets(baskets: BasketSet, items: DataFrame | None = None) -> DataFra
     chunk = F.when(F.col("n_chunks").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64("item"), F.col("n_chunks")).cast("int")
     )
-    return tagged.groupBy(*cols, chunk.alias("chunk"), n_chunks.alias("n_chunks")).agg(agg)
+    tagged = tagged.select(*cols, "item", chunk.alias("chunk"), n_chunks.alias("n_chunks"))
+    if not baskets.heavy_broadcast:
+        # A shuffle join leaves rows partitioned by basket, which would satisfy
+        # the grouping below without a new exchange and keep a hot basket in
+        # one task; partition by chunk as well.
+        tagged = tagged.repartition(*cols, "chunk")
+    return tagged.groupBy(*cols, "chunk", "n_chunks").agg(agg)
 
 
 def pair_occurrences(

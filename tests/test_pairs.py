@@ -179,3 +179,19 @@ def test_large_light_workloads_are_spread(spark, dense_items, monkeypatch):
     assert "RoundRobinPartitioning" in plan
     assert {(r.item_a, r.item_b): r.support for r in spread.collect()} == want
     assert bs.light_pairs == sum(len(s) * (len(s) - 1) // 2 for s in _sets(dense_items))
+
+
+def test_heavy_list_beyond_broadcast_bound(spark):
+    # broadcast_rows=0 forces the shuffle join of the heavy list
+    rows = [(1, "d", f"i{k:03d}") for k in range(60)] + [(2, "d", "i000"), (2, "d", "i001")]
+    df = spark.createDataFrame(rows, "customer_id long, date string, item string")
+    bs = prepare_baskets(df, max_items=16, broadcast_rows=0)
+    assert bs.heavy is not None and not bs.heavy_broadcast
+    from basketry.operators.pairs import chunk_baskets
+
+    plan = chunk_baskets(bs)._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    assert re.search(r"hashpartitioning\(customer_id#\d+L, date#\d+, chunk#\d+", plan)
+    got = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
+    assert got == brute_pair_support([{f"i{k:03d}" for k in range(60)}, {"i000", "i001"}])
