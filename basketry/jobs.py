@@ -9,7 +9,7 @@ the package shipped by ``--py-files``):
     generate-edges <out> [--vertices 100000] [--edges 1000000000] [--seed 42]
     basket-stats   <purchases csv> <out dir>
     basket-lines   <purchases csv> <out>
-    pcy            <basket lines in> <out> [--support 3] [--buckets 100] [--pass1 <out>]
+    pcy            <basket lines in> <out> [--support 3] [--buckets 100] [--pass1 <out>] [--sorted]
     rules          <purchases csv> <pair file> <out> [--confidence 0.05] [--interest 0.02]
 
 Every job writes with executors; nothing is collected to the driver.
@@ -70,17 +70,19 @@ def basket_line_items(spark: SparkSession, source: str) -> DataFrame:
 
 
 def pcy_job(spark: SparkSession, source: str, target: str, min_support: int = 3,
-            num_buckets: int | None = 100, hash_kind: str = "polynomial", pass1_target: str | None = None) -> None:
+            num_buckets: int | None = 100, hash_kind: str = "polynomial", pass1_target: str | None = None,
+            ordered: bool = False) -> None:
     """Frequent pairs of basket lines; with ``pass1_target`` also the pass-1
     frequent items and buckets as tagged key/value lines."""
     baskets = prepare_baskets(basket_line_items(spark, source), keys=("basket_id",))
     try:
         if pass1_target is None or num_buckets is None:
-            sinks.write_pairs(frequent_pairs(baskets, min_support, num_buckets, hash_kind), target)
+            sinks.write_pairs(frequent_pairs(baskets, min_support, num_buckets, hash_kind), target, ordered=ordered)
             return
         items, buckets = pcy_pass1(baskets, min_support, num_buckets, hash_kind)
         sinks.pass1_lines(items, buckets).write.mode("errorifexists").text(pass1_target)
-        sinks.write_pairs(pcy_pass2(baskets, items, buckets, min_support, num_buckets, hash_kind), target)
+        sinks.write_pairs(pcy_pass2(baskets, items, buckets, min_support, num_buckets, hash_kind), target,
+                          ordered=ordered)
     finally:
         baskets.release()  # outputs are written; the materialised baskets are no longer needed
 
@@ -112,6 +114,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--support", type=int, default=3)
     p.add_argument("--buckets", type=int, default=100)
     p.add_argument("--pass1", default=None)
+    p.add_argument("--sorted", action="store_true")
     p = sub.add_parser("generate-edges")
     p.add_argument("target")
     p.add_argument("--vertices", type=int, default=100_000)
@@ -135,7 +138,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "basket-lines":
         basket_lines_job(spark, args.source, args.target)
     elif args.job == "pcy":
-        pcy_job(spark, args.source, args.target, args.support, args.buckets, pass1_target=args.pass1)
+        pcy_job(spark, args.source, args.target, args.support, args.buckets, pass1_target=args.pass1,
+                ordered=args.sorted)
     elif args.job == "generate-edges":
         generate_edges_job(spark, args.target, args.vertices, args.edges, args.seed)
     elif args.job == "rules":

@@ -45,8 +45,14 @@ def pair_lines(pairs: DataFrame) -> DataFrame:
     )
 
 
-def write_pairs(pairs: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    pair_lines(pairs).write.mode(mode).text(path)
+def write_pairs(pairs: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False) -> None:
+    """``a|b<TAB>n`` lines. ``ordered=True`` writes them in byte order of the
+    ``a|b`` key across part files (as a MapReduce reducer output is sorted),
+    at the cost of a range-partitioned sort."""
+    lines = pair_lines(pairs)
+    if ordered:
+        lines = lines.orderBy("value")  # the key comes first, so this is key order
+    lines.write.mode(mode).text(path)
 
 
 def write_basket_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -112,3 +112,13 @@ def test_command_line(spark, work):
     assert spark.read.text(f"{work}/wc_cli").count() == spark.read.text(f"{work}/wc").count()
     jobs.main(["generate-edges", f"{work}/gen_cli", "--vertices", "5", "--edges", "100"])
     assert spark.read.text(f"{work}/gen_cli").count() == 100
+
+
+def test_pcy_job_sorted_output(spark, work):
+    import glob
+
+    jobs.main(["pcy", f"{work}/lines", f"{work}/pairs_sorted", "--support", "3", "--sorted"])
+    parts = sorted(glob.glob(f"{work}/pairs_sorted/part-*"))
+    lines = [line.rstrip("\n") for part in parts for line in open(part, encoding="utf-8")]
+    keys = [line.split("\t")[0].encode() for line in lines]
+    assert keys == sorted(keys) and len(lines) == spark.read.text(f"{work}/pairs").count()
