@@ -8,6 +8,11 @@ comparison; thresholds and rankings use the values before output rounding.
 Fixtures (see ``sources.tables``): dense items are part names, sparse items
 are part keys, edges are part -> supplier of each line item, text is
 ``documents.text``.
+
+Queries built on basket pairs run small jobs while they are built: one writes
+the de-duplicated basket items into the session's checkpoint folder, one
+measures basket sizes, and one counts frequent items before broadcasting
+them. The two round-trip queries first write their CSV or text file there.
 """
 
 from __future__ import annotations
