@@ -133,7 +133,9 @@ def _sparse_baskets(spark, sf):
 
 
 def q_item_support(spark, sf):
-    return R.item_support(tables.basket_items(_dense(spark, sf)))
+    # count_distinct removes repeats and null keys itself: no separate distinct
+    purchases = _dense(spark, sf).select("customer_id", "date", F.col("product").alias("item"))
+    return R.item_support(purchases)
 
 
 def q_basket_total(spark, sf):
