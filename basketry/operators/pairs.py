@@ -5,9 +5,10 @@ Plan shape (all native Spark, no Python workers):
 1. ``prepare_baskets``: ``(basket keys, item)`` rows are de-duplicated by a
    distributed aggregate and written once to the shared checkpoint folder,
    as the reference writes its basket file once and reads it in two passes.
-   Basket sizes are counted; the (normally empty) list of *heavy* baskets,
-   those with more than ``max_items`` distinct items, is broadcast only after
-   an explicit row-count check, and shuffled otherwise.
+   Basket sizes are counted in one job that also measures the pair volume;
+   the (normally empty) list of *heavy* baskets, those with more than
+   ``max_items`` distinct items, is broadcast only when that count is within
+   a bound, and shuffled otherwise.
 2. ``chunk_baskets``: a light basket becomes one sorted item array (at most
    ``max_items`` items). A heavy basket is cut into ``ceil(n / max_items)``
    chunks by a hash of the item, so no task ever holds a whole hot basket.
@@ -17,7 +18,12 @@ Plan shape (all native Spark, no Python workers):
    Pairs of a heavy basket are the pairs inside each chunk plus the pairs
    across two chunks; the latter come from a join keyed by
    ``(basket, lo chunk, hi chunk)``, which spreads one basket over many tasks.
-4. Supports are sums of weights, aggregated partially before the shuffle.
+   Chunk arrays and chunk pairs are weighted the same way, so copies of a
+   heavy basket expand once too.
+4. Rows that explode into many pairs are round-robined over task counts
+   derived from the measured pair volume: adaptive execution sizes
+   partitions by input bytes and would otherwise pack them into few tasks.
+5. Supports are sums of weights, aggregated partially before the shuffle.
 
 PCY (``pcy_pass1`` / ``pcy_pass2``) prunes before expansion: pass 2 keeps
 only frequent items (semi join) and only pairs whose hash bucket is frequent
