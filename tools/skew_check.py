@@ -2,6 +2,8 @@
 
     python tools/skew_check.py [sf_dir] [max_items ...]
 
+Environment: SKEW_DRIVER_MEMORY (default 8g), SKEW_SHUFFLE_PARTITIONS (default 8).
+
 Derives the workload from the tables (sparse items; every third order is
 moved into one basket), runs ``pair_support`` once per ``max_items`` and
 reads task metrics from a Spark event log written to a fresh scratch folder.
@@ -48,7 +50,8 @@ def main() -> None:
     results = {}
     for max_items in limits:
         log_dir = tempfile.mkdtemp(prefix="run-skew-")
-        spark = build_session("local[8]", shuffle_partitions=8, extra_conf={
+        spark = build_session("local[8]", shuffle_partitions=int(os.environ.get("SKEW_SHUFFLE_PARTITIONS", "8")),
+                              driver_memory=os.environ.get("SKEW_DRIVER_MEMORY", "8g"), extra_conf={
             "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
             "spark.ui.showConsoleProgress": "false"})
         p = tables.purchases(spark, sf_dir, items="partkey")
