@@ -67,6 +67,37 @@ def polynomial_bucket(a: str | Column, b: str | Column, num_buckets: int) -> Col
     return F.aggregate(codes, F.lit(0).cast("bigint"), lambda h, c: (h * 31 + c) % num_buckets).cast("int")
 
 
+# Largest bucket count for which per-item polynomial codes combine without
+# 64-bit overflow ((n - 1) * (n - 1) + n must stay below 2**63).
+MAX_COMBINED_BUCKETS = 3_037_000_499
+
+
+def item_polynomial(item: str | Column, num_buckets: int) -> tuple[Column, Column]:
+    """``(h, p)`` of one item for the polynomial pair hash: ``h`` folds the
+    item's characters from 0 (``h = (h * 31 + code) % n``), ``p`` is
+    ``31 ** length % n``. Computed once per distinct item."""
+    col = F.col(item) if isinstance(item, str) else item
+    codes = F.transform(F.split(col, ""), lambda c: F.ascii(c).cast("bigint"))
+    codes = F.when(col == "", F.array().cast("array<bigint>")).otherwise(codes)
+    start = F.struct(F.lit(0).cast("bigint").alias("h"), F.lit(1).cast("bigint").alias("p"))
+    folded = F.aggregate(
+        codes,
+        start,
+        lambda acc, c: F.struct(
+            ((acc["h"] * 31 + c) % num_buckets).alias("h"), ((acc["p"] * 31) % num_buckets).alias("p")
+        ),
+    )
+    return folded["h"], folded["p"]
+
+
+def combined_polynomial_bucket(h_a: Column, h_b: Column, p_b: Column, num_buckets: int) -> Column:
+    """The polynomial bucket of ``"a|b"`` from per-item codes (code of ``|`` is
+    124): folding is linear modulo n, so ``fold(a|b) = (fold(a|) * 31**len(b)
+    + fold(b)) % n``. Plain arithmetic, code-generated."""
+    head = (h_a * 31 + 124) % num_buckets
+    return ((head * p_b + h_b) % num_buckets).cast("int")
+
+
 def fast_bucket(a: str | Column, b: str | Column, num_buckets: int) -> Column:
     """``pmod(xxhash64(a, b), n)``: code-generated and well spread."""
     return F.pmod(F.xxhash64(a, b), F.lit(num_buckets)).cast("int")

@@ -40,7 +40,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.pairs import explode_cross_pairs, explode_pairs, pair_bucket
+from basketry.functions.pairs import (
+    MAX_COMBINED_BUCKETS,
+    combined_polynomial_bucket,
+    explode_cross_pairs,
+    explode_pairs,
+    item_polynomial,
+    pair_bucket,
+)
 from basketry.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from basketry.plans.lineage import materialize_with_folder, remove_folder
 
@@ -266,6 +273,32 @@ def _keep_items(baskets: BasketSet, keep: DataFrame) -> DataFrame:
     return baskets.items.join(keep, "item", "left_semi")
 
 
+def with_bucket(baskets: BasketSet, pairs: DataFrame, num_buckets: int, hash_kind: str,
+                name: str = "bucket") -> DataFrame:
+    """Adds the bucket of ``(item_a, item_b)``.
+
+    For the polynomial hash the characters of each distinct item are folded
+    once and the codes are looked up per pair from a broadcast table (after
+    a row-count check), so pairs only do arithmetic. Without that bound, or
+    for bucket counts whose products would overflow, every pair is folded.
+    """
+    if hash_kind != "polynomial" or num_buckets > MAX_COMBINED_BUCKETS:
+        return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
+    h, p = item_polynomial("item", num_buckets)
+    codes = baskets.items.select("item").distinct().select("item", h.alias("h"), p.alias("p"))
+    codes, rows = broadcast_if_small(codes)
+    if rows > DEFAULT_BROADCAST_ROWS:
+        return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
+    a_codes = codes.select(F.col("item").alias("item_a"), F.col("h").alias("_h_a"))
+    b_codes = codes.select(F.col("item").alias("item_b"), F.col("h").alias("_h_b"), F.col("p").alias("_p_b"))
+    bucket = combined_polynomial_bucket(F.col("_h_a"), F.col("_h_b"), F.col("_p_b"), num_buckets)
+    return (
+        pairs.join(a_codes, "item_a").join(b_codes, "item_b")
+        .withColumn(name, bucket)
+        .drop("_h_a", "_h_b", "_p_b")
+    )
+
+
 def pcy_pass1(
     baskets: BasketSet, min_support: int = 3, num_buckets: int = 100, hash_kind: str = "xxhash64"
 ) -> tuple[DataFrame, DataFrame]:
@@ -277,9 +310,9 @@ def pcy_pass1(
     a task sends at most ``num_buckets`` bucket counts to the shuffle.
     """
     items = frequent_items(baskets, min_support)
-    occ = pair_occurrences(baskets)
+    occ = with_bucket(baskets, pair_occurrences(baskets), num_buckets, hash_kind)
     buckets = (
-        occ.select(pair_bucket("item_a", "item_b", num_buckets, hash_kind).alias("bucket"), "weight")
+        occ.select("bucket", "weight")
         .groupBy("bucket")
         .agg(F.sum("weight").alias("count"))
         .where(F.col("count") >= min_support)
@@ -305,9 +338,7 @@ def pcy_pass2(
         ids = buckets.select("bucket")
         if num_buckets <= MAX_BROADCAST_BUCKETS:
             ids = F.broadcast(ids)  # at most num_buckets rows
-        occ = occ.withColumn("bucket", pair_bucket("item_a", "item_b", num_buckets, hash_kind)).join(
-            ids, "bucket", "left_semi"
-        )
+        occ = with_bucket(baskets, occ, num_buckets, hash_kind).join(ids, "bucket", "left_semi")
     return (
         occ.groupBy("item_a", "item_b")
         .agg(F.sum("weight").alias("support"))
@@ -348,9 +379,7 @@ def pcy_pruning(
     expansion: a bucket's pass-1 count is the sum of the supports of the
     pairs hashed into it.
     """
-    supports = pair_support(baskets).withColumn(
-        "bucket", pair_bucket("item_a", "item_b", num_buckets, hash_kind)
-    )
+    supports = with_bucket(baskets, pair_support(baskets), num_buckets, hash_kind)
     hot_buckets = (
         supports.groupBy("bucket").agg(F.sum("support").alias("count"))
         .where(F.col("count") >= min_support)

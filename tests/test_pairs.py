@@ -195,3 +195,25 @@ def test_heavy_list_beyond_broadcast_bound(spark):
     assert re.search(r"hashpartitioning\(customer_id#\d+L, date#\d+, chunk#\d+", plan)
     got = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
     assert got == brute_pair_support([{f"i{k:03d}" for k in range(60)}, {"i000", "i001"}])
+
+
+@pytest.mark.parametrize("num_buckets", [100, 1_000_003, 2_147_483_629])
+def test_combined_polynomial_equals_per_pair_fold(spark, sparse_items, dense_items, num_buckets):
+    from basketry.operators.pairs import pair_occurrences, with_bucket
+
+    for items in (sparse_items, dense_items):
+        bs = prepare_baskets(items)
+        occ = pair_occurrences(bs)
+        fast = with_bucket(bs, occ, num_buckets, "polynomial").select("item_a", "item_b", "bucket")
+        slow = occ.select("item_a", "item_b", polynomial_bucket("item_a", "item_b", num_buckets).alias("bucket"))
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+        assert "BroadcastHashJoin" in fast._jdf.queryExecution().executedPlan().toString()
+
+
+def test_item_polynomial_of_empty_item(spark):
+    from basketry.functions.pairs import item_polynomial
+
+    df = spark.createDataFrame([("",), ("ab",)], "item string")
+    h, p = item_polynomial("item", 1000)
+    got = {r.item: (r.h, r.p) for r in df.select("item", h.alias("h"), p.alias("p")).collect()}
+    assert got == {"": (0, 1), "ab": ((97 * 31 + 98) % 1000, 961)}
