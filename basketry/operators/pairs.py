@@ -48,8 +48,8 @@ from basketry.functions.pairs import (
     item_polynomial,
     pair_bucket,
 )
-from basketry.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-from basketry.plans.lineage import materialize_with_folder, remove_folder
+from basketry.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_stored
+from basketry.plans.lineage import materialize, materialize_with_folder, remove_folder
 
 DEFAULT_KEYS = ("customer_id", "date")
 # Largest basket expanded as one array (at most 19,900 pairs); bigger
@@ -136,7 +136,8 @@ def prepare_baskets(
     light_pairs = int(stats.light_pairs or 0)
     if not stats.heavy:
         return BasketSet(items, keys, attrs, max_items, None, folder=folder, light_pairs=light_pairs)
-    heavy = sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks"))
+    # stored once, so the plan does not group every basket again to rebuild it
+    heavy = materialize(sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks")))
     small = stats.heavy <= broadcast_rows
     if small:
         heavy = F.broadcast(heavy)  # row count measured just above
@@ -268,8 +269,9 @@ def frequent_items(baskets: BasketSet, min_support: int) -> DataFrame:
 
 
 def _keep_items(baskets: BasketSet, keep: DataFrame) -> DataFrame:
-    """Basket items restricted to ``keep.item``; broadcast after a size check."""
-    keep, _ = broadcast_if_small(keep.select("item"))
+    """Basket items restricted to ``keep.item``; the item list is stored once
+    and broadcast after a size check."""
+    keep, _ = broadcast_stored(keep.select("item"))
     return baskets.items.join(keep, "item", "left_semi")
 
 
@@ -286,7 +288,7 @@ def with_bucket(baskets: BasketSet, pairs: DataFrame, num_buckets: int, hash_kin
         return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
     h, p = item_polynomial("item", num_buckets)
     codes = baskets.items.select("item").distinct().select("item", h.alias("h"), p.alias("p"))
-    codes, rows = broadcast_if_small(codes)
+    codes, rows = broadcast_stored(codes)
     if rows > DEFAULT_BROADCAST_ROWS:
         return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
     a_codes = codes.select(F.col("item").alias("item_a"), F.col("h").alias("_h_a"))

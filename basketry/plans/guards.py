@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.plans.lineage import materialize
+
 # Largest row count we broadcast after an explicit check.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -25,3 +27,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     rows = bounded_rows(df, max_rows)
     return (F.broadcast(df) if rows <= max_rows else df), rows
+
+
+def broadcast_stored(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """Like ``broadcast_if_small`` for a derived frame that is expensive to
+    recompute (an aggregate over all basket items): it is written once to the
+    checkpoint folder, counted there and broadcast from the stored copy, so
+    the aggregate runs once instead of once for the check and again in the
+    query."""
+    stored = materialize(df)
+    rows = bounded_rows(stored, max_rows)
+    return (F.broadcast(stored) if rows <= max_rows else stored), rows

@@ -34,3 +34,15 @@ def test_broadcast_only_within_bound(spark):
     assert "BroadcastHashJoin" in _plan(probe.join(hinted, "k"))
     plain, rows = broadcast_if_small(big, 100)
     assert rows == 101 and plain is big
+
+
+def test_broadcast_stored_reads_the_stored_copy(spark):
+    from basketry.plans.guards import broadcast_stored
+
+    agg = spark.range(1000).selectExpr("id % 10 AS k").groupBy("k").count()
+    stored, rows = broadcast_stored(agg, 100)
+    assert rows == 10
+    plan = _plan(spark.range(10_000).withColumnRenamed("id", "k").join(stored, "k"))
+    assert "BroadcastHashJoin" in plan and "FileScan parquet" in plan and "HashAggregate" not in plan
+    big, rows = broadcast_stored(spark.range(500), 100)
+    assert rows == 101 and "FileScan parquet" in _plan(big)
