@@ -395,9 +395,10 @@ def pcy_pruning(
     )
     items_ok = F.coalesce(F.col("_a_ok"), F.lit(False)) & F.coalesce(F.col("_b_ok"), F.lit(False))
     bucket_ok = F.coalesce(F.col("_bucket_ok"), F.lit(False))
+    # every frequent bucket holds at least one pair, so it is counted here too
     return flagged.agg(
         F.count(F.lit(1)).alias("all_pairs"),
         F.count_if(items_ok).alias("item_candidates"),
         F.count_if(items_ok & bucket_ok).alias("bucket_candidates"),
-        hot_buckets.select(F.count(F.lit(1))).scalar().alias("frequent_buckets"),
+        F.count_distinct(F.when(bucket_ok, F.col("bucket"))).alias("frequent_buckets"),
     )
