@@ -83,6 +83,7 @@ class BasketSet:
     folder: str | None = None  # where ``items`` was materialised
     light_pairs: int = 0  # pairs of all light baskets (upper bound after pruning)
     heavy_broadcast: bool = True  # False: the heavy list is joined by a shuffle
+    n_baskets: int = 0  # baskets with at least one item
 
     @property
     def columns(self) -> list[str]:
@@ -132,17 +133,19 @@ def prepare_baskets(
         F.sum(F.when(is_heavy, chunks)).alias("chunks"),
         F.sum(F.when(is_heavy, chunks * (chunks - 1) / 2)).cast("bigint").alias("cells"),
         F.sum(F.when(~is_heavy, n * (n - 1) / 2)).cast("bigint").alias("light_pairs"),
+        F.count(F.lit(1)).alias("baskets"),
     ).first()
     light_pairs = int(stats.light_pairs or 0)
     if not stats.heavy:
-        return BasketSet(items, keys, attrs, max_items, None, folder=folder, light_pairs=light_pairs)
+        return BasketSet(items, keys, attrs, max_items, None, folder=folder, light_pairs=light_pairs,
+                         n_baskets=int(stats.baskets))
     # stored once, so the plan does not group every basket again to rebuild it
     heavy = materialize(sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks")))
     small = stats.heavy <= broadcast_rows
     if small:
         heavy = F.broadcast(heavy)  # row count measured just above
     return BasketSet(items, keys, attrs, max_items, heavy, int(stats.chunks), int(stats.cells), folder,
-                     light_pairs, small)
+                     light_pairs, small, int(stats.baskets))
 
 
 def _spread(df: DataFrame, units: int) -> DataFrame:

@@ -188,7 +188,9 @@ def q_rules_with_confidence(spark, sf):
 
 def _final_rules(spark, sf):
     baskets, pairs = _rules_inputs(spark, sf)
-    return R.association_rules(pairs, baskets.items, CONFIDENCE, INTEREST, distinct_rows=True), baskets
+    rules = R.association_rules(pairs, baskets.items, CONFIDENCE, INTEREST, distinct_rows=True,
+                                total=baskets.n_baskets)
+    return rules, baskets
 
 
 def q_association_rules(spark, sf):

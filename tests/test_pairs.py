@@ -217,3 +217,10 @@ def test_item_polynomial_of_empty_item(spark):
     h, p = item_polynomial("item", 1000)
     got = {r.item: (r.h, r.p) for r in df.select("item", h.alias("h"), p.alias("p")).collect()}
     assert got == {"": (0, 1), "ab": ((97 * 31 + 98) % 1000, 961)}
+
+
+def test_basket_count_from_the_measuring_job(spark, dense_items):
+    from basketry.operators.rules import basket_total
+
+    bs = prepare_baskets(dense_items)
+    assert bs.n_baskets == basket_total(dense_items).first().n_baskets
