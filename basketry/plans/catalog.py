@@ -61,6 +61,11 @@ def q_degree_count(spark, sf):
     return degree_count(tables.edges(spark, sf))
 
 
+def q_degree_labels(spark, sf):
+    """Degrees in the reference's reducer form: ``vertex``, ``in=N`` / ``out=N``."""
+    return degree_count(tables.edges(spark, sf)).select("vertex", sinks.degree_label().alias("label"))
+
+
 def q_edge_lines_degree_count(spark, sf):
     lines = tables.edges(spark, sf).select(F.concat_ws(" ", "src", "dst").alias("value"))
     return degree_count(formats.parse_edge_lines(lines))
@@ -107,6 +112,12 @@ def q_purchase_irregularity(spark, sf):
     return _round(B.purchase_irregularity(_dense(spark, sf), "zero"), "stddev_items")
 
 
+def q_irregularity_report(spark, sf):
+    """f4 for every customer as the reference writes it: deviation with 4 decimals."""
+    f4 = B.purchase_irregularity(_dense(spark, sf), "zero")
+    return f4.select("customer_id", sinks.fixed_decimals("stddev_items").alias("stddev_text"))
+
+
 def q_most_irregular_customers(spark, sf):
     return _round(B.most_irregular_customers(_dense(spark, sf), TOP_K, "zero"), "stddev_items")
 
@@ -224,12 +235,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_file_word_count": q_text_file_word_count,
     "degree_count": q_degree_count,
     "edge_lines_degree_count": q_edge_lines_degree_count,
+    "degree_labels": q_degree_labels,
     "top_customers_by_distinct_products": q_top_customers,
     "baskets_per_month": q_baskets_per_month,
     "csv_baskets_per_month": q_csv_baskets_per_month,
     "pair_counts_per_month": q_pair_counts_per_month,
     "top_pair_per_month": q_top_pair_per_month,
     "purchase_irregularity": q_purchase_irregularity,
+    "irregularity_report": q_irregularity_report,
     "most_irregular_customers": q_most_irregular_customers,
     "most_irregular_customer": q_most_irregular_customer,
     "basket_lines": q_basket_lines,
@@ -332,6 +345,12 @@ SELECT vertex, direction, count(*) AS degree FROM (
   SELECT l_partkey AS vertex, 'out' AS direction FROM lineitem
   UNION ALL
   SELECT l_suppkey AS vertex, 'in' AS direction FROM lineitem)
+GROUP BY vertex, direction""",
+    "degree_labels": """
+SELECT vertex, direction || '=' || CAST(count(*) AS VARCHAR) AS label FROM (
+  SELECT l_partkey AS vertex, 'out' AS direction FROM lineitem
+  UNION ALL
+  SELECT l_suppkey AS vertex, 'in' AS direction FROM lineitem)
 GROUP BY vertex, direction""",
     "edge_lines_degree_count": """
 SELECT vertex, direction, count(*) AS degree FROM (
@@ -367,6 +386,10 @@ QUALIFY row_number() OVER (PARTITION BY month ORDER BY n_baskets DESC, item_a, i
     "purchase_irregularity": _with(_DENSE) + """
 SELECT customer_id, round(coalesce(stddev_samp(n_items), 0.0), 6) AS stddev_items
 FROM (SELECT customer_id, date, count(*) AS n_items FROM purchases GROUP BY 1, 2)
+GROUP BY customer_id""",
+    "irregularity_report": _with(_DENSE) + """
+SELECT customer_id, printf('%.4f', coalesce(stddev_samp(n_items), 0.0)) AS stddev_text
+FROM (SELECT customer_id, date, count(*) AS n_items FROM purchases GROUP BY 1, 2)
 GROUP BY customer_id""",
     "most_irregular_customers": _with(_DENSE) + f"""
 , s AS (
