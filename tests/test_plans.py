@@ -51,3 +51,13 @@ def test_heavy_basket_plan_has_no_cross_join(spark):
     plan = _plan(pair_support(bs))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BroadcastHashJoin" in plan  # the checked heavy list is broadcast
+
+
+def test_every_query_reads_files_not_made_up_input(spark):
+    import re
+
+    for name, fn in QUERIES.items():
+        plan = _plan(fn(spark, SF_SMALL))
+        assert re.search(r"FileScan (parquet|text|csv)", plan), name
+        assert "LocalTableScan" not in plan and "Range (" not in plan, name
+        assert "pipeline" not in name and not re.match(r"op\d+_", name), name
