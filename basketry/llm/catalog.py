@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from basketry.llm.bpe import op6_bpe
 from basketry.llm.decontamination import op7_decontamination
+from basketry.llm.quality import OP2_SQL, op2_quality
 from basketry.llm.sharding import op10_sharding
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality": OP2_SQL,
+}
