@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from basketry.llm.bpe import op6_bpe
 from basketry.llm.decontamination import op7_decontamination
+from basketry.llm.pii import op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
+from basketry.llm.secrets import op1_secrets
 from basketry.llm.sharding import op10_sharding
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
+    "op3_pii": op3_pii,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
     "op10_sharding": op10_sharding,
