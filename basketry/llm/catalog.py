@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from basketry.llm.bpe import op6_bpe
 from basketry.llm.decontamination import op7_decontamination
+from basketry.llm.langid import op9_language_id
 from basketry.llm.pii import op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
 from basketry.llm.secrets import op1_secrets
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
+    "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
 
