@@ -5,6 +5,7 @@ from __future__ import annotations
 from basketry.llm.bpe import op6_bpe
 from basketry.llm.decontamination import op7_decontamination
 from basketry.llm.langid import op9_language_id
+from basketry.llm.linededup import OP4_SQL, op4_line_dedup
 from basketry.llm.pii import op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
 from basketry.llm.secrets import op1_secrets
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,
+    "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
@@ -22,4 +24,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality": OP2_SQL,
+    "op4_line_dedup": OP4_SQL,
 }
