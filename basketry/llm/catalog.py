@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from basketry.llm.bpe import op6_bpe
 from basketry.llm.decontamination import op7_decontamination
+from basketry.llm.jaccardjoin import op8_jaccard_join
 from basketry.llm.langid import op9_language_id
 from basketry.llm.linededup import OP4_SQL, op4_line_dedup
 from basketry.llm.pii import op3_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
