@@ -16,8 +16,8 @@ fixed by the file) is what is sent to the tasks.
 Defined cases: null and empty texts have no ids and decode to the empty text;
 special tokens found in a text get their ids, as the library does; texts of any
 length are cut at word bounds only for working, never in the result. Other
-columns pass through untouched; the new columns replace none (a clash raises
-before the job starts). Repeated rows give repeated results; an empty table gives
+columns pass through untouched; columns of the new names, in whatever case, are
+replaced. Repeated rows give repeated results; an empty table gives
 an empty one. Code points that newer Unicode versions made letters or numbers
 (some 17,500, all outside the scripts in common use) follow the ``regex`` module's
 tables, which are newer than the library's.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import documents, text_slices
+from basketry.llm.common import documents, quoted, text_slices
 
 #: Symbols from which on a word is merged by the heap.
 LONG_WORD = 400
@@ -236,41 +236,50 @@ class Encoder:
         return ids, np.diff(np.r_[0, bounds]), decoded
 
 
+def without(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` without columns of these names in any case."""
+    low = {n.lower() for n in names}
+    return docs.select(*[quoted(c) for c in docs.columns if c.lower() not in low])
+
+
+def numbered_names(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ...: any name may pass through a Python step so."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
 def bpe_round_trip(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """All rows and columns of ``docs`` with ``ids`` (array<int>) and ``decoded``
     (the tokens joined by one space, what the library gives for a file without decoder)."""
-    clash = {ids_col, decoded_col} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    docs = without(docs, ids_col, decoded_col)
     model = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False)), T.StructField(decoded_col, T.StringType())])
+    frame, text = numbered_names(docs), f"c{docs.columns.index(text_col)}"
+    own = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())]
 
     def run(batches):
         encoder = Encoder(model.value)
-        for batch, texts in text_slices(batches, text_col, 2_000_000):
+        for batch, texts in text_slices(batches, text, 2_000_000):
             ids, counts, decoded = encoder.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(decoded, pa.string())], names=[*batch.schema.names, ids_col, decoded_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(decoded, pa.string())], names=[*batch.schema.names, "ids", "decoded"])
 
-    return docs.mapInArrow(run, schema)
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, *own])).toDF(*docs.columns, ids_col, decoded_col)
 
 
 def bpe_decode(docs: DataFrame, model_path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """Decode an ids column: the tokens joined by one space. Null ids decode to the empty text;
     ids outside the vocabulary are skipped, as the library does."""
-    if decoded_col in docs.columns:
-        raise ValueError(f"column exists already: {decoded_col}")
+    docs = without(docs, decoded_col)
     model = docs.sparkSession.sparkContext.broadcast(load_model(model_path)["tokens"])
-    schema = T.StructType([*docs.schema.fields, T.StructField(decoded_col, T.StringType())])
+    frame, place = numbered_names(docs), f"c{docs.columns.index(ids_col)}"
 
     def run(batches):
         tokens = model.value
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
+            ids = batch.column(batch.schema.get_field_index(place)).to_pylist()
             texts = [" ".join([tokens[i] for i in x or () if i is not None and 0 <= i < len(tokens) and tokens[i]]) for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
-    return docs.mapInArrow(run, schema)
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField("decoded", T.StringType())])).toDF(*docs.columns, decoded_col)
 
 
 def default_model_path() -> str:

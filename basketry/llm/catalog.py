@@ -7,6 +7,7 @@ from basketry.llm.decontamination import op7_decontamination
 from basketry.llm.jaccardjoin import op8_jaccard_join
 from basketry.llm.langid import op9_language_id
 from basketry.llm.linededup import OP4_SQL, op4_line_dedup
+from basketry.llm.lm import op5_lm_score
 from basketry.llm.pii import op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
 from basketry.llm.secrets import op1_secrets
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
+    "op5_lm_score": op5_lm_score,
     "op6_bpe": op6_bpe,
     "op7_decontamination": op7_decontamination,
     "op8_jaccard_join": op8_jaccard_join,

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.plans.lineage import materialize
+from basketry.plans.lineage import scratch_folder
 from basketry.sources.tables import table
 
 #: Code points that separate words in most contracts: space, tab, LF, VT, FF, CR.
@@ -21,12 +21,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_of(docs: DataFrame, keep: list[str] | None = None) -> Column:
+    """The columns ``keep`` (all by default) as one struct ``row``: inside it, no name can clash with an operator's own."""
+    return F.struct(*[quoted(c) for c in (docs.columns if keep is None else keep)]).alias("row")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a derived frame once under the shared checkpoint folder and read it back.
 
-    It outlives any executor, and its columns can be read one by one.
-    """
-    return materialize(df)
+    It outlives any executor, and its columns can be read one by one. The codec
+    is one that keeps copies of texts small."""
+    spark = df.sparkSession
+    folder = scratch_folder(spark)
+    df.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
@@ -34,6 +47,16 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(docs: DataFrame, keep: list[str] | None, text_col: str, *more: Column) -> DataFrame:
+    """(row, text, more, number), stored once: rows get names that don't change between
+    reads. The text is written once, even where ``row`` has it too."""
+    names = docs.columns if keep is None else keep
+    inside = text_col in names
+    base = docs.select(row_of(docs, keep), *([] if inside else [F.col(text_col).alias("text")]), *more)
+    base = stored(with_row_id(base, "number"))
+    return base.withColumn("text", F.col("row").getField(text_col)) if inside else base
+
+
 def training_remainder(doc_id, modulus: int):
     """``crc32(doc_id as text) mod modulus``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import documents, stored, text_slices, with_row_id
+from basketry.llm.common import documents, row_of, stored, text_slices, with_row_id
 from basketry.sources.tables import table
 
 WINDOW = 13
@@ -126,10 +126,9 @@ def decontaminate(
     ``row``, then n_words, n_hit, runs (of hit words), spans (code points), items
     (sorted as strings) and contaminated."""
     spark = docs.sparkSession
-    row = F.struct(*[F.col(c) for c in (docs.columns if keep is None else keep)]).alias("row")
     blocks = list(_blocks(benchmark, item_col, item_text_col, max_block_chars))
     one = len(blocks) == 1
-    base = docs.select(row, F.col(text_col).alias("text"))
+    base = docs.select(row_of(docs, keep), F.col(text_col).alias("text"))
     if not one:
         base = stored(with_row_id(base, "number"))
 

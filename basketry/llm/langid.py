@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import documents, text_slices, training_remainder
+from basketry.llm.common import documents, row_of, text_slices, training_remainder
 
 ORDER = 4
 SAMPLE_DOCS = 1500
@@ -248,8 +248,7 @@ def predict(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray, np.nd
 def identify(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) in a struct ``row``, and lang_pred, score and rejected."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    row = F.struct(*[F.col(c) for c in (docs.columns if keep is None else keep)]).alias("row")
-    frame = docs.select(row, F.col(text_col).alias("text"))
+    frame = docs.select(row_of(docs, keep), F.col(text_col).alias("text"))
     schema = T.StructType([frame.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
     def run(batches):

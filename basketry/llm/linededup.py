@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import SPACES, documents, stored, text_slices, with_row_id
+from basketry.llm.common import SPACES, documents, numbered, stored, text_slices
 
 #: A run is repeated if it has more words than this.
 MIN_WORDS = 50
@@ -105,13 +105,9 @@ def repeated_lines(later: np.ndarray, earlier: np.ndarray, matches: list[tuple[i
 def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_words: int = MIN_WORDS, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all by default) in a struct ``row``; n_lines; deleted
     (array<int>, sorted line numbers from 0); and ``text`` without those lines."""
-    row = F.struct(*[F.col(c) for c in (docs.columns if keep is None else keep)]).alias("row")
     kind = docs.schema[id_col].dataType.typeName()
     number = F.col(id_col).cast("double") if kind in ("byte", "short", "integer", "long", "float", "double", "decimal") else F.lit(0.0)
-    base = stored(with_row_id(docs.select(
-        row, F.col(text_col).alias("text"), F.col(id_col).cast("string").alias("id"),
-        F.coalesce(number, F.lit(float("inf"))).alias("id_order"),
-    ), "number"))
+    base = numbered(docs, keep, text_col, F.col(id_col).cast("string").alias("id"), F.coalesce(number, F.lit(float("inf"))).alias("id_order"))
 
     def cut(batches):
         for batch, texts in text_slices(batches, "text"):

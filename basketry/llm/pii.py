@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import documents
+from basketry.llm.common import documents, row_of
 from basketry.llm.native_spans import add_matches, run_start, spelled
 
 # Fixed patterns of the contract, with possessive groups (see native_spans).
@@ -98,7 +98,7 @@ def find_pii(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFr
     sorted by kind, then start."""
     patterns = {**BASE, **{k: p for k, (p, _, _) in MORE.items()}}
     order = {k: i for i, k in enumerate(patterns)}
-    frame = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    frame = docs.select(row_of(docs, keep), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     frame = add_matches(frame, "text", patterns)
 
     def scored(kind: str) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketry.llm.common import SPACE_CLASS, SPACES, documents, stored
+from basketry.llm.common import documents, row_of, SPACE_CLASS, SPACES, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -172,7 +172,7 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: st
     """``keep`` in a struct ``row``, the counts, base_failed, failed (names of the
     adaptive rules that failed) and kept, for every row of ``docs``."""
     named = docs.select(
-        F.struct(*keep).alias("row"), F.col(lang_col).cast("string").alias("lang"),
+        row_of(docs, keep), F.col(lang_col).cast("string").alias("lang"),
         F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

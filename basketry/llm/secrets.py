@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketry.llm.common import documents, stored
+from basketry.llm.common import documents, row_of, stored
 from basketry.llm.native_spans import add_matches, run_start, spelled
 
 # Fixed patterns of the contract; groups without alternatives inside are possessive or plain classes.
@@ -159,7 +159,7 @@ def find_secrets(docs: DataFrame, keep: list[str], text_col: str = "text", share
     """``keep`` in a struct ``row``, and base and spans: array<struct<start, kind_order, kind, stop>>
     sorted by start, then kind. ``spans`` are the base spans and the random strings."""
     # A row for every text; only those with a match go through the steps below
-    frame = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    frame = docs.select(row_of(docs, keep), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     runs = run_start(RUN_CLASS) + f"[{RUN_CLASS}]{{{MIN_RUN},}}+"
     frame = add_matches(frame, "text", {**KINDS, "run": runs}).drop("text")
     frame = frame.withColumn("assign", F.filter("assign", lambda s: F.length(F.regexp_replace(s["value"], ASSIGN_HEAD, "")) >= MIN_VALUE))

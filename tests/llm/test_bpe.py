@@ -78,8 +78,8 @@ def test_frame(spark, library):
     back = bpe.bpe_decode(spark.createDataFrame(rows).drop("decoded"), bpe.default_model_path()).collect()
     assert [r.decoded for r in back] == [r.decoded for r in rows]
     assert bpe.bpe_round_trip(docs.limit(0), bpe.default_model_path()).collect() == []
-    with pytest.raises(ValueError):
-        bpe.bpe_round_trip(docs.withColumnRenamed("n_tokens", "ids"), bpe.default_model_path())
+    clash = bpe.bpe_round_trip(docs.withColumnsRenamed({"n_tokens": "IDS", "doc_id": "a.b"}), bpe.default_model_path())
+    assert clash.columns == ["a.b", "text", "ids", "decoded"] and [len(r.ids) for r in clash.collect()] == [len(r.ids) for r in rows]
 
 
 def test_query(spark, library):
