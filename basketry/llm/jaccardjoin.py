@@ -7,14 +7,17 @@ different sets is never lost, and no other is made.
 
 1. Equal sets are one class from the start (128-bit hash of the sorted set), so
    copies cost one row each.
-2. Classes that can link share one of the first ``n // 4 + 1`` shingles of each
-   other's sets, in any order of shingles that all sets agree on. The order here
-   puts frequent shingles last, so that passages which many documents share don't
-   bring them together. Frequent means at least ``max(8, all shingles / 2^22)``
-   occurrences, which bounds the list that is sent to the tasks to 2^22 entries.
-   Documents that share one of their first shingles are linked in a star to the
-   least of them; the components of the stars are blocks outside of which no
-   link can be.
+2. Sets that link share many of their first shingles, in any order that all sets
+   agree on. The order here puts shingles of long words first, which unrelated texts
+   hardly share, and the first 2/5 of each set are looked at: two sets that
+   link share at least 15 in 100 of the larger set's number there. A set of which
+   fewer are in any other set's first part can't link. Of the others, each may leave
+   out almost half of that number and still share one with whatever it links to; it
+   leaves out its most common ones, so that passages which many documents share
+   don't bring them together. Documents that share one that is left are linked in a
+   star to the least of them; the components of the stars are blocks outside of
+   which no link can be. First shingles travel packed, by hash, in ranges of
+   bounded size; no range, and no table after it, holds pairs.
 3. In a block, shingles are hashed into groups; the counts of its groups make a
    document a point. An R-tree over the points holds in each node the largest
    counts and the least size below it. The overlap of two sets is at most the sum
@@ -47,19 +50,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import documents, stored, text_slices, with_row_id
+from basketry.llm.common import documents, numbered, stored, text_slices
 from basketry.llm.components import connected_components
 
 SHINGLE = 5
 #: Least similarity in percent.
 THRESHOLD = 75
-#: Entries of the list of frequent shingles.
-MAX_FREQUENT = 2**22
-MIN_FREQUENT = 8
+#: Percent of a set that aren't first shingles; must be less than the threshold.
+REST = 60
 #: First shingles that one task compares with each other.
 RANGE_ENTRIES = 2**18
 #: First shingles that a task holds before it passes them on.
@@ -69,6 +71,8 @@ TILE_SHINGLES = 1_500_000
 #: Words whose hash a task remembers.
 CACHE_WORDS = 1_000_000
 FAN_OUT = 16
+#: Bits for each member in the filter that spares most texts the way to the blocks, and bits at most.
+FILTER_BITS, MAX_FILTER_BITS = 16, 2**28
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -89,18 +93,19 @@ class WordHashes(dict):
 
 
 def shingle_set(text: str, words: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit shingle hashes."""
+    """Sorted distinct shingles: 4 bits that are less the longer their words are, and 60 of hash."""
     found = text.encode("utf-8", "surrogatepass").lower().split()
     h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
     if not len(h):
         return h
-    if len(h) < SHINGLE:
-        return mixed((h * _ODD[:len(h)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(h)))
-    n = len(h) - SHINGLE + 1
-    total = h[:n] * _ODD[0]
-    for k in range(1, SHINGLE):
-        total = total + h[k:k + n] * _ODD[k]
-    out = mixed(total)
+    k = min(SHINGLE, len(h))
+    n = len(h) - k + 1
+    total = np.full(n, k, np.uint64)
+    for i in range(k):
+        total += h[i:i + n] * _ODD[i]
+    upto = np.r_[0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))]
+    short = (15 - np.minimum((upto[k:] - upto[:n]) // 4, 15)).astype(np.uint64)
+    out = (mixed(total) >> np.uint64(4)) | (short << np.uint64(60))
     out.sort()
     keep = np.ones(n, bool)
     np.not_equal(out[1:], out[:-1], out=keep[1:])
@@ -112,15 +117,14 @@ def needed(a, b, threshold: int = THRESHOLD):
     return -(-threshold * (a + b) // (100 + threshold))
 
 
-def first_shingles(shingles: np.ndarray, frequent: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """So many of the set, frequent ones last, that sets which link share one of theirs."""
-    n = len(shingles) - (-(-threshold * len(shingles) // 100)) + 1
-    if not len(frequent):
-        return shingles[:n]
-    at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-    often = frequent[at] == shingles
-    rare = shingles[~often]
-    return rare[:n] if len(rare) >= n else np.r_[rare, shingles[often][:n - len(rare)]]
+def first_shingles(shingles: np.ndarray) -> np.ndarray:
+    """The part of a sorted set in which it meets the sets that it links with."""
+    return shingles[:len(shingles) - REST * len(shingles) // 100]
+
+
+def _met(n: Column, threshold: int) -> Column:
+    """So many of the first shingles of a set of ``n`` are among those of each set that it links with."""
+    return F.ceil(n * (threshold - REST) / 100).cast("int")
 
 
 class CountTree:
@@ -211,64 +215,36 @@ def _unpacked(x: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def _classes(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(number, id, n, class) of all rows, and (shingle, n) of shingles that several sets of one task hold."""
-    schema = "number long, n int, class binary, shingles array<long>, counts array<int>"
-
+def _classes(base: DataFrame) -> DataFrame:
+    """(number, n, class) of all rows."""
     def run(batches):
-        words, seen, held, size = WordHashes(), set(), [], 0
-
-        def repeated():
-            keys, counts = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            more = counts > 1
-            return pa.RecordBatch.from_arrays([
-                pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([None], pa.binary()),
-                pa.array([keys[more].view(np.int64)], pa.list_(pa.int64())), pa.array([counts[more]], pa.list_(pa.int32())),
-            ], names=["number", "n", "class", "shingles", "counts"])
-
+        words = WordHashes()
         for batch, texts in text_slices(batches, "text"):
-            sizes, names = [], []
-            for t in texts:
-                s = shingle_set(t, words)
-                name = xxhash.xxh3_128_digest(s.tobytes())
-                sizes.append(len(s))
-                names.append(name)
-                if name not in seen:
-                    seen.add(name)
-                    held.append(s)
-                    size += len(s)
-            none = pa.nulls(len(texts))
+            sets = [shingle_set(t, words) for t in texts]
             yield pa.RecordBatch.from_arrays([
-                batch.column(batch.schema.get_field_index("number")), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()),
-                none.cast(pa.list_(pa.int64())), none.cast(pa.list_(pa.int32())),
-            ], names=["number", "n", "class", "shingles", "counts"])
-            if size > 8 * FLUSH_ENTRIES:
-                yield repeated()
-                seen, held, size = set(), [], 0
-        yield repeated()
+                batch.column(batch.schema.get_field_index("number")), pa.array([len(s) for s in sets], pa.int32()),
+                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+            ], names=["number", "n", "class"])
 
-    out = stored(base.select("number", "text").mapInArrow(run, schema))
-    found = out.where("number is null").select(F.explode(F.arrays_zip("shingles", "counts")).alias("s"))
-    return out.where("number is not null").select("number", "n", "class"), found.select(F.col("s.shingles").alias("shingle"), F.col("s.counts").alias("n"))
+    return stored(base.select("number", "text").mapInArrow(run, "number long, n int, class binary"))
 
 
-def _stars(base: DataFrame, frequent: np.ndarray, entries: int, threshold: int) -> DataFrame:
-    """(a, b) numbers of rows that share one of their first shingles; of those that share one, each with the least."""
-    bits = max(0, (entries // RANGE_ENTRIES).bit_length())
-    sent = base.sparkSession.sparkContext.broadcast(frequent)
+def _shared(base: DataFrame, entries: int) -> DataFrame:
+    """(number, key, copies): the first shingles of rows that other rows have among theirs."""
+    parts = 1 << max(0, entries // RANGE_ENTRIES).bit_length()
 
     def cut(batches):
         words, seen, keys, owners, size = WordHashes(), set(), [], [], 0
 
         def passed_on():
             key, owner = np.concatenate(keys), np.repeat(np.array([o for o, _ in owners], np.int64), [k for _, k in owners])
-            order = np.argsort(key)
-            key, owner = key[order], owner[order]
-            part = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
+            part = (key & np.uint64(parts - 1)).astype(np.int64)
+            order = np.lexsort((key, part))
+            key, owner, part = key[order], owner[order], part[order]
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             ends = np.r_[cuts[1:], len(part)]
             low = int(owner.min())
-            kind = np.uint32 if int(owner.max()) - low < 2**32 else np.uint64
+            kind = np.uint16 if int(owner.max()) - low < 2**16 else np.uint32 if int(owner.max()) - low < 2**32 else np.uint64
             rows = [(int(part[a]), low, _packed(np.diff(key[a:b], prepend=np.uint64(0))), _packed((owner[a:b] - low).astype(kind))) for a, b in zip(cuts, ends)]
             names = ["part", "low", "keys", "owners"]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=names)
@@ -278,12 +254,9 @@ def _stars(base: DataFrame, frequent: np.ndarray, entries: int, threshold: int)
                 s = shingle_set(t, words)
                 name = xxhash.xxh3_128_digest(s.tobytes())
                 if not len(s) or name in seen:
-                    continue
+                    continue  # a copy within the task
                 seen.add(name)
-                first = first_shingles(s, sent.value, threshold)
-                if keys and abs(number - owners[0][0]) >= 2**32:
-                    yield passed_on()
-                    keys, owners, size = [], [], 0
+                first = first_shingles(s)
                 keys.append(first)
                 owners.append((number, len(first)))
                 size += len(first)
@@ -294,21 +267,51 @@ def _stars(base: DataFrame, frequent: np.ndarray, entries: int, threshold: int)
             yield passed_on()
 
     def met(part: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.cumsum(_unpacked(k, np.uint64), dtype=np.uint64) for k in part.column("keys").to_pylist()])
-        owners = []
-        for low, packed, k in zip(part.column("low").to_pylist(), part.column("owners").to_pylist(), part.column("keys").to_pylist()):
-            kind = np.uint32 if 2 * len(packed) == len(k) else np.uint64
-            owners.append(_unpacked(packed, kind).astype(np.int64) + low)
-        owner = np.concatenate(owners)
-        order = np.lexsort((owner, keys))
-        keys, owner = keys[order], owner[order]
-        begin = np.r_[True, keys[1:] != keys[:-1]]
-        least = owner[np.flatnonzero(begin)][np.cumsum(begin) - 1]
-        pairs = np.unique(np.stack([owner, least], 1)[owner != least], axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        keys = [np.cumsum(_unpacked(k, np.uint64), dtype=np.uint64) for k in part.column("keys").to_pylist()]
+        owners = [
+            _unpacked(x, {2: np.uint16, 4: np.uint32, 8: np.uint64}[len(x) // len(k)]).astype(np.int64) + low
+            for low, x, k in zip(part.column("low").to_pylist(), part.column("owners").to_pylist(), keys)
+        ]
+        key, owner = np.concatenate(keys), np.concatenate(owners)
+        order = np.argsort(key)
+        key, owner = key[order], owner[order]
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        copies = np.diff(np.r_[begin, len(key)])
+        copies = np.repeat(copies, copies)
+        more = copies > 1
+        return pa.table({"number": pa.array(owner[more]), "key": pa.array(key[more].view(np.int64)), "copies": pa.array(copies[more], pa.int32())})
 
     packs = base.select("number", "text").mapInArrow(cut, "part int, low long, keys binary, owners binary")
-    return packs.groupBy("part").applyInArrow(met, "a long, b long").distinct()
+    return packs.groupBy("part").applyInArrow(met, "number long, key long, copies int")
+
+
+def _stars(base: DataFrame, own: DataFrame, entries: int, threshold: int) -> DataFrame:
+    """(a, b) nodes that may be connected by links, in stars."""
+    shared = _shared(base, entries).groupBy("number").agg(F.sort_array(F.collect_list(F.struct("copies", "key"))).alias("keys"))
+    least = _met(F.col("n"), threshold)
+    enough = shared.join(own, "number").where(F.size("keys") >= least)
+    left = F.slice("keys", F.lit(1), F.size("keys") - F.floor((least - 1) / 2).cast("int"))
+    kept = stored(enough.select("node", F.explode(left).alias("k")).select("node", "k.key"))
+    stars = kept.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").select("key", "b")
+    return kept.join(stars, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def _only(frame: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of ``frame`` (number, text) that may be ``members``: a Bloom filter of one hash, of bounded size."""
+    bits = 1 << min(max(10, (FILTER_BITS * members.count()).bit_length()), MAX_FILTER_BITS.bit_length() - 1)
+    place = F.pmod(F.xxhash64("number"), F.lit(bits))
+    words = members.select(F.floor(place / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set")).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[np.asarray(words.column("word").combine_chunks())] = np.asarray(words.column("set").combine_chunks())
+    sent = frame.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def run(batches):
+        for batch in batches:
+            place = np.asarray(batch.column(batch.schema.get_field_index("place")))
+            on = sent.value[place // 64] >> (place % 64).astype(np.uint64) & np.uint64(1)
+            yield batch.drop_columns(["place"]).filter(pa.array(on.astype(bool)))
+
+    return frame.select("*", place.alias("place")).mapInArrow(run, frame.schema)
 
 
 def _links(base: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
@@ -341,7 +344,7 @@ def _links(base: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
             rest = [batch.column(batch.schema.get_field_index(c)) for c in ("number", "block", "jobs")]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(found, pa.list_(pa.int64()))], names=["number", "block", "jobs", "shingles"])
 
-    read = base.select("number", "text").join(jobs, "number")
+    read = _only(base.select("number", "text"), members).join(jobs, "number")
     schema = read.select("number", "block", "jobs").schema.add("shingles", T.ArrayType(T.LongType()))
     dealt = read.mapInArrow(sets, schema).select("block", F.explode("jobs").alias("job"), "number", "shingles")
     dealt = dealt.select("block", "job.band", "job.low", "job.other", "job.high", "job.side", "number", "shingles")
@@ -358,20 +361,12 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     """The columns ``keep`` (all by default) in a struct ``row``; n_shingles;
     component_id (the least id of the component; the own id for empty sets); and
     ``first``: whether the row is the one of the component to keep (least id, then row)."""
-    row = F.struct(*[F.col(c) for c in (docs.columns if keep is None else keep)]).alias("row")
-    base = stored(with_row_id(docs.select(row, F.col(id_col).alias("id"), F.col(text_col).alias("text")), "number"))
-    classes, repeated = _classes(base)
-    total, entries = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1), F.lit(0))).first()
-    often = max(MIN_FREQUENT, -(-total // MAX_FREQUENT))
-    frequent = repeated.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= often).select("shingle").toArrow()
-    frequent = np.sort(np.asarray(frequent.column("shingle").combine_chunks()).view(np.uint64))
-
+    base = numbered(docs, keep, text_col, F.col(id_col).alias("id"))
+    classes = _classes(base)
+    entries = classes.agg(F.coalesce(F.sum(F.col("n") - F.floor(F.col("n") * REST / 100)), F.lit(0))).first()[0]
     filled = classes.where("n > 0")
     own = stored(filled.join(filled.groupBy("class").agg(F.min("number").alias("node")), "class").select("number", "node", "n"))
-    stars = _stars(base, frequent, int(entries), threshold)
-    node = own.select("number", "node")
-    edges = stars.join(node.withColumnsRenamed({"number": "a", "node": "x"}), "a").join(node.withColumnsRenamed({"number": "b", "node": "y"}), "b")
-    blocks = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    blocks = connected_components(_stars(base, own, int(entries), threshold))
     members = stored(own.where("number = node").join(blocks.withColumnRenamed("root", "block"), "node").select("number", "n", "block"))
     roots = connected_components(_links(base, members, threshold))
 

@@ -64,7 +64,7 @@ def run(spark, rows, **more):
 @pytest.mark.parametrize("small", [False, True])
 def test_equals_all_pairs(spark, monkeypatch, small):
     if small:  # many ranges, flushes and tiles
-        for name, value in (("RANGE_ENTRIES", 64), ("FLUSH_ENTRIES", 500), ("TILE_SETS", 5), ("TILE_SHINGLES", 700), ("MIN_FREQUENT", 3), ("FAN_OUT", 3)):
+        for name, value in (("RANGE_ENTRIES", 64), ("FLUSH_ENTRIES", 500), ("TILE_SETS", 5), ("TILE_SHINGLES", 700), ("FAN_OUT", 3), ("FILTER_BITS", 1)):
             monkeypatch.setattr(jj, name, value)
     rng = random.Random(5)
     texts = near_copies(rng, 25, 12, 120)
@@ -116,14 +116,30 @@ def test_needed_is_the_threshold():
 
 
 def test_first_shingles_meet():
-    """Sets that link share one of their first shingles in any common order."""
+    """Sets that link share enough of their first shingles for each to leave out some."""
     rng = random.Random(8)
-    for _ in range(300):
-        pool = [rng.randrange(2**63) for _ in range(rng.randrange(1, 40))]
-        frequent = np.sort(np.array(rng.sample(pool, len(pool) // 3), np.uint64))
-        a, b = (np.unique(np.array([x for x in pool if rng.random() < 0.93] or pool[:1], np.uint64)) for _ in range(2))
+    linked = 0
+    for _ in range(2000):
+        pool = [rng.randrange(2**63) for _ in range(rng.randrange(1, 60))]
+        a, b = (np.unique(np.array([x for x in pool if rng.random() < 0.95] or pool[:1], np.uint64)) for _ in range(2))
         if jj.overlap(a, b) >= jj.needed(len(a), len(b)):
-            assert set(jj.first_shingles(a, frequent).tolist()) & set(jj.first_shingles(b, frequent).tolist())
+            linked += 1
+            common = set(jj.first_shingles(a).tolist()) & set(jj.first_shingles(b).tolist())
+            least = [-(-15 * len(x) // 100) for x in (a, b)]
+            assert len(common) >= max(least) and len(common) > sum((n - 1) // 2 for n in least)
+    assert linked > 500
+
+
+def test_shingles_are_distinct_sequences():
+    words = jj.WordHashes()
+    rng = random.Random(10)
+    for _ in range(100):
+        text = " ".join(rng.choice(["a", "bb", "CCC", "d" * 30, "é"]) for _ in range(rng.randrange(12)))
+        found = jj.shingle_set(text, words)
+        assert len(found) == len(shingles(text)) and (np.diff(found.astype(object)) > 0).all()
+    assert not set(jj.shingle_set("a b c", words).tolist()) & set(jj.shingle_set("a b c d", words).tolist())
+    # longer words come first
+    assert jj.shingle_set("aaaaaaaa bbbbbbbb cccccccc dddddddd eeeeeeee", words)[0] < jj.shingle_set("a b c d e", words)[0]
 
 
 def test_components(spark):
