@@ -33,14 +33,15 @@ def synthetic_edges(spark: SparkSession, num_vertices: int, num_edges: int, seed
 
     ``src`` is uniform on ``[0, V)``; ``dst`` is uniform on the other V-1
     vertices, drawn as an offset from ``src`` instead of redrawing, so every
-    row is kept and the row count is exact. Rows are generated in parallel by
-    ``spark.range``; the numbers differ from a sequential ``java.util.Random``.
+    row is kept and the row count is exact. Both draws are hashes of the row id
+    and the seed, so edges do not depend on partitioning; the numbers differ
+    from a sequential ``java.util.Random``.
     """
     if num_vertices < 2:
         raise ValueError("need at least two vertices for an edge without self-loop")
     ids = spark.range(0, num_edges, 1, num_partitions) if num_partitions else spark.range(num_edges)
-    src = F.floor(F.rand(seed) * num_vertices).cast("bigint")
-    offset = F.floor(F.rand(seed + 1) * (num_vertices - 1)).cast("bigint")
+    src = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("src")), F.lit(num_vertices))
+    offset = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("offset")), F.lit(num_vertices - 1))
     return ids.select(src.alias("src"), offset.alias("_off")).select(
         "src", ((F.col("src") + 1 + F.col("_off")) % num_vertices).alias("dst")
     )

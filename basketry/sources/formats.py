@@ -19,19 +19,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The purchases CSV header of the reference and our names for it
+# The purchases CSV header of the reference, our names and types
 # (the id is read as bigint so large customer keys do not overflow).
-PURCHASES_CSV_SCHEMA = T.StructType(
-    [
-        T.StructField("Member_number", T.LongType()),
-        T.StructField("Date", T.StringType()),
-        T.StructField("itemDescription", T.StringType()),
-        T.StructField("year", T.IntegerType()),
-        T.StructField("month", T.IntegerType()),
-        T.StructField("day", T.IntegerType()),
-    ]
-)
-PURCHASES_RENAMES = {"Member_number": "customer_id", "Date": "date", "itemDescription": "product"}
+PURCHASES_CSV = {
+    "Member_number": ("customer_id", "bigint"),
+    "Date": ("date", "string"),
+    "itemDescription": ("product", "string"),
+    "year": ("year", "int"),
+    "month": ("month", "int"),
+    "day": ("day", "int"),
+}
 
 # Characters a Java String.trim() removes: every code point up to U+0020.
 _JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
@@ -48,21 +45,38 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_purchases_csv(spark: SparkSession, path: str, date_format: str | None = None) -> DataFrame:
-    """Purchases CSV with a header line, typed by an explicit schema.
-
-    Quoted fields are honoured, surrounding blanks trimmed, and a malformed
-    line fails the read. ``date_format`` (e.g. ``"dd/MM/yyyy"``) turns the
+    """Purchases CSV with a header line; columns are bound by their names in it.
+
+    Columns may stand in any order and further ones are ignored; a missing one
+    raises ``ValueError``, and a file whose header differs from the first one's
+    fails the read. Quoted fields are honoured and surrounding blanks trimmed.
+    Every field of every line is checked, also when the query needs few of the
+    columns: a line with too few or too many fields, or with a number that is
+    not one, fails the read. ``date_format`` (e.g. ``"dd/MM/yyyy"``) turns the
     text date into a ``date``; without it the date stays text.
     """
-    df = (
-        spark.read.schema(PURCHASES_CSV_SCHEMA)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
-        .withColumnsRenamed(PURCHASES_RENAMES)
-    )
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("ignoreLeadingWhiteSpace", True)
+            .option("ignoreTrailingWhiteSpace", True)
+        )
+
+    header = reader().csv(path).columns
+    missing = [name for name in PURCHASES_CSV if name not in header]
+    if missing:
+        raise ValueError(f"columns missing in the header of {path}: {missing}")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    text = reader().schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    # every column is read as text and stands in the filter, so no pruned plan skips its check
+    bad = F.lit(False)
+    for name, (_, kind) in PURCHASES_CSV.items():
+        if kind != "string":
+            bad = bad | (F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull())
+    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in header])
+    checked = text.where(F.when(bad, F.raise_error(F.concat(F.lit("malformed line: "), line)).cast("boolean"))
+                         .otherwise(F.length(line) >= 0))
+    df = checked.select(*[F.col(name).try_cast(kind).alias(alias) for name, (alias, kind) in PURCHASES_CSV.items()])
     if date_format:
         df = df.withColumn("date", F.to_date("date", date_format))
     return df
@@ -72,7 +86,9 @@ def parse_basket_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """``id,item,item,...`` -> ``(basket_id string, items array<string>)``.
 
     Items are trimmed, empty items dropped and repeats removed (first
-    occurrence kept). Lines without an id and at least one item are skipped.
+    occurrence kept). Lines without an item are skipped, and so are lines with
+    an empty id: the id names the basket wherever lines are joined or merged, so
+    a basket without one cannot be told apart.
     """
     parts = F.split(F.col(value), ",")
     items = F.filter(
@@ -90,24 +106,25 @@ def basket_lines_to_items(baskets: DataFrame) -> DataFrame:
     return baskets.select("basket_id", F.explode("items").alias("item"))
 
 
-# An edge line: exactly two fields separated by whitespace (Java's \s class).
-_EDGE_LINE = r"^(\S+)\s+(\S+)$"
+# The white space that separates the fields of an edge line (Java's \s class).
+_EDGE_SPACES = " \t\n\x0b\f\r"
 
 
 def parse_edge_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """``src dst`` -> ``(src string, dst string)``.
 
     Lines are trimmed and must hold exactly two whitespace-separated fields;
-    empty lines and lines with one or three fields are skipped. One anchored
-    pattern (compiled once per task) replaces a split per row.
+    empty lines and lines with one or three fields are skipped. White space is
+    made single spaces' worth by ``translate`` and each line is split once,
+    without a regex: the fields come out of a generator, so neither the filter
+    nor the projection repeats the split.
     """
-    line = java_trim(F.col(value))
+    spaced = F.translate(java_trim(F.col(value)), _EDGE_SPACES[1:], " " * (len(_EDGE_SPACES) - 1))
+    fields = F.array_remove(F.split(spaced, " "), "")
     return (
-        lines.select(
-            F.regexp_extract(line, _EDGE_LINE, 1).alias("src"),
-            F.regexp_extract(line, _EDGE_LINE, 2).alias("dst"),
-        )
-        .where(F.col("src") != "")
+        lines.select(F.explode(F.array(fields)).alias("_fields"))
+        .where(F.size("_fields") == 2)
+        .select(F.get("_fields", 0).alias("src"), F.get("_fields", 1).alias("dst"))
     )
 
 

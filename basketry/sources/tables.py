@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.functions.text import split_on_delimiters
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -52,14 +54,9 @@ def purchases(spark: SparkSession, sf_dir: str, items: str = "name") -> DataFram
 
 
 def basket_items(purchases_df: DataFrame) -> DataFrame:
-    """``(customer_id, date, item)``: one row per item of a basket, repeats removed."""
-    return (
-        purchases_df.where(
-            F.col("customer_id").isNotNull() & F.col("date").isNotNull() & F.col("product").isNotNull()
-        )
-        .select("customer_id", "date", F.col("product").alias("item"))
-        .distinct()
-    )
+    """``(customer_id, date, item)``: the baskets of the purchases. Null items and
+    repeats stay: ``prepare_baskets`` counts every basket and removes both."""
+    return purchases_df.select("customer_id", "date", F.col("product").alias("item"))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,17 +66,14 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the session has cores.
-
-    For inputs whose per-row work is heavy (tokenising whole documents). A
-    large input already has at least as many splits as cores and is
-    returned unchanged, so no shuffle is added at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id bigint, text string)``."""
-    return spread_small_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id bigint, item string)``: every document as a basket of its words
+    (see ``functions.text``), repeats included; a document without words is a
+    basket of one null item."""
+    words = F.filter(split_on_delimiters("text"), lambda w: w != "")
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(words).alias("item"))

@@ -52,8 +52,22 @@ def test_synthetic_edges(spark):
     assert stats.n == 60_000 and stats.loops == 0
     assert stats.lo_s == 0 and stats.hi_s == 49 and stats.lo_d == 0 and stats.hi_d == 49
     assert stats.distinct_edges == 50 * 49  # every possible edge is drawn at this density
-    again = synthetic_edges(spark, 50, 60_000, seed=42, num_partitions=4)
-    assert e.exceptAll(again).count() == 0  # same seed and partitions, same edges
+    # the same seed gives the same edges, however they are partitioned
+    again = synthetic_edges(spark, 50, 60_000, seed=42, num_partitions=7)
+    assert e.exceptAll(again).count() == 0
+    other = synthetic_edges(spark, 50, 60_000, seed=43, num_partitions=4)
+    assert e.exceptAll(other).count() > 0
+
+
+def test_draws_of_an_edge_are_independent(spark):
+    """Offsets of no seed repeat the sources of another, in any alignment."""
+    n = 3000
+    rows = {seed: [(r.src, (r.dst - r.src - 1) % 1000) for r in synthetic_edges(spark, 1000, n, seed, 4).collect()] for seed in (42, 43)}
+    for a in rows.values():
+        for b in rows.values():
+            for shift in (0, n // 4):
+                same = sum(x[0] == y[1] for x, y in zip(a[shift:], b))
+                assert same < 30
 
 
 def test_scalar_map_demo(spark):

@@ -40,6 +40,70 @@ def test_purchases_csv_fails_fast(spark):
         read_purchases_csv(spark, again).collect()
 
 
+def _csv(lines, name="x.csv"):
+    path = os.path.join(_tmp(), name)
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_purchases_csv_binds_by_header(spark):
+    path = _csv(["year,day,extra,month,Date,itemDescription,Member_number", "2015,5,e,3,05/03/2015,milk,7"])
+    row = read_purchases_csv(spark, path, "dd/MM/yyyy").first()
+    assert (row.customer_id, str(row.date), row.product, row.year, row.month, row.day) == (7, "2015-03-05", "milk", 2015, 3, 5)
+    assert read_purchases_csv(spark, path).columns == ["customer_id", "date", "product", "year", "month", "day"]
+
+
+def test_purchases_csv_with_a_missing_column(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="month"):
+        read_purchases_csv(spark, _csv(["Member_number,Date,itemDescription,year,day", "1,01/01/2015,milk,2015,1"]))
+
+
+def test_purchases_csv_files_with_different_headers(spark):
+    import pytest
+
+    folder = _tmp()
+    for name, lines in (("a.csv", ["Member_number,Date,itemDescription,year,month,day", "1,01/02/2015,milk,2015,2,1"]),
+                        ("b.csv", ["Member_number,Date,itemDescription,year,day,month", "1,01/02/2015,milk,2015,1,2"])):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    with pytest.raises(Exception):
+        read_purchases_csv(spark, folder).collect()
+
+
+def test_malformed_lines_fail_in_pruned_plans(spark):
+    import pytest
+
+    head = "Member_number,Date,itemDescription,year,month,day"
+    for bad in ("1,01/01/2015,milk,20x5,1,1", "1,01/01/2015,milk,2015,1,1,9", "1,01/01/2015,milk,2015,1", "1.5,01/01/2015,milk,2015,1,1"):
+        path = _csv([head, "2,02/01/2015,tea,2015,1,2", bad])
+        with pytest.raises(Exception):
+            read_purchases_csv(spark, path).select("customer_id", "date", "month").collect()
+        with pytest.raises(Exception):
+            read_purchases_csv(spark, path).count()
+    good = read_purchases_csv(spark, _csv([head, "2,02/01/2015,tea,2015,1,2", ",,,,,"]))
+    assert good.select("month").count() == 2  # empty fields are nulls, not malformed
+
+
+def test_items_are_trimmed(spark):
+    from basketry.sources.formats import parse_basket_lines
+
+    lines = spark.createDataFrame([("  b1 ,\t milk\t, bread ,milk",)], "value string")
+    assert [(r.basket_id, r["items"]) for r in parse_basket_lines(lines).collect()] == [("b1", ["milk", "bread"])]
+
+
+def test_ordered_pair_file(spark):
+    import glob
+
+    rows = [(f"i{k % 7}", f"j{k % 13:02d}", k) for k in range(91)]
+    d = _tmp()
+    write_pairs(spark.createDataFrame(rows, "item_a string, item_b string, support long").repartition(5), f"{d}/p", ordered=True)
+    lines = [x for part in sorted(glob.glob(f"{d}/p/part-*")) for x in open(part).read().splitlines()]
+    assert lines == sorted(f"{a}|{b}\t{n}" for a, b, n in rows)
+
+
 def test_pair_file_round_trip(spark):
     d = _tmp()
     pairs = spark.createDataFrame([("a", "b", 3), ("b", "c", 10)], "item_a string, item_b string, support long")
