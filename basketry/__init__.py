@@ -24,7 +24,6 @@ from basketry.operators.pairs import (
     prepare_baskets,
 )
 from basketry.operators.rules import (
-    RuleGenerator,
     association_rules,
     basket_total,
     generate_rules,
@@ -38,7 +37,6 @@ from basketry.operators.text import word_count
 
 __all__ = [
     "BasketSet",
-    "RuleGenerator",
     "association_rules",
     "basket_total",
     "baskets_per_month",

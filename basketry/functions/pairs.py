@@ -17,12 +17,6 @@ def ordered_pair(a: str | Column, b: str | Column) -> tuple[Column, Column]:
     return F.least(ca, cb), F.greatest(ca, cb)
 
 
-def sorted_items(items: str | Column) -> Column:
-    """Distinct items of an array in ascending order, nulls removed."""
-    col = F.col(items) if isinstance(items, str) else items
-    return F.array_sort(F.array_distinct(F.filter(col, lambda x: x.isNotNull())))
-
-
 def explode_pairs(df: DataFrame, items: str = "items", keep: list[str] | None = None) -> DataFrame:
     """All pairs ``(item_a < item_b)`` of a sorted, distinct item array.
 
@@ -48,6 +42,17 @@ def explode_cross_pairs(df: DataFrame, left: str, right: str, keep: list[str] |
     return ys.select(*keep, a.alias("item_a"), b.alias("item_b"))
 
 
+# Bucket ids are 32-bit integers.
+MAX_BUCKETS = 2**31 - 1
+
+
+def check_buckets(num_buckets: int) -> int:
+    """``num_buckets`` if bucket ids fit a 32-bit integer, else ``ValueError``."""
+    if not 1 <= num_buckets <= MAX_BUCKETS:
+        raise ValueError(f"num_buckets must be between 1 and {MAX_BUCKETS}, not {num_buckets}")
+    return num_buckets
+
+
 def pair_text(a: str | Column = "item_a", b: str | Column = "item_b") -> Column:
     """``a|b`` (the reference's text form of a pair)."""
     ca = F.col(a) if isinstance(a, str) else a
@@ -67,11 +72,6 @@ def polynomial_bucket(a: str | Column, b: str | Column, num_buckets: int) -> Col
     return F.aggregate(codes, F.lit(0).cast("bigint"), lambda h, c: (h * 31 + c) % num_buckets).cast("int")
 
 
-# Largest bucket count for which per-item polynomial codes combine without
-# 64-bit overflow ((n - 1) * (n - 1) + n must stay below 2**63).
-MAX_COMBINED_BUCKETS = 3_037_000_499
-
-
 def item_polynomial(item: str | Column, num_buckets: int) -> tuple[Column, Column]:
     """``(h, p)`` of one item for the polynomial pair hash: ``h`` folds the
     item's characters from 0 (``h = (h * 31 + code) % n``), ``p`` is
@@ -92,7 +92,7 @@ def item_polynomial(item: str | Column, num_buckets: int) -> tuple[Column, Colum
 
 def combined_polynomial_bucket(h_a: Column, h_b: Column, p_b: Column, num_buckets: int) -> Column:
     """The polynomial bucket of ``"a|b"`` from per-item codes (code of ``|`` is
-    124): folding is linear modulo n, so ``fold(a|b) = (fold(a|) * 31**len(b)
+    124). Up to ``MAX_BUCKETS`` no product overflows 64 bits: folding is linear modulo n, so ``fold(a|b) = (fold(a|) * 31**len(b)
     + fold(b)) % n``. Plain arithmetic, code-generated."""
     head = (h_a * 31 + 124) % num_buckets
     return ((head * p_b + h_b) % num_buckets).cast("int")
@@ -104,6 +104,7 @@ def fast_bucket(a: str | Column, b: str | Column, num_buckets: int) -> Column:
 
 
 def pair_bucket(a: str | Column, b: str | Column, num_buckets: int, hash_kind: str = "xxhash64") -> Column:
+    check_buckets(num_buckets)
     if hash_kind == "xxhash64":
         return fast_bucket(a, b, num_buckets)
     if hash_kind == "polynomial":

@@ -24,7 +24,3 @@ def split_on_delimiters(text: str | Column) -> Column:
     """
     return F.split(spaced(text), " ")
 
-
-def tokens(text: str | Column) -> Column:
-    """Array of tokens; case and punctuation kept, no empty tokens."""
-    return F.filter(split_on_delimiters(text), lambda t: t != "")

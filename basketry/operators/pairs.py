@@ -20,11 +20,15 @@ Plan shape (all native Spark, no Python workers):
    ``(basket, lo chunk, hi chunk)``, which spreads one basket over many tasks.
    Chunk arrays and chunk pairs are weighted the same way, so copies of a
    heavy basket expand once too.
-4. Rows that explode into many pairs are round-robined over task counts
-   derived from the measured pair volume: adaptive execution sizes
-   partitions by input bytes and would otherwise pack them into few tasks.
+4. Rows that explode into many pairs are round-robined over as many tasks as
+   the measured pair volume asks for (``PAIRS_PER_TASK``), whatever the number of
+   cores: adaptive execution sizes partitions by input bytes and would
+   otherwise pack them into few tasks.
 5. Supports are sums of weights, aggregated partially before the shuffle.
 
+What a set of baskets stores (items, heavy list, item supports, item codes) it
+stores once; ``BasketSet.release`` deletes all of it.
+
 PCY (``pcy_pass1`` / ``pcy_pass2``) prunes before expansion: pass 2 keeps
 only frequent items (semi join) and only pairs whose hash bucket is frequent
 (semi join with a broadcast of at most ``num_buckets`` ids). A pair with
@@ -35,66 +39,105 @@ plain count for every bucket count and hash.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.pairs import (
-    MAX_COMBINED_BUCKETS,
+    check_buckets,
     combined_polynomial_bucket,
     explode_cross_pairs,
     explode_pairs,
     item_polynomial,
     pair_bucket,
 )
-from basketry.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_stored
-from basketry.plans.lineage import materialize, materialize_with_folder, remove_folder
+from basketry.plans.guards import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, broadcast_checked, measured_size
+from basketry.plans.lineage import materialize_with_folder, remove_folder
 
 DEFAULT_KEYS = ("customer_id", "date")
 # Largest basket expanded as one array (at most 19,900 pairs); bigger
 # baskets are chunked and spread.
 DEFAULT_MAX_ITEMS = 200
-# Heavy-basket work is spread over at most this many tasks per core.
-TASKS_PER_CORE = 16
-# Pair rows one task should generate at most from light baskets.
-PAIRS_PER_TASK = 20_000_000
+# Pair rows one task should generate.
+PAIRS_PER_TASK = 5_000_000
 # Bucket ids are broadcast for the PCY bitmap only up to this many buckets.
 MAX_BROADCAST_BUCKETS = 4_000_000
 
 
-@dataclass(frozen=True)
+@dataclass
 class BasketSet:
     """De-duplicated basket items plus the heavy-basket list.
 
     ``items``: ``(keys..., attrs..., item)``, one row per item of a basket.
     ``attrs`` are columns fixed per basket (e.g. ``month``) carried along for
     grouping. ``heavy``: ``(keys..., n_chunks)`` or ``None`` when no basket
-    has more than ``max_items`` items.
+    has more than ``max_items`` items. ``n_baskets`` counts every basket, also
+    those whose items are all null.
     """
 
     items: DataFrame
     keys: tuple[str, ...]
     attrs: tuple[str, ...]
     max_items: int
-    heavy: DataFrame | None
+    heavy: DataFrame | None = None
     heavy_chunks: int = 0  # chunks of all heavy baskets
     heavy_cells: int = 0  # (lo, hi) chunk pairs of all heavy baskets
-    folder: str | None = None  # where ``items`` was materialised
     light_pairs: int = 0  # pairs of all light baskets (upper bound after pruning)
     heavy_broadcast: bool = True  # False: the heavy list is joined by a shuffle
-    n_baskets: int = 0  # baskets with at least one item
+    n_baskets: int = 0
+    collapse_copies: bool = True  # count identical item sets once, with a weight
+    folders: list[str] = field(default_factory=list)  # everything stored for this set
+    _support: DataFrame | None = field(default=None, repr=False)
+    _codes: dict[int, tuple[DataFrame, bool]] = field(default_factory=dict, repr=False)
 
     @property
     def columns(self) -> list[str]:
         return [*self.keys, *self.attrs]
 
-    def release(self) -> bool:
-        """Delete the materialised basket items once every result built on
-        them has been computed or written. Returns whether a folder was removed."""
-        if self.folder is None:
-            return False
-        return remove_folder(self.items.sparkSession, self.folder)
+    def store(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` once under the shared checkpoint folder, as part of this set."""
+        stored, folder = materialize_with_folder(df)
+        self.folders.append(folder)
+        return stored
+
+    def support(self) -> DataFrame:
+        """``(item, support bigint)``: baskets holding the item, counted and stored once
+        for the item filter, the pruning report and the rules."""
+        if self._support is None:
+            self._support = self.store(item_counts(self))
+        return self._support
+
+    def codes(self, num_buckets: int) -> tuple[DataFrame, bool]:
+        """``(item, support, h, p)`` with the item's polynomial codes, stored once, and
+        whether it is within the broadcast bounds."""
+        if num_buckets not in self._codes:
+            h, p = item_polynomial("item", num_buckets)
+            codes = self.store(self.support().select("item", "support", h.alias("h"), p.alias("p")))
+            self._codes[num_buckets] = broadcast_checked(codes)
+        return self._codes[num_buckets]
+
+    def pair_volume(self, items: DataFrame | None = None) -> tuple[int, int, int]:
+        """Pairs of light baskets, inside the chunks of heavy ones and across them:
+        upper bounds by the sizes measured on the full baskets or, given a subset of
+        the items, by the pairs of that subset if they are fewer."""
+        chunk = self.max_items**2
+        volume = self.light_pairs, self.heavy_chunks * chunk // 2, self.heavy_cells * chunk
+        if items is None:
+            return volume
+        n = F.count(F.lit(1))
+        sizes = items.groupBy(*self.keys).agg((n * (n - 1) / 2).cast("bigint").alias("pairs"))
+        total = int(sizes.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0])
+        return tuple(min(v, total) for v in volume)
+
+    def release(self) -> int:
+        """Delete everything stored for this set once every result built on it
+        has been computed or written. Returns the number of folders removed."""
+        spark = self.items.sparkSession
+        removed = sum(remove_folder(spark, folder) for folder in self.folders)
+        self.folders.clear()
+        self._support, self._codes = None, {}
+        return removed
 
 
 def prepare_baskets(
@@ -105,24 +148,31 @@ def prepare_baskets(
     max_items: int = DEFAULT_MAX_ITEMS,
     materialize_items: bool = True,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    collapse_copies: bool = True,
 ) -> BasketSet:
     """Build a ``BasketSet`` from rows ``(keys..., attrs..., item)``.
 
-    Rows with a null key or item are dropped (a null key is not a basket).
+    Rows with a null key are dropped (a null key is not a basket). A null item
+    is no item, but its basket counts in ``n_baskets``. ``collapse_copies=False``
+    states that few baskets are copies of one another: pairs are then
+    expanded without first grouping equal item sets, which saves a shuffle of
+    all item arrays.
     """
     if max_items < 2:
         raise ValueError("max_items must be at least 2")
     keys = tuple(keys)
     attrs = tuple(attrs)
     cols = [*keys, *attrs]
-    not_null = F.col(item).isNotNull()
+    not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    items = basket_items.where(not_null).select(*cols, F.col(item).alias("item")).distinct()
-    folder = None
+    rows = basket_items.where(not_null).select(*cols, F.col(item).alias("item")).distinct()
+    baskets = BasketSet(rows, keys, attrs, max_items, collapse_copies=collapse_copies)
     if materialize_items:
-        items, folder = materialize_with_folder(items)
-    sizes = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows = baskets.store(rows)
+    baskets.items = rows.where(F.col("item").isNotNull())
+    sizes = rows.groupBy(*keys).agg(F.count("item").alias("_n"))
     n = F.col("_n").cast("bigint")
     is_heavy = F.col("_n") > max_items
     chunks = F.ceil(n / F.lit(max_items))
@@ -135,40 +185,31 @@ def prepare_baskets(
         F.sum(F.when(~is_heavy, n * (n - 1) / 2)).cast("bigint").alias("light_pairs"),
         F.count(F.lit(1)).alias("baskets"),
     ).first()
-    light_pairs = int(stats.light_pairs or 0)
-    if not stats.heavy:
-        return BasketSet(items, keys, attrs, max_items, None, folder=folder, light_pairs=light_pairs,
-                         n_baskets=int(stats.baskets))
-    # stored once, so the plan does not group every basket again to rebuild it
-    heavy = materialize(sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks")))
-    small = stats.heavy <= broadcast_rows
-    if small:
-        heavy = F.broadcast(heavy)  # row count measured just above
-    return BasketSet(items, keys, attrs, max_items, heavy, int(stats.chunks), int(stats.cells), folder,
-                     light_pairs, small, int(stats.baskets))
-
-
-def _spread(df: DataFrame, units: int) -> DataFrame:
-    """Round-robin ``df`` over one task per unit of work (capped by cores).
+    baskets.light_pairs = int(stats.light_pairs or 0)
+    baskets.n_baskets = int(stats.baskets)
+    if stats.heavy:
+        # stored once, so the plan does not group every basket again to rebuild it
+        heavy = baskets.store(sizes.where(is_heavy).select(*keys, chunks.cast("int").alias("n_chunks")))
+        baskets.heavy, baskets.heavy_broadcast = broadcast_checked(heavy, broadcast_rows, broadcast_bytes)
+        baskets.heavy_chunks, baskets.heavy_cells = int(stats.chunks), int(stats.cells)
+    return baskets
+
+
+def tasks_for(pairs: int) -> int:
+    """Tasks that so many pairs are spread over."""
+    return max(1, -(-pairs // PAIRS_PER_TASK))
+
+
+def _spread(df: DataFrame, pairs: int) -> DataFrame:
+    """Round-robin ``df`` over the tasks that its pairs ask for.
 
     Rows here are small (item arrays) but each expands to up to
-    ``max_items`` squared pairs, so partitions must be sized by rows, not by
+    ``max_items`` squared pairs, so partitions must be sized by pairs, not by
     bytes: an explicit partition count keeps adaptive execution from
-    coalescing many such rows into one task.
+    coalescing many such rows into one task. What one task can do keeps
+    adaptive partitioning.
     """
-    cap = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
-    return df.repartition(max(1, min(units, cap)))
-
-
-def _spread_light(df: DataFrame, pairs: int) -> DataFrame:
-    """Round-robin light item sets when they would make more than
-    ``PAIRS_PER_TASK`` pairs per core; smaller inputs keep adaptive
-    partitioning. Rows are sized by bytes by AQE, but a 200-item set makes
-    19,900 pairs, so large inputs get an explicit task count."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if pairs <= cores * PAIRS_PER_TASK:
-        return df
-    return _spread(df, -(-pairs // PAIRS_PER_TASK))
+    return df if pairs <= PAIRS_PER_TASK else df.repartition(tasks_for(pairs))
 
 
 def chunk_baskets(baskets: BasketSet, items: DataFrame | None = None) -> DataFrame:
@@ -210,14 +251,15 @@ def pair_occurrences(
     unknown = set(group) - set(baskets.attrs)
     if unknown:
         raise ValueError(f"group columns {sorted(unknown)} are not basket attributes")
+    light_pairs, inside_pairs, across_pairs = baskets.pair_volume(items)
     chunks = chunk_baskets(baskets, items)
     light = chunks if baskets.heavy is None else chunks.where(F.col("n_chunks") == 1)
-    weighted = (
-        light.where(F.size("items") >= 2)
-        .groupBy(*group, "items")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    pairs = explode_pairs(_spread_light(weighted, baskets.light_pairs), keep=[*group, "weight"])
+    light = light.where(F.size("items") >= 2)
+    if baskets.collapse_copies:
+        weighted = light.groupBy(*group, "items").agg(F.count(F.lit(1)).alias("weight"))
+    else:
+        weighted = light.select(*group, "items", F.lit(1).cast("bigint").alias("weight"))
+    pairs = explode_pairs(_spread(weighted, light_pairs), keep=[*group, "weight"])
     if baskets.heavy is None:
         return pairs
 
@@ -230,7 +272,7 @@ def pair_occurrences(
         .groupBy(*group, "items")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
-    within = explode_pairs(_spread(inside, baskets.heavy_chunks), keep=[*group, "weight"])
+    within = explode_pairs(_spread(inside, inside_pairs), keep=[*group, "weight"])
     cols = baskets.columns
     lower = big.where(F.col("chunk") < F.col("n_chunks") - 1).select(
         *cols,
@@ -249,7 +291,7 @@ def pair_occurrences(
         .groupBy(*group, "items_lo", "items_hi")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
-    across = explode_cross_pairs(_spread(grid, baskets.heavy_cells), "items_lo", "items_hi",
+    across = explode_cross_pairs(_spread(grid, across_pairs), "items_lo", "items_hi",
                                  keep=[*group, "weight"])
     return pairs.unionByName(within).unionByName(across)
 
@@ -268,40 +310,46 @@ def item_counts(baskets: BasketSet, group: Sequence[str] = ()) -> DataFrame:
 
 
 def frequent_items(baskets: BasketSet, min_support: int) -> DataFrame:
-    return item_counts(baskets).where(F.col("support") >= min_support)
+    """``(item, support)`` of the items in at least ``min_support`` baskets."""
+    return baskets.support().where(F.col("support") >= min_support)
 
 
 def _keep_items(baskets: BasketSet, keep: DataFrame) -> DataFrame:
-    """Basket items restricted to ``keep.item``; the item list is stored once
-    and broadcast after a size check."""
-    keep, _ = broadcast_stored(keep.select("item"))
+    """Basket items restricted to ``keep.item``, broadcast after a size check.
+
+    ``keep`` is read from storage (a filter of the stored supports)."""
+    keep = keep.select("item")
+    rows, size = measured_size(keep)
+    if rows <= DEFAULT_BROADCAST_ROWS and size <= DEFAULT_BROADCAST_BYTES:
+        keep = F.broadcast(keep)
     return baskets.items.join(keep, "item", "left_semi")
 
 
 def with_bucket(baskets: BasketSet, pairs: DataFrame, num_buckets: int, hash_kind: str,
-                name: str = "bucket") -> DataFrame:
-    """Adds the bucket of ``(item_a, item_b)``.
+                name: str = "bucket", supports: bool = False) -> DataFrame:
+    """Adds the bucket of ``(item_a, item_b)``; with ``supports`` also the supports
+    of both items as ``support_a`` and ``support_b``.
 
     For the polynomial hash the characters of each distinct item are folded
-    once and the codes are looked up per pair from a broadcast table (after
-    a row-count check), so pairs only do arithmetic. Without that bound, or
-    for bucket counts whose products would overflow, every pair is folded.
+    once and the codes are looked up per pair in a table that is broadcast
+    within the size bounds, so pairs only do arithmetic. Beyond the bounds,
+    pairs without need of supports fold their characters themselves.
     """
-    if hash_kind != "polynomial" or num_buckets > MAX_COMBINED_BUCKETS:
-        return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
-    h, p = item_polynomial("item", num_buckets)
-    codes = baskets.items.select("item").distinct().select("item", h.alias("h"), p.alias("p"))
-    codes, rows = broadcast_stored(codes)
-    if rows > DEFAULT_BROADCAST_ROWS:
-        return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
-    a_codes = codes.select(F.col("item").alias("item_a"), F.col("h").alias("_h_a"))
-    b_codes = codes.select(F.col("item").alias("item_b"), F.col("h").alias("_h_b"), F.col("p").alias("_p_b"))
-    bucket = combined_polynomial_bucket(F.col("_h_a"), F.col("_h_b"), F.col("_p_b"), num_buckets)
-    return (
-        pairs.join(a_codes, "item_a").join(b_codes, "item_b")
-        .withColumn(name, bucket)
-        .drop("_h_a", "_h_b", "_p_b")
-    )
+    check_buckets(num_buckets)
+    polynomial = hash_kind == "polynomial"
+    if polynomial or supports:
+        table, within = baskets.codes(num_buckets)
+        if within or supports:
+            a = table.select(F.col("item").alias("item_a"), F.col("support").alias("support_a"), F.col("h").alias("_h_a"))
+            b = table.select(F.col("item").alias("item_b"), F.col("support").alias("support_b"),
+                             F.col("h").alias("_h_b"), F.col("p").alias("_p_b"))
+            if within:
+                a, b = F.broadcast(a), F.broadcast(b)
+            bucket = (combined_polynomial_bucket(F.col("_h_a"), F.col("_h_b"), F.col("_p_b"), num_buckets)
+                      if polynomial else pair_bucket("item_a", "item_b", num_buckets, hash_kind))
+            out = pairs.join(a, "item_a").join(b, "item_b").withColumn(name, bucket).drop("_h_a", "_h_b", "_p_b")
+            return out if supports else out.drop("support_a", "support_b")
+    return pairs.withColumn(name, pair_bucket("item_a", "item_b", num_buckets, hash_kind))
 
 
 def pcy_pass1(
@@ -382,26 +430,21 @@ def pcy_pruning(
     distinct pairs before pruning, after the item filter, after the item and
     bucket filters, and the number of frequent buckets. Computed from one
     expansion: a bucket's pass-1 count is the sum of the supports of the
-    pairs hashed into it.
+    pairs hashed into it, and both item filters are looked up with the item
+    codes, so one aggregate by bucket holds all four numbers.
     """
-    supports = with_bucket(baskets, pair_support(baskets), num_buckets, hash_kind)
-    hot_buckets = (
-        supports.groupBy("bucket").agg(F.sum("support").alias("count"))
-        .where(F.col("count") >= min_support)
-        .select("bucket", F.lit(True).alias("_bucket_ok"))
-    )
-    hot_items = frequent_items(baskets, min_support).select("item")
-    flagged = (
-        supports.join(hot_items.select(F.col("item").alias("item_a"), F.lit(True).alias("_a_ok")), "item_a", "left")
-        .join(hot_items.select(F.col("item").alias("item_b"), F.lit(True).alias("_b_ok")), "item_b", "left")
-        .join(hot_buckets, "bucket", "left")
+    found = with_bucket(baskets, pair_support(baskets), num_buckets, hash_kind, supports=True)
+    items_ok = (F.col("support_a") >= min_support) & (F.col("support_b") >= min_support)
+    by_bucket = found.groupBy("bucket").agg(
+        F.sum("support").alias("count"),
+        F.count(F.lit(1)).alias("pairs"),
+        F.count_if(items_ok).alias("candidates"),
     )
-    items_ok = F.coalesce(F.col("_a_ok"), F.lit(False)) & F.coalesce(F.col("_b_ok"), F.lit(False))
-    bucket_ok = F.coalesce(F.col("_bucket_ok"), F.lit(False))
-    # every frequent bucket holds at least one pair, so it is counted here too
-    return flagged.agg(
-        F.count(F.lit(1)).alias("all_pairs"),
-        F.count_if(items_ok).alias("item_candidates"),
-        F.count_if(items_ok & bucket_ok).alias("bucket_candidates"),
-        F.count_distinct(F.when(bucket_ok, F.col("bucket"))).alias("frequent_buckets"),
+    frequent = F.col("count") >= min_support
+    zero = F.lit(0).cast("bigint")
+    return by_bucket.agg(
+        F.coalesce(F.sum("pairs"), zero).alias("all_pairs"),
+        F.coalesce(F.sum("candidates"), zero).alias("item_candidates"),
+        F.coalesce(F.sum(F.when(frequent, F.col("candidates"))), zero).alias("bucket_candidates"),
+        F.count_if(frequent).alias("frequent_buckets"),
     )

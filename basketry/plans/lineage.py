@@ -13,6 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Scratch folders of this process that have not been deleted yet.
+_FOLDERS: set[str] = set()
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting one only where none is configured."""
@@ -45,8 +48,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new, unique folder name under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    """A new, unique folder name under the shared checkpoint folder.
+
+    Every folder is remembered until ``remove_folder`` or ``release_scratch``
+    deletes it, so intermediate data never outlives its last use unnoticed.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-{uuid.uuid4().hex}"
+    _FOLDERS.add(folder)
+    return folder
 
 
 def materialize_with_folder(df: DataFrame) -> tuple[DataFrame, str]:
@@ -59,7 +68,22 @@ def materialize_with_folder(df: DataFrame) -> tuple[DataFrame, str]:
 
 def remove_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a folder written by ``materialize_with_folder`` (any Hadoop file system)."""
+    _FOLDERS.discard(folder)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(path, True))
+
+
+def scratch_mark() -> frozenset[str]:
+    """The scratch folders that exist now; see ``release_scratch``."""
+    return frozenset(_FOLDERS)
+
+
+def release_scratch(spark: SparkSession, since: frozenset[str] = frozenset()) -> int:
+    """Delete the scratch folders made after ``since = scratch_mark()`` (all by
+    default). Call it when every result that reads them has been written."""
+    folders = _FOLDERS - since
+    for folder in folders:
+        remove_folder(spark, folder)
+    return len(folders)

@@ -1,37 +1,8 @@
 """Streaming.
 
 The reference has no streams, watermarks, time windows or state: all of its
-jobs are batch. The counting operators are plain DataFrame transforms, so
-``word_count`` and ``degree_count`` also apply unchanged to a streaming
-DataFrame (``spark.readStream.text(...)``); ``incremental_word_count`` shows
-that use.
+jobs are batch, and nothing is added here. The counting operators are plain
+DataFrame transforms, so ``word_count`` and ``degree_count`` also apply
+unchanged to a streaming DataFrame (``spark.readStream.text(...)``) with any
+sink that Spark offers for complete or update mode.
 """
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
-
-from basketry.operators.text import word_count
-
-
-def incremental_word_count(lines: DataFrame, checkpoint: str, target: str,
-                           text_col: str = "value") -> StreamingQuery:
-    """Start a streaming word count over a streaming text frame.
-
-    Running counts live in Spark's state store under ``checkpoint`` (a shared
-    folder, so a restarted query resumes where it stopped). After every
-    micro-batch the executors overwrite the Parquet table at ``target`` with
-    the complete counts; nothing is gathered on the driver.
-    """
-
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
-
-    return (
-        word_count(lines, text_col)
-        .writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )

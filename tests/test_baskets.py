@@ -92,14 +92,40 @@ def test_basket_lines_round_trip(spark):
     assert ("1_2020-01-05", "milk") in items and len(items) == 12
 
 
-def test_basket_lines_split_heavy_baskets(spark):
-    rows = [(9, "2020-05-05", f"item{i:02d}") for i in range(25)] + [(8, "2020-05-05", "x")]
+def test_a_basket_of_any_size_is_one_line(spark):
+    items = [f"item{i:03d}" for i in range(450)]
+    rows = [(9, "2020-05-05", i) for i in reversed(items)] + [(9, "2020-05-05", items[0]), (8, "2020-05-05", "x")]
     df = purchases_frame(spark, rows)
-    lines = B.to_basket_lines(df, max_items=10).collect()
-    heavy = [r for r in lines if r.basket_id == "9_2020-05-05"]
-    assert len(heavy) >= 3
-    items = [i for r in heavy for i in r.line.split(",")[1:]]
-    assert sorted(items) == [f"item{i:02d}" for i in range(25)]
+    lines = {r.basket_id: r.line for r in B.to_basket_lines(df).collect()}
+    assert lines == {"9_2020-05-05": ",".join(["9_2020-05-05", *items]), "8_2020-05-05": "8_2020-05-05,x"}
+    parsed = parse_basket_lines(B.to_basket_lines(df).selectExpr("line AS value")).collect()
+    assert {r.basket_id: len(r["items"]) for r in parsed} == {"9_2020-05-05": 450, "8_2020-05-05": 1}
+
+
+def test_basket_lines_store_nothing(spark):
+    from basketry.plans.lineage import scratch_mark
+
+    before = scratch_mark()
+    B.to_basket_lines(purchases_frame(spark, ROWS)).collect()
+    assert scratch_mark() == before
+
+
+def test_sorted_outputs_are_in_order(spark):
+    p = purchases(spark, SF_SMALL)
+    months = [r.month for r in B.baskets_per_month(p).collect()]
+    assert months == sorted(months)
+    counts = [(r.month, -r.n_baskets, r.item_a, r.item_b) for r in B.pair_counts_per_month(p).collect()]
+    assert counts == sorted(counts)
+    assert [r.month for r in B.top_pair_per_month(p).collect()] == months
+
+
+def test_prepared_baskets_give_the_same_pairs(spark):
+    p = purchases(spark, SF_SMALL)
+    want = B.pair_counts_per_month(p).collect()
+    for collapse in (True, False):
+        baskets = B.month_baskets(p, collapse_copies=collapse)
+        assert B.pair_counts_per_month(baskets).collect() == want
+        assert baskets.release() == 1
 
 
 def test_parse_basket_line_cases(spark):
@@ -125,3 +151,16 @@ def test_irregularity_ties_ignore_float_noise(spark):
     df = purchases_frame(spark, rows)
     ranked = [r.customer_id for r in B.most_irregular_customers(df, 3, "zero").collect()]
     assert ranked == [3, 5, 7]
+
+
+def test_irregularity_ranks_exactly(spark):
+    # variances 1e8 apart from each other by one part in 1e9: rounding would tie them
+    rows = [(c, f"2020-01-{d:02d}", n) for c, days in {4: [1, 3, 8, 9], 2: [1, 3, 8, 8], 6: [1, 3, 8, 9]}.items()
+            for d, k in enumerate(days, 1) for n in map(str, range(k))]
+    df = purchases_frame(spark, rows)
+    got = [r.customer_id for r in B.most_irregular_customers(df, 3, "zero").collect()]
+    assert got == [4, 6, 2]
+    keys = {r.customer_id: r.rank_key for r in B.irregularity_with_rank(df, "zero").collect()}
+    assert keys[4] == keys[6] > keys[2]
+    # (4 * 155 - 21 ** 2) / 12
+    assert tuple(keys[4]) == (14, 916_666_666_666)

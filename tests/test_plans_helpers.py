@@ -1,7 +1,15 @@
 """Lineage and broadcast helpers."""
 
-from basketry.plans.guards import bounded_rows, broadcast_if_small
-from basketry.plans.lineage import ensure_checkpoint_dir, materialize_with_folder, remove_folder, scratch_folder
+from basketry.plans.guards import broadcast_checked, broadcast_stored, measured_size
+from basketry.plans.lineage import (
+    ensure_checkpoint_dir,
+    materialize,
+    materialize_with_folder,
+    release_scratch,
+    remove_folder,
+    scratch_folder,
+    scratch_mark,
+)
 
 
 def _plan(df):
@@ -24,25 +32,33 @@ def test_materialize_round_trip_and_removal(spark):
     assert not remove_folder(spark, folder)
 
 
-def test_broadcast_only_within_bound(spark):
+def test_scratch_is_remembered_until_released(spark):
+    release_scratch(spark)
+    first = materialize(spark.range(3))
+    mark = scratch_mark()
+    materialize(spark.range(5))
+    assert release_scratch(spark, mark) == 1 and first.count() == 3
+    assert release_scratch(spark) == 1 and release_scratch(spark) == 0
+
+
+def test_broadcast_only_within_bounds(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
     probe = spark.range(10_000).withColumnRenamed("id", "k")
-    assert bounded_rows(big, 100) == 101  # counting stops after the bound
-    hinted, rows = broadcast_if_small(small, 100)
-    assert rows == 10
-    assert "BroadcastHashJoin" in _plan(probe.join(hinted, "k"))
-    plain, rows = broadcast_if_small(big, 100)
-    assert rows == 101 and plain is big
+    hinted, within = broadcast_checked(small, 100)
+    assert within and "BroadcastHashJoin" in _plan(probe.join(hinted, "k"))
+    plain, within = broadcast_checked(small, 9)
+    assert not within and plain is small
+    # few rows, but wide ones
+    wide = spark.range(10).selectExpr("id AS k", "repeat('x', 1000) AS s", "CAST(NULL AS string) AS t")
+    assert measured_size(wide) == (10, 10 * 1008)
+    assert not broadcast_checked(wide, 100, 10_000)[1] and broadcast_checked(wide, 100, 10_080)[1]
 
 
 def test_broadcast_stored_reads_the_stored_copy(spark):
-    from basketry.plans.guards import broadcast_stored
-
     agg = spark.range(1000).selectExpr("id % 10 AS k").groupBy("k").count()
-    stored, rows = broadcast_stored(agg, 100)
-    assert rows == 10
+    stored, within = broadcast_stored(agg, 100)
+    assert within
     plan = _plan(spark.range(10_000).withColumnRenamed("id", "k").join(stored, "k"))
     assert "BroadcastHashJoin" in plan and "FileScan parquet" in plan and "HashAggregate" not in plan
-    big, rows = broadcast_stored(spark.range(500), 100)
-    assert rows == 101 and "FileScan parquet" in _plan(big)
+    big, within = broadcast_stored(spark.range(500), 100)
+    assert not within and "FileScan parquet" in _plan(big)

@@ -2,23 +2,19 @@ import os
 import tempfile
 
 from basketry.operators.text import word_count
-from basketry.streaming import incremental_word_count
 
 
-def test_incremental_word_count_equals_batch(spark):
+def test_word_count_applies_to_a_stream(spark):
     src = tempfile.mkdtemp(prefix="basketry-stream-src-")
-    ckpt = tempfile.mkdtemp(prefix="basketry-stream-ckpt-")
-    out = os.path.join(tempfile.mkdtemp(prefix="basketry-stream-out-"), "counts")
-    with open(os.path.join(src, "a.txt"), "w") as f:
-        f.write("a b a\n\tc\n")
-    q = incremental_word_count(spark.readStream.text(src), ckpt, out)
+    for name, text in (("a.txt", "a b a\n\tc\n"), ("b.txt", "b  b\fa\n")):
+        with open(os.path.join(src, name), "w") as f:
+            f.write(text)
+    counts = word_count(spark.readStream.text(src))
+    assert counts.isStreaming
+    q = counts.writeStream.outputMode("complete").format("memory").queryName("stream_words").start()
     try:
         q.processAllAvailable()
-        with open(os.path.join(src, "b.txt"), "w") as f:
-            f.write("b  b\fa\n")
-        q.processAllAvailable()
+        got = {r.word: r.n for r in spark.table("stream_words").collect()}
     finally:
         q.stop()
-    got = {r.word: r.n for r in spark.read.parquet(out).collect()}
-    want = {r.word: r.n for r in word_count(spark.read.text(src)).collect()}
-    assert got == want == {"a": 3, "b": 3, "c": 1}
+    assert got == {"a": 3, "b": 3, "c": 1}

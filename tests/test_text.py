@@ -1,7 +1,6 @@
 import pyarrow.parquet as pq
 from collections import Counter
 
-from basketry.functions.text import tokens
 from basketry.operators.text import word_count
 from conftest import SF_SMALL
 
@@ -33,11 +32,6 @@ def test_edge_cases(spark):
     assert got["A"] == 1 and got["a"] == 2 and got["\u00a0z"] == 1
 
 
-def test_tokens_expression(spark):
-    df = spark.createDataFrame([(" a\tb  c ",)], "value string")
-    assert df.select(tokens("value").alias("t")).first().t == ["a", "b", "c"]
-
-
 def test_whole_documents_match_brute_force(spark):
     texts = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["text"]).column(0).to_pylist()
     want = Counter(w for t in texts if t for w in string_tokenizer(t))
