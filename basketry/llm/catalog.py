@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from basketry.llm.bpe import op6_bpe
-from basketry.llm.decontamination import op7_decontamination
-from basketry.llm.jaccardjoin import op8_jaccard_join
+from basketry.llm.decontamination import OP7_SQL, op7_decontamination
+from basketry.llm.jaccardjoin import OP8_SQL, op8_jaccard_join
 from basketry.llm.langid import op9_language_id
 from basketry.llm.linededup import OP4_SQL, op4_line_dedup
 from basketry.llm.lm import op5_lm_score
@@ -29,4 +29,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_quality": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op7_decontamination": OP7_SQL,
+    "op8_jaccard_join": OP8_SQL,
 }

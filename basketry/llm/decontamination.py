@@ -191,3 +191,18 @@ def op7_decontamination(spark, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP7_SQL = rf"""
+with d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+b as (select item_id::varchar item, regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark where text is not null and item_id is not null),
+i as (select distinct item, k, array_to_string(w[pos:pos + k - 1], ' ') g from (select item, w, least(len(w), {WINDOW}) k, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) pos from b where len(w) > 0)),
+x as (select r, k, pos, array_to_string(w[pos:pos + k - 1], ' ') g from (select r, w, k, unnest(range(1, len(w) - k + 2)) pos from d, (select distinct k from i))),
+h as (select x.r, x.pos, x.k, i.item from x join i on x.k = i.k and x.g = i.g),
+n as (select r, count(distinct place) n_hit from (select r, unnest(range(pos, pos + k)) place from h) group by r),
+t as (select r, count(distinct item) n_items, array_to_string(list_sort(list(distinct item)), ',') items from h group by r)
+select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+       sha256(coalesce(items, '')) items_sha256, coalesce(n_hit > 0 and {SHARE} * n_hit >= len(w), false) contaminated
+from d left join n using (r) left join t using (r)
+"""

@@ -387,3 +387,18 @@ def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """All documents with the component that links of at least 0.75 join them in."""
     out = jaccard_components(documents(spark, sf_dir), keep=["doc_id"])
     return out.select("row.doc_id", "n_shingles", "component_id")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP8_SQL = rf"""
+with recursive d as (
+    select row_number() over () r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+s as (select distinct r, len(w[pos:pos + {SHINGLE - 1}]) k, array_to_string(w[pos:pos + {SHINGLE - 1}], ' ') g from (select r, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) pos from d where len(w) > 0)),
+n as (select r, count(*) n from s group by r),
+o as (select a.r a, b.r b, count(*) o from s a join s b on a.k = b.k and a.g = b.g and a.r < b.r group by all),
+l as (select a, b from o join n x on x.r = a join n y on y.r = b where 100 * o >= {THRESHOLD} * (x.n + y.n - o)),
+e as (select a, b from l union all select b, a from l),
+c as (select r a, r b from d union select c.a, e.b from c join e on c.b = e.a)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, (select min(y.doc_id) from c join d y on y.r = c.b where c.a = d.r) component_id
+from d left join n on n.r = d.r
+"""
