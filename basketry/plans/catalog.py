@@ -42,10 +42,12 @@ from basketry.operators.text import word_count
 from basketry.plans.lineage import scratch_folder
 from basketry.sources import formats, sinks, tables
 
-# The reference's rule thresholds.
+# The reference's PCY support threshold and rule thresholds.
+SUPPORT = 3
 CONFIDENCE = 0.05
 INTEREST = 0.02
-# Minimum pair support for dense items, in thousandths of the baskets.
+# Minimum pair support for dense items, in thousandths of the baskets, in the
+# queries that show pruning; the rules keep the reference's support.
 SUPPORT_PER_MILLE = 4
 # Minimum support of words and word pairs, in percent of the documents.
 WORD_SUPPORT_PERCENT = 5
@@ -220,6 +222,11 @@ def _dense_pairs(spark, sf):
     return baskets, frequent_pairs(baskets, _share(baskets, SUPPORT_PER_MILLE, 1000))
 
 
+def _rule_pairs(spark, sf):
+    baskets = _dense_baskets(spark, sf)
+    return baskets, frequent_pairs(baskets, SUPPORT)
+
+
 def q_frequent_pairs(spark, sf):
     return _dense_pairs(spark, sf)[1]
 
@@ -252,12 +259,12 @@ def q_candidate_rules(spark, sf):
 
 
 def q_rules_with_confidence(spark, sf):
-    baskets, pairs = _dense_pairs(spark, sf)
+    baskets, pairs = _rule_pairs(spark, sf)
     return _round(R.with_confidence(R.generate_rules(pairs), baskets.support(), CONFIDENCE), "confidence")
 
 
 def _final_rules(spark, sf):
-    baskets, pairs = _dense_pairs(spark, sf)
+    baskets, pairs = _rule_pairs(spark, sf)
     rules = R.association_rules(pairs, baskets.items, CONFIDENCE, INTEREST,
                                 total=baskets.n_baskets, support=baskets.support())
     return rules, baskets
@@ -375,15 +382,22 @@ _FREQUENT = (
     f"support * 1000 >= {SUPPORT_PER_MILLE} * (SELECT count(*) FROM (SELECT DISTINCT customer_id, date FROM purchases))"
 )
 
-_RULES = f"""
-fp AS (SELECT * FROM pairs WHERE {_FREQUENT}),
+_FREQUENT_PAIRS = f"""
+fp AS (SELECT * FROM pairs WHERE {_FREQUENT})"""
+
+_RULE_PAIRS = f"""
+fp AS (SELECT * FROM pairs WHERE support >= {SUPPORT})"""
+
+_CANDIDATES = """
 cand AS (
   SELECT DISTINCT antecedent, consequent, pair_support FROM (
     SELECT item_a AS antecedent, item_b AS consequent, support AS pair_support FROM fp
     UNION ALL
     SELECT item_b AS antecedent, item_a AS consequent, support AS pair_support FROM fp)
   WHERE antecedent <> consequent
-),
+)"""
+
+_RULES = f"""
 conf AS (
   SELECT c.*, s.support AS antecedent_support,
          CAST(c.pair_support AS DOUBLE) / s.support AS confidence
@@ -549,26 +563,26 @@ FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND a.word < b.word
 GROUP BY 1, 2 HAVING count(*) * 100 >= {WORD_SUPPORT_PERCENT} * (SELECT n FROM n)""",
     "pair_lines_roundtrip": _with(_DENSE, _BI, _PAIRS) + f"""
 SELECT item_a, item_b, support FROM pairs WHERE {_FREQUENT}""",
-    "candidate_rules": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
+    "candidate_rules": _with(_DENSE, _BI, _PAIRS, _FREQUENT_PAIRS, _CANDIDATES) + """
 SELECT antecedent, consequent, pair_support FROM cand""",
-    "rules_with_confidence": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
+    "rules_with_confidence": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULE_PAIRS, _CANDIDATES, _RULES) + """
 SELECT antecedent, consequent, pair_support, antecedent_support, round(confidence, 6) AS confidence
 FROM conf""",
-    "association_rules": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
+    "association_rules": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULE_PAIRS, _CANDIDATES, _RULES) + """
 SELECT antecedent, consequent, pair_support, antecedent_support, round(confidence, 6) AS confidence,
        consequent_support, round(prob_consequent, 6) AS prob_consequent, round(interest, 6) AS interest
 FROM rules""",
-    "recommend_top_item": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
+    "recommend_top_item": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULE_PAIRS, _CANDIDATES, _RULES) + """
 , top AS (SELECT antecedent AS item FROM rules ORDER BY confidence DESC, antecedent, consequent LIMIT 1)
 SELECT DISTINCT r.consequent, round(r.confidence, 6) AS confidence, round(r.interest, 6) AS interest
 FROM rules r JOIN top ON r.antecedent = top.item
 WHERE r.consequent NOT IN (SELECT item FROM top)""",
-    "recommend_held_items": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + f"""
+    "recommend_held_items": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULE_PAIRS, _CANDIDATES, _RULES) + f"""
 , top AS (SELECT antecedent AS item FROM rules ORDER BY confidence DESC, antecedent, consequent LIMIT {HELD_RULES})
 SELECT DISTINCT r.consequent, round(r.confidence, 6) AS confidence, round(r.interest, 6) AS interest
 FROM rules r JOIN (SELECT DISTINCT item FROM top) t ON r.antecedent = t.item
 WHERE r.consequent NOT IN (SELECT item FROM top)""",
-    "recommend_all": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULES) + """
+    "recommend_all": _with(_DENSE, _BI, _PAIRS, _SUPPORT, _RULE_PAIRS, _CANDIDATES, _RULES) + """
 SELECT DISTINCT CAST(b.customer_id AS VARCHAR) || '_' || CAST(b.date AS VARCHAR) AS basket_id,
        r.consequent, round(r.confidence, 6) AS confidence, round(r.interest, 6) AS interest
 FROM bi b JOIN rules r ON b.item = r.antecedent
