@@ -85,6 +85,24 @@ def sequences(texts: list[str], ids: dict[bytes, int]) -> tuple[np.ndarray, np.n
     return flat, np.cumsum(lengths) - lengths, found
 
 
+def rare_words(s: np.ndarray, starts: np.ndarray, found: list[list[bytes]]) -> tuple[list[bytes], list[int], np.ndarray]:
+    """The words without id of each text, each once, how often they occur, and where each text's words end (from 0)."""
+    place = np.flatnonzero(s < 0)
+    cut = np.searchsorted(place, np.r_[starts, len(s)]).tolist()
+    place, words, times, ends = place.tolist(), [], [], [0]
+    for x, start, a, b in zip(found, starts.tolist(), cut, cut[1:]):
+        own = [x[i - start - 1] for i in place[a:b]]
+        if len(set(own)) < len(own):
+            counts = Counter(own)
+            words += counts.keys()
+            times += counts.values()
+        else:
+            words += own
+            times += [1] * len(own)
+        ends.append(len(words))
+    return words, times, np.array(ends)
+
+
 def pairs_of(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Marks of the places (but those that begin a text) that have an id, as does the place before."""
     on = (s >= 0) & np.r_[False, s[:-1] >= 0]
@@ -240,7 +258,6 @@ def score_texts(docs: DataFrame, train: DataFrame, keep: list[str], text_col: st
     sent = spark.sparkContext.broadcast((words, known, raw, index))
 
     frame = with_row_id(docs.select(row_of(docs, keep), F.col(text_col).alias("text")), "number")
-    rare = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
     schema = T.StructType([
         frame.schema["row"], T.StructField("number", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
@@ -262,11 +279,12 @@ def score_texts(docs: DataFrame, train: DataFrame, keep: list[str], text_col: st
             had[has] = known[s[has]] > 0
             had[starts] = 0
             sums = [np.add.reduceat(x, starts) for x in (had, base, log)] if len(starts) else [np.zeros(0)] * 3
-            others = [[{"word": w, "n": n} for w, n in Counter(w for w in x if w not in ids).items()] for x in found]
+            others, times, bounds = rare_words(s, starts, found)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(times, pa.int64())], names=["word", "n"]))
             own = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "number")]
             yield pa.RecordBatch.from_arrays([
                 *own, pa.array([len(x) for x in found], pa.int64()), pa.array(sums[0], pa.int64()),
-                pa.array(sums[1], pa.float64()), pa.array(sums[2], pa.float64()), pa.array(others, rare),
+                pa.array(sums[1], pa.float64()), pa.array(sums[2], pa.float64()), lists,
             ], names=schema.names)
 
     scored = stored(frame.mapInArrow(run, schema))
