@@ -8,9 +8,9 @@ from basketry.llm.jaccardjoin import OP8_SQL, op8_jaccard_join
 from basketry.llm.langid import op9_language_id
 from basketry.llm.linededup import OP4_SQL, op4_line_dedup
 from basketry.llm.lm import op5_lm_score
-from basketry.llm.pii import op3_pii
+from basketry.llm.pii import OP3_SQL, op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
-from basketry.llm.secrets import op1_secrets
+from basketry.llm.secrets import OP1_SQL, op1_secrets
 from basketry.llm.sharding import op10_sharding
 
 QUERIES = {
@@ -27,7 +27,9 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_secrets": OP1_SQL,
     "op2_quality": OP2_SQL,
+    "op3_pii": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_jaccard_join": OP8_SQL,

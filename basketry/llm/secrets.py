@@ -189,3 +189,51 @@ def op1_secrets(spark, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), *[count(k) for k in KINDS],
         F.sha2(spelled(F.col("base")), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"),
     )
+
+
+def _oracle() -> str:
+    """The same in SQL; its engine knows neither look-around nor ASCII-only case folding, and
+    needs no possessive repeats."""
+    either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    head = "(" + "|".join(map(either, ("password", "passwd", "secret", "token", "api_?key"))) + ")[\"'']?\\x20*[:=]\\x20*[\"'']?"
+    patterns = {"assign": head + "[A-Za-z0-9+/_.=-]+", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", "run": f"[{RUN_CLASS}]{{{MIN_RUN},}}"}
+    matches = " union all ".join(f"select r, {i} o, '{k}' kind, regexp_extract_all(t, '{p}') m, string_split_regex(t, '{p}') g from d" for i, (k, p) in enumerate(patterns.items()))
+    encoding = f"""case when regexp_full_match(v, '[0-9]+') then 'decimal'
+        when regexp_full_match(v, '[0-9a-f]+|[0-9A-F]+') then 'hex' when regexp_full_match(v, '[a-z]+|[A-Z]+|[A-Z][a-z]+') then 'letters'
+        when regexp_full_match(v, '[A-Z2-7]+') and regexp_matches(v, '[2-7]') then 'base32' when regexp_full_match(v, '[a-z0-9]+|[A-Z0-9]+') then 'base36' else 'base64' end"""
+    of = lambda values: "case encoding " + " ".join(f"when '{k}' then {v}" for k, v in values.items()) + " end"
+    alphabet, size, effect = (of({k: f(e) for k, e in ENCODINGS.items()}) for f in (lambda e: f"'{e[1]}'", lambda e: f"{len(e[1])}::double", lambda e: f"{e[2]}::double"))
+    density = "exp(-x * x / 2) / 2.5066282746310002"
+    near = f"{density} * u * (0.319381530 + u * (-0.356563782 + u * (1.781477937 + u * (-1.821255978 + u * 1.330274429))))"
+    far = f"{density} * (1 / x) * (1 - 1 / (x * x + 2))"
+    return rf"""
+with d as (select row_number() over () r, doc_id, coalesce(text, '') t from documents),
+m as ({matches}),
+i as (select r, o, kind, m, g, unnest(range(1, len(m) + 1)) i from m),
+e as (select r, o, kind, m[i] v, (list_sum(list_transform(g[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0))::bigint s from i
+      where case kind when 'assign' then length(regexp_replace(m[i], '^{head}', '')) >= {MIN_VALUE} when 'access' then length(m[i]) >= 20 when 'hex' then length(m[i]) >= 24 else true end),
+f as (select r, o, kind, v, s, s + length(v) e from e),
+b as (select * from f where kind <> 'run'),
+c as (select row_number() over () id, r, s, e, v, {encoding} encoding from f where kind = 'run' and not exists (select 1 from b where b.r = f.r and b.s < f.e and f.s < b.e)),
+a as (select id, r, s, e, encoding, {size} k, {effect} w2, length(v)::double n,
+      list_transform(string_split(case encoding when 'base64' then translate(v, '_-', '/+') else lower(v) end, ''), lambda x: (strpos({alphabet}, x) - 1)::double) y
+      from c where encoding not in ({", ".join(f"'{u}'" for u in UNTESTED)})),
+q as (select *, list_sum(list_transform(list_distinct(y), lambda x: pow(len(list_filter(y, lambda z: z = x)), 2)))::double squares,
+      coalesce(list_sum(list_transform(range(2, len(y) + 1), lambda j: ((y[j] * 2 >= k) <> (y[j - 1] * 2 >= k))::int)), 0)::double changes, list_sum(y) / n mean from a),
+h as (select *, coalesce(list_sum(list_transform(range(2, len(y) + 1), lambda j: (y[j] - mean) * (y[j - 1] - mean))) / nullif(list_sum(list_transform(y, lambda x: (x - mean) * (x - mean))), 0), 1.0) serial from q),
+z as (select id, r, s, e, encoding || ' ' || floor(2 * log2(n))::bigint stratum,
+      greatest(-3000, least(3000, floor(100 * (((k * squares / n - n - (k - 1) - n * w2) / sqrt(2 * (k - 1 + 2 * n * w2))
+      + (abs(changes / (n - 1) - 0.5) - {RUNS_EFFECT}) * 2 * sqrt(n - 1) + (abs(serial) - {SERIAL_EFFECT}) * sqrt(n)) / sqrt(3.0)))))::int z from h),
+n as (select stratum, z, count(*) n from z group by all),
+u as (select stratum, z, sum(n) over (partition by stratum order by z) upto, sum(n) over (partition by stratum) total, abs((z + 1) / 100.0) x, 1 / (1 + 0.2316419 * abs((z + 1) / 100.0)) u from n),
+p as (select *, case when x > 5 then {far} else {near} end tail from u),
+l as (select stratum, max(z) z from p where (case when z + 1 > 0 then 1 - tail else tail end) * total <= {FALSE_SHARE} * upto group by stratum),
+x as (select r, o, kind, s, e from b union all select z.r, {len(KINDS)}, 'random', s, e from z join l on z.stratum = l.stratum and z.z <= l.z),
+k as (select r, string_agg(kind || ':' || s || ':' || e, ',' order by s, o) spelled, {", ".join(f"count(*) filter (kind = '{n}') n_{n}" for n in KINDS)} from b group by r),
+w as (select r, string_agg(kind || ':' || s || ':' || e, ',' order by s, o) spelled from x group by r)
+select doc_id, {", ".join(f"coalesce(n_{n}, 0)::bigint n_{n}" for n in KINDS)}, sha256(coalesce(k.spelled, '')) base_sha256, coalesce(w.spelled, '') spans
+from d left join k on k.r = d.r left join w on w.r = d.r
+"""
+
+
+OP1_SQL = _oracle()

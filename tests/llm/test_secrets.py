@@ -7,7 +7,7 @@ import random
 import re
 
 import pytest
-from helpers_llm import odd_documents
+from helpers_llm import odd_documents, oracle_rows, sorted_rows
 
 from basketry.llm import native_spans, secrets
 
@@ -22,6 +22,15 @@ def brute(text):
     return sorted(found)
 
 
+def same_as_sql(docs):
+    out = secrets.find_secrets(docs, ["doc_id"])
+    count = lambda k: secrets.F.size(secrets.F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    spelled = lambda c: native_spans.spelled(secrets.F.col(c))
+    got = out.select("row.doc_id", *map(count, secrets.KINDS), secrets.F.sha2(spelled("base"), 256), spelled("spans")).collect()
+    frame = docs.toPandas().astype(object).where(lambda x: x.notna(), None)
+    assert sorted_rows(got) == sorted_rows(oracle_rows(secrets.OP1_SQL, documents=frame))
+
+
 def spans(rows, column):
     return {r.row.doc_id: [(s.start, s.kind_order, s.kind, s.stop) for s in r[column]] for r in rows}
 
@@ -38,12 +47,14 @@ def test_base_spans(spark):
     parts = ["token", "=", ":", " ", "'", '"', "abcdef", "AKIA", "0a1b2c3d4e5f", "Z9", "secret", "é", "\n", "api_key", "PASSWD"]
     texts = TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(400)]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id int, text string, base string")
+    same_as_sql(docs.where("length(text) < 50000 or text is null"))
     got = spans(secrets.find_secrets(docs, ["doc_id"]).collect(), "base")
     assert got == {i: brute(t) for i, t in enumerate(texts)}
 
 
 def test_odd_rows(spark):
     docs = odd_documents(spark)
+    same_as_sql(docs)
     assert secrets.find_secrets(docs, ["doc_id"]).count() == docs.count()
     assert secrets.find_secrets(docs.limit(0), ["doc_id"]).collect() == []
 
@@ -56,6 +67,7 @@ def test_battery_tells_keys_from_words(spark):
     keys = [base64.b64encode(rng.randbytes(48)).decode() for _ in range(40)] + ["".join(rng.choice("0123456789ABCDEF") for _ in range(64)) for _ in range(40)]
     plain = [w for w in words + paths if len(w) >= secrets.MIN_RUN]
     docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(plain + keys)], "doc_id int, text string")
+    same_as_sql(docs)
     rows = secrets.find_secrets(docs, ["doc_id"]).collect()
     flagged = {r.row.doc_id for r in rows if any(s.kind == "random" for s in r.spans)}
     assert len([i for i in flagged if i >= len(plain)]) >= 0.8 * len(keys)
