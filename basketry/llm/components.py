@@ -19,7 +19,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges`` (a, b: long); root is the least node of the component.
 
     Null ends, loops and repeated edges don't matter; no edges give no rows."""
-    pairs = edges.where("a is not null and b is not null and a <> b").select("a", "b")
+    # stored before it is read in both directions: a second run of its plan may choose other edges
+    pairs = stored(edges.where("a is not null and b is not null and a <> b").select("a", "b"))
     both = stored(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")))
     while True:

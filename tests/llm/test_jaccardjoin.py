@@ -161,6 +161,21 @@ def test_components(spark):
     assert connected_components(frame.limit(0)).collect() == []
 
 
+def test_components_of_edges_that_change_between_runs(spark):
+    """A plan that gives its edges another direction each time it runs connects the same nodes."""
+    def turned(batches):
+        import random as r
+
+        import pyarrow as pa
+
+        for batch in batches:
+            ends = [(i, i + 1) if r.random() < 0.5 else (i + 1, i) for i in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends]), pa.array([e[1] for e in ends])], names=["a", "b"])
+
+    edges = spark.range(80).where("id % 40 <> 39").mapInArrow(turned, "a long, b long")
+    assert {r.node: r.root for r in connected_components(edges).collect()} == {i: i - i % 40 for i in range(80)}
+
+
 def test_odd_and_empty(spark):
     docs = odd_documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
