@@ -370,16 +370,19 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     members = stored(own.where("number = node").join(blocks.withColumnRenamed("root", "block"), "node").select("number", "n", "block"))
     roots = connected_components(_links(base, members, threshold))
 
-    # rows of a class share its node, nodes of a component its root
+    # rows of a class share its node, nodes of a component its root; the rows themselves join last, and once
     placed = own.join(roots, "node", "left").select("number", "n", F.coalesce("root", "node").alias("root"))
-    placed = stored(base.select("number", "row", "id").join(placed, "number", "left"))
+    placed = stored(placed.join(base.select("number", "id"), "number"))
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("number"))
-    least = placed.where("root is not null").groupBy("root").agg(F.min(order).alias("least"))
-    out = placed.join(least, "root", "left")
-    return out.select(
+    least = placed.groupBy("root").agg(F.min(order).alias("least"))
+    found = placed.join(least, "root").select(
+        "number", "n", F.col("least.id").alias("component_id"), (F.col("number") == F.col("least.number")).alias("first"),
+    )
+    empty = F.col("n").isNull()
+    return base.select("number", "row", "id").join(found, "number", "left").select(
         "row", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
-        F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least.id")).alias("component_id"),
-        (F.col("root").isNull() | (F.col("number") == F.col("least.number"))).alias("first"),
+        F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        (empty | F.col("first")).alias("first"),
     )
 
 
