@@ -292,8 +292,11 @@ def _stars(base: DataFrame, own: DataFrame, entries: int, threshold: int) -> Dat
     enough = shared.join(own, "number").where(F.size("keys") >= least)
     left = F.slice("keys", F.lit(1), F.size("keys") - F.floor((least - 1) / 2).cast("int"))
     kept = stored(enough.select("node", F.explode(left).alias("k")).select("node", "k.key"))
-    stars = kept.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").select("key", "b")
-    return kept.join(stars, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    stars = kept.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("key", "hub")
+    # a node has a hub for each key: it goes to the least of them, and so do the others, which many nodes share
+    hubs = kept.join(stars, "key").select("node", "hub").distinct().groupBy("node").agg(F.collect_list("hub").alias("hubs"))
+    met = hubs.select(F.explode(F.array_append("hubs", F.col("node"))).alias("a"), F.array_min("hubs").alias("b"))
+    return met.where("a <> b").distinct()
 
 
 def _only(frame: DataFrame, members: DataFrame) -> DataFrame:
