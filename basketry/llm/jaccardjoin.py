@@ -71,6 +71,8 @@ TILE_SHINGLES = 1_500_000
 #: Words whose hash a task remembers.
 CACHE_WORDS = 1_000_000
 FAN_OUT = 16
+#: Copies of what a group's rows are told, so that they needn't meet in one task.
+SALTS = 16
 #: Bits for each member in the filter that spares most texts the way to the blocks, and bits at most.
 FILTER_BITS, MAX_FILTER_BITS = 16, 2**28
 
@@ -215,6 +217,16 @@ def _unpacked(x: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _with_least(frame: DataFrame, key: str, least: Column) -> DataFrame:
+    """``frame`` with ``least``, an aggregate over the rows of its key; null for keys of one row.
+
+    A key may hold a third of all rows: the aggregate combines them within tasks, and
+    comes back in SALTS copies by row number, for keys of several rows only."""
+    groups = frame.groupBy(key).agg(least.alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    copies = groups.select(key, "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return frame.withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(SALTS)).cast("int")).join(copies, [key, "salt"], "left").drop("salt")
+
+
 def _classes(base: DataFrame) -> DataFrame:
     """(number, n, class) of all rows."""
     def run(batches):
@@ -368,7 +380,8 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     classes = _classes(base)
     entries = classes.agg(F.coalesce(F.sum(F.col("n") - F.floor(F.col("n") * REST / 100)), F.lit(0))).first()[0]
     filled = classes.where("n > 0")
-    own = stored(filled.join(filled.groupBy("class").agg(F.min("number").alias("node")), "class").select("number", "node", "n"))
+    own = _with_least(filled, "class", F.min("number"))
+    own = stored(own.select("number", F.coalesce("least", "number").alias("node"), "n"))
     blocks = connected_components(_stars(base, own, int(entries), threshold))
     members = stored(own.where("number = node").join(blocks.withColumnRenamed("root", "block"), "node").select("number", "n", "block"))
     roots = connected_components(_links(base, members, threshold))
@@ -377,9 +390,9 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     placed = own.join(roots, "node", "left").select("number", "n", F.coalesce("root", "node").alias("root"))
     placed = stored(placed.join(base.select("number", "id"), "number"))
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("number"))
-    least = placed.groupBy("root").agg(F.min(order).alias("least"))
-    found = placed.join(least, "root").select(
-        "number", "n", F.col("least.id").alias("component_id"), (F.col("number") == F.col("least.number")).alias("first"),
+    found = _with_least(placed, "root", F.min(order)).select(
+        "number", "n", F.when(F.col("least").isNull(), F.col("id")).otherwise(F.col("least.id")).alias("component_id"),
+        (F.col("least").isNull() | (F.col("number") == F.col("least.number"))).alias("first"),
     )
     empty = F.col("n").isNull()
     return base.select("number", "row", "id").join(found, "number", "left").select(
