@@ -44,6 +44,7 @@ from basketry.llm.common import documents, row_of, text_slices, training_remaind
 ORDER = 4
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 1_500_000
+CANDIDATES = 3
 #: One text of the sample in so many is for calibration.
 CALIBRATE = 8
 MAX_EVIDENCE = 100
@@ -194,9 +195,14 @@ def cross_entropies(model: dict, texts: list[str], table: np.ndarray) -> tuple[n
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict:
     """Models and calibration from the labelled rows of ``docs``, on its bounded sample."""
     labelled = docs.select(
-        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.lit("sample")).alias("order"),
+        F.col(lang_col).cast("string").alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(2**32)).alias("order"),
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
     ).where("lang is not null and text is not null")
+    # of a language's rows only about CANDIDATES times the wanted ones, by hash, come together to be put in order
+    rows = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if rows:
+        cuts = F.create_map(*[F.lit(x) for k, n in sorted(rows.items()) for x in (k, min(2**32, 2**32 * CANDIDATES * SAMPLE_DOCS // n))])
+        labelled = labelled.where(F.col("order") < F.try_element_at(cuts, F.col("lang")))
     first = W.partitionBy("lang").orderBy("order", "id", "size")
     chosen = (
         labelled.select("lang", "order", "id", F.length("text").alias("size"))
