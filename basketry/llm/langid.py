@@ -49,7 +49,7 @@ CANDIDATES = 3
 CALIBRATE = 8
 MAX_EVIDENCE = 100
 REJECT_SPREADS = 6.0
-REJECT_WAY = 0.5
+REJECT_WAY = 0.8
 #: Characters of an alphabet that a model may meet; its inverse is the lowest order's probability.
 ALPHABET = 1000
 #: Characters scored at once.
