@@ -1,6 +1,16 @@
-"""Language-model scoring with an Elias-Fano n-gram trie.
-
-Unigram counts are exact and complete: every word of the corpus, however rare, is
+"""Language-model scoring with Elias-Fano n-gram tries.
+
+``score_whole`` (the query) keeps every word and every pair and triple from LEAST
+occurrences on, at any N. Words go by a 64-bit hash (that any two of 10^8 words share
+one has a chance of about 1 in 4,000). Texts are cut into blocks of BLOCK_CHARS; each
+block sends its distinct n-grams with their counts through one shuffle and gets the
+kept ones of the whole corpus back, with the mass that is left behind them. So each
+block has a trie of its own n-grams with whole counts, no n-gram has more rows than
+there are blocks, and neither the driver nor a broadcast holds any of the model.
+Logarithms are rounded to steps of 1 / GRID, so scores don't depend on the blocks.
+
+``score_texts`` is the model of bounded size, which leaves out what is rare; no query
+uses it. Its unigram counts are exact and complete: every word of the corpus, however rare, is
 counted and looked up. Frequent words (at least ``N / MAX_WORDS`` of the N training
 tokens, so at most MAX_WORDS) are sent to the tasks with their counts; all other
 words are looked up by a join. So no word that is sent through a shuffle for its
@@ -34,9 +44,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +64,12 @@ BOOK = 4096
 #: Different n-grams or words that a task holds before it passes them on.
 HOLD = 1_000_000
 END = b""
+#: Occurrences that a pair or triple needs, at any size of the corpus.
+LEAST = 2
+#: Characters of a block of texts, but for a longer text.
+BLOCK_CHARS = 8_000_000
+#: Steps of a logarithm's unit in the whole model.
+GRID = 2048
 
 
 def tokens(text: str) -> list[bytes]:
@@ -165,19 +185,25 @@ def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(middle, values).astype(np.uint16), book.astype(np.float64)
 
 
-def build_trie(counts: np.ndarray, total: int, kinds: int, pairs: tuple, triples: tuple) -> dict[str, np.ndarray]:
-    """All arrays of the model. ``counts``: of the frequent words, by id."""
+def on_grid(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the code book of all multiples of 1 / GRID that 16 bits hold, and the book."""
+    return np.clip(np.rint(-values * GRID), 0, 65535).astype(np.uint16), np.arange(65536) / -GRID
+
+
+def build_trie(counts: np.ndarray, total: int, kinds: int, pairs: tuple, triples: tuple, lefts: tuple | None = None, quantise=quantised) -> dict[str, np.ndarray]:
+    """All arrays of the model. ``counts``: of the frequent words, by id. ``lefts``: the mass
+    left behind each word and each pair, if they have other successors than the given ones."""
     n_words = len(counts)
     unigram = (counts + 1) / (total + kinds + 1)
     code, n = pairs
     u, w = code // n_words, code % n_words
     own = np.maximum(n - DISCOUNT, 0)
-    left = 1 - np.bincount(u, own, n_words)[:n_words] / np.maximum(counts, 1)
+    left = 1 - np.bincount(u, own, n_words)[:n_words] / np.maximum(counts, 1) if lefts is None else lefts[0]
     second = own / counts[u] + left[u] * unigram[w] if len(u) else np.zeros(0)
     code3, n3 = triples
     pair, x = code3 // n_words, code3 % n_words
     own3 = np.maximum(n3 - DISCOUNT, 0)
-    left3 = 1 - np.bincount(pair, own3, len(code))[:len(code)] / np.maximum(n, 1)
+    left3 = 1 - np.bincount(pair, own3, len(code))[:len(code)] / np.maximum(n, 1) if lefts is None else lefts[1]
     # the third word as the second of the pair (second, third), relative to where such pairs begin
     next_pair = np.searchsorted(code, w[pair] * n_words + x) if len(pair) else np.zeros(0, np.int64)
     begin = np.searchsorted(u, np.arange(n_words + 1))
@@ -186,7 +212,7 @@ def build_trie(counts: np.ndarray, total: int, kinds: int, pairs: tuple, triples
     pointers3, ids3 = children(max(len(code), 1), pair, next_pair - begin[w[pair]] if len(pair) else pair)
     out = {"unigram": np.log10(unigram)}
     for name, values in (("left1", left), ("prob2", second), ("left2", left3), ("prob3", third)):
-        out[name], out[f"{name}_book"] = quantised(np.log10(np.maximum(values, 1e-300)))
+        out[name], out[f"{name}_book"] = quantise(np.log10(np.maximum(values, 1e-300)))
     for name, ef in (("pointers2", pointers2), ("ids2", ids2), ("pointers3", pointers3), ("ids3", ids3)):
         out |= {f"{name}.{f}": getattr(ef, f) for f in EliasFano.FIELDS}
     return out
@@ -225,9 +251,10 @@ class Trie:
         context[starts] = -1
         triple = np.full(len(s), -1)
         at = np.flatnonzero(hit & (context >= 0))
-        code, where = np.unique(context[at] << 21 | relative[at], return_inverse=True)
+        wide = len(self.a["unigram"])
+        code, where = np.unique(context[at] * wide + relative[at], return_inverse=True)
         if len(code):
-            found, _ = find_child(self.ef["pointers3"], self.ef["ids3"], code >> 21, code & (2**21 - 1))
+            found, _ = find_child(self.ef["pointers3"], self.ef["ids3"], code // wide, code % wide)
             triple[at] = found[where]
         back = (context >= 0) & (triple < 0)
         out[back] += self.value("left2", context[back])
@@ -299,6 +326,152 @@ def score_texts(docs: DataFrame, train: DataFrame, keep: list[str], text_col: st
     )
 
 
+class Keys(dict):
+    """Words to their 64-bit hashes."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = key = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        return key
+
+
+def blocked(frame: DataFrame) -> DataFrame:
+    """(row, train, block, seq) of (row, train, text), stored: the hashes of each text's tokens, and blocks of texts."""
+    schema = T.StructType([frame.schema["row"], frame.schema["train"], T.StructField("block", T.LongType()), T.StructField("seq", T.BinaryType())])
+
+    def run(batches):
+        block, keys = TaskContext.get().partitionId() << 32, Keys()
+        for batch, texts in text_slices(batches, "text", BLOCK_CHARS):
+            seqs = []
+            for t in texts:
+                found = tokens(t)
+                seqs.append(np.fromiter(map(keys.__getitem__, found), np.int64, len(found)).tobytes())
+                if len(keys) > HOLD:
+                    keys.clear()
+            own = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "train")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([block] * len(texts), pa.int64()), pa.array(seqs, pa.binary())], names=schema.names)
+            block += 1
+
+    return stored(frame.mapInArrow(run, schema))
+
+
+def joined(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' hashes, each text behind an end token, and where each begins."""
+    end = np.array([Keys()[END]], np.int64).tobytes()
+    lengths = np.array([len(x) // 8 + 1 for x in seqs], np.int64)
+    return np.frombuffer(b"".join(y for x in seqs for y in (end, x)), np.int64), np.cumsum(lengths) - lengths
+
+
+def block_grams(block: int, seqs: list[bytes], train: np.ndarray):
+    """Batches (block, level, t, u, w, n) of the different words, pairs and triples of the
+    texts, with how often they occur in those for training."""
+    flat, starts = joined(seqs)
+    weight = np.repeat(train.astype(np.int64), np.diff(np.r_[starts, len(flat)]))
+    inside = np.ones(len(flat), bool)
+    inside[starts] = False
+    words, s = np.unique(flat, return_inverse=True)
+    at = np.flatnonzero(inside)
+    none = np.zeros(0, np.int64)
+
+    def batch(level, code, at, keys):
+        kinds, first, where = np.unique(code, return_index=True, return_inverse=True)
+        n = np.bincount(where, weight[at], len(kinds)).astype(np.int64)
+        columns = [keys(first, back) if back < level else np.zeros(len(kinds), np.int64) for back in (2, 1, 0)]
+        return where, pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(kinds), block)), pa.array(np.full(len(kinds), level, np.int8)), *map(pa.array, columns), pa.array(n)],
+            names=["block", "level", "t", "u", "w", "n"],
+        )
+
+    keys = lambda first, back: words[s[at[first] - back]] if len(first) else none
+    yield batch(1, s[at], at, keys)[1]
+    where, out = batch(2, s[at - 1] * len(words) + s[at], at, keys)
+    yield out
+    pair = np.full(len(flat), -1)
+    pair[at] = where
+    at = at[inside[at - 1]]
+    yield batch(3, pair[at - 1] * len(words) + s[at], at, keys)[1]
+
+
+def kept_grams(texts: DataFrame) -> tuple[DataFrame, int, int]:
+    """(block, level, t, u, w, n, left): for each block its words that training texts have and its
+    pairs and triples that they have LEAST times, with counts over all training texts and the
+    mass left behind words and pairs; and how many tokens and different words those texts have."""
+    def run(batches):
+        for b in batches:
+            blocks, train, seqs = (b.column(c) for c in ("block", "train", "seq"))
+            blocks, train = np.asarray(blocks), np.asarray(train.to_pylist(), bool)
+            cuts = np.r_[0, np.flatnonzero(np.diff(blocks)) + 1, len(blocks)] if len(blocks) else [0]
+            for x, y in zip(cuts, cuts[1:]):
+                yield from block_grams(int(blocks[x]), seqs.slice(x, y - x).to_pylist(), train[x:y])
+
+    grams = texts.select("block", "train", "seq").mapInArrow(run, "block long, level byte, t long, u long, w long, n long")
+    same = W.partitionBy("level", "t", "u", "w").orderBy("block")
+    found = stored(
+        grams.select(
+            "block", "level", "t", "u", "w", F.sum("n").over(same.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("n"),
+            (F.row_number().over(same) == 1).alias("first"),
+        ).where((F.col("n") >= LEAST) | (F.col("n") > 0) & (F.col("level") == 1))
+    )
+    once = found.where("first")
+    total, kinds = once.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    # what follows (t, u) is taken from the mass of the pair, what follows u from that of the word
+    behind = once.where("level > 1").groupBy((F.col("level") - 1).alias("b_level"), F.col("t").alias("b_u"), F.col("u").alias("b_w")).agg(
+        (F.sum("n") - DISCOUNT * F.count(F.lit(1))).alias("taken"))
+    same_context = (F.col("level") == F.col("b_level")) & (F.col("u") == F.col("b_u")) & (F.col("w") == F.col("b_w"))
+    left = (1 - F.coalesce("taken", F.lit(0.0)) / F.col("n")).alias("left")
+    columns = ["block", "level", "t", "u", "w", "n"]
+    contexts = found.where("level < 3").join(behind, same_context, "left").select(*columns, left)
+    return contexts.unionByName(found.where("level = 3").select(*columns, F.lit(1.0).alias("left"))), total, kinds
+
+
+def block_trie(grams: pa.Table, total: int, kinds: int) -> tuple[np.ndarray, np.ndarray, Trie]:
+    """The sorted hashes of a block's words, their counts, and the trie."""
+    level, t, u, w, n, left = (np.asarray(grams.column(c).combine_chunks()) for c in ("level", "t", "u", "w", "n", "left"))
+    one = level == 1
+    words, first = np.unique(w[one], return_index=True)
+    counts, left1 = n[one][first], left[one][first]
+    ids = lambda x: np.searchsorted(words, x)
+    two = level == 2
+    pairs, first = np.unique(ids(u[two]) * len(words) + ids(w[two]), return_index=True)
+    n2, left2 = n[two][first], left[two][first]
+    three = level == 3
+    pair = np.searchsorted(pairs, ids(t[three]) * len(words) + ids(u[three]))
+    triples, first = np.unique(pair * len(words) + ids(w[three]), return_index=True)
+    arrays = build_trie(counts, total, kinds, (pairs, n2), (triples, n[three][first]), (left1, left2), on_grid)
+    return words, counts, Trie(mapped(*packed(arrays)))
+
+
+def score_whole(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns of ``score_texts`` for every row of ``docs``, under the whole model of the rows where ``train`` holds."""
+    frame = docs.select(row_of(docs, keep), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
+    texts = blocked(frame)
+    grams, total, kinds = kept_grams(texts)
+    schema = T.StructType([
+        frame.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+        T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
+    ])
+    unknown = -np.log10(total + kinds + 1)
+
+    def run(texts: pa.Table, grams: pa.Table) -> pa.Table:
+        words, counts, trie = block_trie(grams, total, kinds)
+        flat, starts = joined(texts.column("seq").to_pylist())
+        s = np.full(len(flat), -1)
+        if len(words):
+            at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
+            s = np.where(words[at] == flat, at, -1)
+        has = s >= 0
+        base = np.where(has, trie.a["unigram"][s] if len(words) else 0.0, unknown)
+        log = trie.log_probabilities(s, starts) + np.where(has, 0.0, unknown)
+        had = has.astype(np.int64)
+        for x in (base, log, had):
+            x[starts] = 0
+        sums = [np.add.reduceat(x, starts) for x in (had, base, log)]
+        lengths = np.diff(np.r_[starts, len(flat)]) - 1
+        return pa.Table.from_arrays([texts.column("row"), pa.array(lengths), *map(pa.array, sums)], names=schema.names)
+
+    out = texts.select("row", "block", "seq").groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(run, schema)
+    return out.select("row", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 #: Rows whose id has this remainder are held out.
 HELD_OUT = (7, 2)
 
@@ -307,5 +480,5 @@ def op5_lm_score(spark, sf_dir: str) -> DataFrame:
     """All documents, by models of those whose id isn't held out."""
     held = training_remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1]
     docs = documents(spark, sf_dir).withColumn("held_out", held)
-    out = score_texts(docs, docs.where("not held_out"), ["doc_id", "held_out"])
+    out = score_whole(docs, ~F.col("held_out"), ["doc_id", "held_out"])
     return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

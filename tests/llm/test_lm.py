@@ -140,3 +140,46 @@ def test_query(spark):
         assert r.base_score == pytest.approx(sum(math.log10(brute.p1(x)) for x in w), rel=1e-9)
     # the model predicts held-out text better than single words do
     assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
+
+
+def whole(spark, train, probe):
+    rows = [(i, t, i < len(train)) for i, t in enumerate([*train, *probe])]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, score boolean").repartition(3)
+    return {r.row.doc_id: r for r in lm.score_whole(docs, lm.F.col("score"), ["doc_id", "score"]).collect()}
+
+
+@pytest.mark.parametrize("chars", [lm.BLOCK_CHARS, 300])
+def test_whole_model_equals_dictionaries(spark, monkeypatch, chars):
+    """Every n-gram from two occurrences on is in the model, whatever the limits of the bounded one and the blocks."""
+    for k, v in {"MAX_WORDS": 60, "MAX_GRAMS": 90, "HOLD": 20, "BLOCK_CHARS": chars}.items():
+        monkeypatch.setattr(lm, k, v)
+    rng = random.Random(3)
+    train, probe = corpus(rng, 120, 40), corpus(rng, 30, 40) + ["", None, "unknown words only", "w2 unknown w2 w3 w2 w3"]
+    brute, rows = Brute(train, 2**40, 2**40), whole(spark, train, probe)
+    assert len(rows) == len(train) + len(probe) and min(brute.triples.values()) == 2
+    for i, text in enumerate([*train, *probe]):
+        r, w = rows[i], words(text)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(brute.c[x] > 0 for x in w), brute.total)
+        assert r.base_score == pytest.approx(sum(math.log10(brute.p1(x)) for x in w), rel=1e-9)
+        assert r.score == pytest.approx(brute.score(text), abs=len(w) * 1.01 / lm.GRID)
+
+
+def test_rare_pair_is_in_the_query_at_any_size(spark, monkeypatch, tmp_path):
+    """A pair of two occurrences raises its second word's probability, also beside a corpus over the old limits."""
+    for k, v in {"MAX_WORDS": 60, "MAX_GRAMS": 90}.items():
+        monkeypatch.setattr(lm, k, v)
+    texts = ["common words all over " * 50] * 20 + ["seldom seen"] * 20
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(40)}
+    brute = Brute([t for i, t in enumerate(texts) if not held[i]], 2**40, 2**40)
+    for r in lm.op5_lm_score(spark, str(tmp_path)).collect():
+        assert r.score == pytest.approx(brute.score(texts[r.doc_id]), abs=r.n_tokens * 1.01 / lm.GRID)
+
+
+def test_whole_model_odd_and_empty(spark):
+    docs = odd_documents(spark)
+    out = lm.score_whole(docs, lm.F.lit(True), ["doc_id"]).collect()
+    assert len(out) == docs.count() and all(r.score <= 0 and r.n_tokens >= 1 for r in out)
+    none = lm.score_whole(docs, lm.F.lit(False), ["doc_id"]).collect()
+    assert {(r.train_tokens, r.base_score, r.score, r.n_known) for r in none} == {(0, 0.0, 0.0, 0)}
+    assert lm.score_whole(docs.limit(0), lm.F.lit(True), ["doc_id"]).collect() == []
