@@ -18,10 +18,11 @@ languages if its lowest cross-entropy lies both REJECT_SPREADS spreads and
 REJECT_WAY of the way to the foreign texts above the own ones; for texts under
 MAX_EVIDENCE characters the distance grows as chance does.
 
-The models are fitted on a bounded sample: of each language the texts with the
-smallest hashes of their ids, SAMPLE_DOCS texts and SAMPLE_CHARS characters at
-most, whole texts only. What is sent to the tasks is bounded by the number of
-languages times that.
+The models are fitted on a bounded sample: of each language the different rows with
+the smallest hashes of id and text, SAMPLE_DOCS texts and SAMPLE_CHARS characters at
+most, whole texts only; one that doesn't fit any more is passed over. A language that
+has only longer texts learns from the beginning of one. What is sent to the tasks is
+bounded by the number of languages times that.
 
 Defined cases: a null text or one without letters is ``und`` with score 0 and
 rejected; null languages teach nothing; without any labelled text all are
@@ -35,11 +36,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import documents, row_of, text_slices, training_remainder
+from basketry.llm.common import documents, row_of, stored, text_slices, training_remainder
 
 ORDER = 4
 SAMPLE_DOCS = 1500
@@ -195,31 +195,33 @@ def cross_entropies(model: dict, texts: list[str], table: np.ndarray) -> tuple[n
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict:
     """Models and calibration from the labelled rows of ``docs``, on its bounded sample."""
     labelled = docs.select(
-        F.col(lang_col).cast("string").alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(2**32)).alias("order"),
-        F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
+        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample")).alias("order"), F.col(text_col).alias("text"),
     ).where("lang is not null and text is not null")
+    # repeated rows count once
+    sized = stored(labelled.groupBy("lang", "order").agg(F.min(F.length("text")).alias("size")))
+    fits = F.col("size") <= SAMPLE_CHARS
+    langs = {r.lang: r for r in sized.groupBy("lang").agg(F.count_if(fits).alias("n"), F.min("order").alias("first")).collect()}
+    chosen = [(lang, r["first"]) for lang, r in langs.items() if not r.n]
     # of a language's rows only about CANDIDATES times the wanted ones, by hash, come together to be put in order
-    rows = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if rows:
-        cuts = F.create_map(*[F.lit(x) for k, n in sorted(rows.items()) for x in (k, min(2**32, 2**32 * CANDIDATES * SAMPLE_DOCS // n))])
-        labelled = labelled.where(F.col("order") < F.try_element_at(cuts, F.col("lang")))
-    first = W.partitionBy("lang").orderBy("order", "id", "size")
-    chosen = (
-        labelled.select("lang", "order", "id", F.length("text").alias("size"))
-        .withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_DOCS)
-        .withColumn("upto", F.sum("size").over(first.rowsBetween(W.unboundedPreceding, 0)))
-        .where(F.col("upto") <= SAMPLE_CHARS).groupBy("lang", "order").agg(F.max("id").alias("top"))
-    )
-    sample = labelled.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen.select("lang", "order")), ["lang", "order"])
+    cuts = [x for lang, r in sorted(langs.items()) if r.n for x in (lang, min(2**63 - 1, 2**64 * CANDIDATES * SAMPLE_DOCS // r.n - 2**63))]
+    taken: dict[str, int] = {}
+    room: dict[str, int] = {}
+    if cuts:
+        near = sized.where(fits & (F.col("order") <= F.try_element_at(F.create_map(*map(F.lit, cuts)), F.col("lang"))))
+        for lang, order, size in sorted(near.select("lang", "order", "size").collect()):
+            if taken.get(lang, 0) < SAMPLE_DOCS and size <= room.get(lang, SAMPLE_CHARS):
+                taken[lang] = taken.get(lang, 0) + 1
+                room[lang] = room.get(lang, SAMPLE_CHARS) - size
+                chosen.append((lang, order))
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, order long"))
+    sample = labelled.join(wanted, ["lang", "order"]).groupBy("lang", "order").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
     table = letter_table()
     fitting: dict[str, list[str]] = {}
     held: dict[str, list[str]] = {}
-    # rows may share an id: the bounds are enforced again on what comes back
-    room: dict[str, int] = {}
-    for i, r in enumerate(sample.select("lang", "order", "id", "text").orderBy("lang", "order", "id", "text").toLocalIterator()):
-        room[r.lang] = room.get(r.lang, SAMPLE_CHARS) - len(r.text)
-        if room[r.lang] >= 0:
-            (held if i % CALIBRATE == CALIBRATE - 1 else fitting).setdefault(r.lang, []).append(r.text)
+    for i, r in enumerate(sample.orderBy("lang", "order").toLocalIterator()):
+        (held if i % CALIBRATE == CALIBRATE - 1 else fitting).setdefault(r.lang, []).append(r.text)
+    for lang in held:
+        fitting.setdefault(lang, held[lang])
     model = train(fitting, table)
     model["letters"] = table
     found = {lang: cross_entropies(model, held.get(lang, []) or fitting[lang], table) for lang in model["langs"]}

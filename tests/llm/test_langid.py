@@ -152,3 +152,39 @@ def test_held_out_accuracy(spark):
     assert len(rows) == len(lang)
     held = [r for r in rows if r.held_out]
     assert len(held) > 200 and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.99 * len(held)
+
+
+def learned(spark, monkeypatch, rows):
+    """What each language learns from, of rows (doc_id, text, lang)."""
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, table, f=langid.train: seen.update(texts) or f(texts, table))
+    langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    return seen
+
+
+def test_long_texts_take_no_room(spark, texts, monkeypatch):
+    """Wherever they stand in the order, longer texts leave the others in the sample."""
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 20_000)
+    rows = [(i, t, k) for k, v in texts.items() for i, t in enumerate(v)]
+    huge = [(100 + i, "the " * 6000, k) for k in texts for i in range(60)]
+    alone, beside = learned(spark, monkeypatch, rows), learned(spark, monkeypatch, rows + huge)
+    assert {k: sorted(v) for k, v in beside.items()} == {k: sorted(v) for k, v in alone.items()} and set(alone) == {"de", "en"}
+    only = learned(spark, monkeypatch, rows + [(900, "le " * 9000, "fr")])
+    assert only["fr"] == [("le " * 9000)[:20_000]]
+
+
+def test_text_that_does_not_fit_is_passed_over(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 1000)
+    rows = [(i, "the " * 200, "en") for i in range(6)] + [(i, "in " * 10, "en") for i in range(10, 14)]
+    chars = [len(t) for v in learned(spark, monkeypatch, rows).values() for t in v]
+    assert sorted(chars) == [30] * 4 + [800]
+
+
+def test_equal_ids_and_copies(spark, texts, monkeypatch):
+    """Equal ids don't bring rows in together, copies count once, and no language is only for calibration."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 10)
+    rows = [(None, t, k) for k, v in texts.items() for t in v]
+    seen = learned(spark, monkeypatch, rows + rows[:1] * 200)
+    assert set(seen) == {"de", "en"} and all(7 < len(v) <= 10 and len(set(v)) == len(v) for v in seen.values())
+    seen = learned(spark, monkeypatch, [(1, f"the text {i}", f"l{i:02}") for i in range(20)])
+    assert len(seen) == 20
