@@ -2,8 +2,9 @@
 
 The set of a document is its distinct 5-word shingles; two documents link when
 their sets have a Jaccard similarity of THRESHOLD or more. The result is the
-connected components of the links. Nothing is approximate: a link between
-different sets is never lost, and no other is made.
+connected components of the links (``jaccard_components``, which looks for as many
+links as connect them) or all links between different sets (``jaccard_links``).
+Nothing is approximate: no link is lost in either, and no other is made.
 
 1. Equal sets are one class from the start (128-bit hash of the sorted set), so
    copies cost one row each.
@@ -172,9 +173,9 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def links_within(names: list[int], sets: list[np.ndarray], side: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """A forest of links that connects what links connect. With two sides (tiles 0
-    and 1) only links between them are asked for; with one, all."""
+def links_within(names: list[int], sets: list[np.ndarray], side: np.ndarray, threshold: int = THRESHOLD, every: bool = False) -> list[tuple[int, int]]:
+    """A forest of links that connects what links connect, or ``every`` link once. With
+    two sides (tiles 0 and 1) only links between them are asked for; with one, all."""
     n = len(sets)
     if n < 2:
         return []
@@ -189,19 +190,20 @@ def links_within(names: list[int], sets: list[np.ndarray], side: np.ndarray, thr
     # those whose shingles are the most common ask first
     common = np.add.reduceat((copies[where] > 1).astype(np.int64), bounds[:-1]) / tree.sizes
     usual = np.add.reduceat(copies[where], bounds[:-1]) / tree.sizes
-    root = np.arange(n)
+    root, asked = np.arange(n), np.zeros(n, bool)
     two = bool(side.any() and not side.all())
     out = []
     for i in np.lexsort((-usual, -common)).tolist():
         if 100 * common[i] < threshold:
             continue  # too few of its shingles are in any other set here
-        among = root != root[i]
+        asked[i] = True
+        among = ~asked if every else root != root[i]
         if two:
             among &= side != side[i]
         if not among.any():
             continue
         for j in tree.candidates(tree.points[i], len(sets[i]), among, threshold).tolist():
-            if root[j] != root[i] and overlap(sets[i], sets[j]) >= needed(len(sets[i]), len(sets[j]), threshold):
+            if (every or root[j] != root[i]) and overlap(sets[i], sets[j]) >= needed(len(sets[i]), len(sets[j]), threshold):
                 out.append((names[i], names[j]))
                 root[root == root[j]] = root[i]
     return out
@@ -329,8 +331,8 @@ def _only(frame: DataFrame, members: DataFrame) -> DataFrame:
     return frame.select("*", place.alias("place")).mapInArrow(run, frame.schema)
 
 
-def _links(base: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
-    """(a, b) links that connect the ``members`` (number, n, block) of each block."""
+def _links(base: DataFrame, members: DataFrame, threshold: int, every: bool = False) -> DataFrame:
+    """(a, b) links that connect the ``members`` (number, n, block) of each block, or ``every`` link once."""
     # the width of a band: sizes of linked sets are the same or neighbouring powers of 4/3
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / threshold)) + F.lit(1e-9)).cast("int")
     weight = members.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
@@ -366,16 +368,17 @@ def _links(base: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
 
     def linked(part: pa.Table) -> pa.Table:
         held = [np.asarray(x.values).view(np.uint64) for x in part.column("shingles")]
-        out = links_within(part.column("number").to_pylist(), held, np.asarray(part.column("side")), threshold)
+        side, job = np.asarray(part.column("side")), part.slice(0, 1).to_pylist()[0]
+        alone = (job["band"], job["low"]) != (job["other"], job["high"]) and len(set(side.tolist())) < 2
+        # a tile whose partner is empty has met itself elsewhere
+        out = [] if every and alone else links_within(part.column("number").to_pylist(), held, side, threshold, every)
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return dealt.groupBy("block", "band", "low", "other", "high").applyInArrow(linked, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) in a struct ``row``; n_shingles;
-    component_id (the least id of the component; the own id for empty sets); and
-    ``first``: whether the row is the one of the component to keep (least id, then row)."""
+def _prepared(docs: DataFrame, text_col: str, id_col: str, threshold: int, keep: list[str] | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The numbered rows, (number, node, n) of those with shingles, and (number, n, block) of the nodes that may link."""
     base = numbered(docs, keep, text_col, F.col(id_col).alias("id"))
     classes = _classes(base)
     entries = classes.agg(F.coalesce(F.sum(F.col("n") - F.floor(F.col("n") * REST / 100)), F.lit(0))).first()[0]
@@ -384,6 +387,14 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     own = stored(own.select("number", F.coalesce("least", "number").alias("node"), "n"))
     blocks = connected_components(_stars(base, own, int(entries), threshold))
     members = stored(own.where("number = node").join(blocks.withColumnRenamed("root", "block"), "node").select("number", "n", "block"))
+    return base, own, members
+
+
+def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) in a struct ``row``; n_shingles;
+    component_id (the least id of the component; the own id for empty sets); and
+    ``first``: whether the row is the one of the component to keep (least id, then row)."""
+    base, own, members = _prepared(docs, text_col, id_col, threshold, keep)
     roots = connected_components(_links(base, members, threshold))
 
     # rows of a class share its node, nodes of a component its root; the rows themselves join last, and once
@@ -402,6 +413,19 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     )
 
 
+def jaccard_links(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+    """Each two different sets that link, once: the first row of each set (``row_a`` and
+    ``row_b``, with the columns ``keep``) and how many rows have it (``copies_a``, ``copies_b``)."""
+    base, own, members = _prepared(docs, text_col, id_col, threshold, keep)
+    links = stored(_links(base, members, threshold, every=True))
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    copies = own.groupBy("node").agg(F.count(F.lit(1)).alias("copies")).join(linked, "node")
+    sets = stored(copies.join(base.select(F.col("number").alias("node"), "row"), "node"))
+    side = lambda k: sets.select(F.col("node").alias(k), F.col("row").alias(f"row_{k}"), F.col("copies").alias(f"copies_{k}"))
+    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return ordered.join(side("a"), "a").join(side("b"), "b").drop("a", "b")
+
+
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """All documents with the component that links of at least 0.75 join them in."""
     out = jaccard_components(documents(spark, sf_dir), keep=["doc_id"])

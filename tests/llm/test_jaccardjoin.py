@@ -190,3 +190,29 @@ def test_query(spark):
     want = {d: (n, c) for (d, _), (n, c) in zip(rows, brute(rows))}
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.op8_jaccard_join(spark, sf).collect()}
     assert got == want and len({c for _, c in got.values()}) < len(got)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_every_link(spark, monkeypatch, small):
+    """All links between different sets, each once, not only a forest that connects them."""
+    if small:
+        for name, value in (("RANGE_ENTRIES", 64), ("FLUSH_ENTRIES", 500), ("TILE_SETS", 5), ("TILE_SHINGLES", 700), ("FAN_OUT", 3), ("FILTER_BITS", 1)):
+            monkeypatch.setattr(jj, name, value)
+    rng = random.Random(8)
+    texts = near_copies(rng, 20, 14, 120) + ["", None, "a b c", "a b c"]
+    texts += texts[:6] + [texts[0].upper()]
+    want, copies = set(), {}
+    for t in texts:
+        copies[shingles(t)] = copies.get(shingles(t), 0) + 1
+    kinds = [k for k in copies if k]
+    for i, a in enumerate(kinds):
+        for b in kinds[:i]:
+            if 100 * len(a & b) >= 75 * len(a | b):
+                want.add(frozenset([a, b]))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = jj.jaccard_links(docs).collect()
+    pairs = [frozenset([shingles(r.row_a.text), shingles(r.row_b.text)]) for r in got]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    assert all((r.copies_a, r.copies_b) == (copies[shingles(r.row_a.text)], copies[shingles(r.row_b.text)]) for r in got)
+    # a forest has no triangles
+    assert any(len(x | y) == 3 and x ^ y in want for x in want for y in want)
