@@ -103,16 +103,16 @@ def original_spans(text: str, starts, ends) -> list[tuple[int, int]]:
     return [(int(points[begin[s]]), int(points[stop[e - 1]])) for s, e in zip(starts, ends)]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_chars: int) -> Iterator[list[tuple]]:
-    """Items as (id as text, text), in hash blocks of about ``max_chars`` characters."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_chars: int) -> tuple[int, Iterator[list[tuple]]]:
+    """How many blocks, and the items as (id as text, text), in hash blocks of about
+    ``max_chars`` characters that are read one by one."""
     items = (
         benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
         .where("item is not null and text is not null").distinct()
     )
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + total // max_chars
-    for b in range(n):
-        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == b).collect()]
+    return n, ([tuple(r) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == b).collect()] for b in range(n))
 
 
 HITS = "n_words long, runs array<int>, spans array<struct<start: int, end: int>>, items array<string>"
@@ -126,15 +126,13 @@ def decontaminate(
     ``row``, then n_words, n_hit, runs (of hit words), spans (code points), items
     (sorted as strings) and contaminated."""
     spark = docs.sparkSession
-    blocks = list(_blocks(benchmark, item_col, item_text_col, max_block_chars))
-    one = len(blocks) == 1
+    n_blocks, blocks = _blocks(benchmark, item_col, item_text_col, max_block_chars)
+    one = n_blocks == 1
     base = docs.select(row_of(docs, keep), F.col(text_col).alias("text"))
     if not one:
         base = stored(with_row_id(base, "number"))
 
-    def scanned(block) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
-
+    def scanned(sent) -> DataFrame:
         def run(batches):
             automaton = build_automaton(sent.value, window)
             for batch, texts in text_slices(batches, "text"):
@@ -150,11 +148,17 @@ def decontaminate(
         return base.mapInArrow(run, type(schema)([*head.fields, *schema.fields]))
 
     if one:
-        hits = scanned(blocks[0])
+        hits = scanned(spark.sparkContext.broadcast(next(blocks)))
     else:
-        parts = scanned(blocks[0])
-        for block in blocks[1:]:
-            parts = parts.unionByName(scanned(block))
+        # the driver and the tasks hold one block at a time: its hits are stored before the next one is read
+        parts = None
+        for block in blocks:
+            sent = spark.sparkContext.broadcast(block)
+            del block
+            found = scanned(sent)
+            found = stored(found if parts is None else found.where(F.size("runs") > 0))
+            sent.destroy()
+            parts = found if parts is None else parts.unionByName(found)
         merged = parts.groupBy("number").agg(
             F.first("n_words").alias("n_words"),
             F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("spans")).alias("spans"),

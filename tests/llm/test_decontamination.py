@@ -69,3 +69,19 @@ def test_query(spark):
     want = [(d, n, h, len(i), hashlib.sha256(",".join(i).encode()).hexdigest(), c) for d, n, h, i, c in brute(docs, items)]
     assert sorted(map(tuple, dec.op7_decontamination(spark, sf).collect())) == sorted(want)
     assert any(w[-1] for w in want)
+
+
+def test_one_block_at_a_time(spark, monkeypatch):
+    """The hits of a block are stored, and it is dropped, before the next one is read."""
+    steps, blocks, stored = [], dec._blocks, dec.stored
+
+    def read(*args):
+        n, found = blocks(*args)
+        return n, (steps.append("read") or b for b in found)
+
+    monkeypatch.setattr(dec, "_blocks", read)
+    monkeypatch.setattr(dec, "stored", lambda df: steps.append("stored") or stored(df))
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    dec.decontaminate(docs, bench, max_block_chars=40).collect()
+    assert steps[0] == "stored" and len(steps) > 4 and steps[1:] == ["read", "stored"] * (len(steps) // 2)
