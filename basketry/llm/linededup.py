@@ -1,9 +1,11 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by hashes of windows of lines.
 
 A line is known by the hash of its words; lines without words are looked through
 and never deleted. From every line a window runs down to where it first holds more
 than MIN_WORDS words, and another runs up likewise. The line of least hash in a
-window is its anchor; anchor and hash of the whole window are a fingerprint. Any
+window is its anchor, a name for its place; the hash of the whole window is the
+fingerprint. All windows are taken, none is selected by its minimum: the earliest
+occurrence of a minimum alone may share that line and not the run around it. Any
 run of lines of over MIN_WORDS words contains a whole window for each of its
 lines, so two texts that share such a run share fingerprints that cover it.
 
