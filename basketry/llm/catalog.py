@@ -12,6 +12,7 @@ from basketry.llm.pii import OP3_SQL, op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
 from basketry.llm.secrets import OP1_SQL, op1_secrets
 from basketry.llm.sharding import op10_sharding
+from basketry.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_secrets": op1_secrets,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
