@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from basketry.llm.bpe import op6_bpe
 from basketry.llm.decontamination import OP7_SQL, op7_decontamination
+from basketry.llm.divergence import OP12_SQL, op12_divergence
 from basketry.llm.jaccardjoin import OP8_SQL, op8_jaccard_join
 from basketry.llm.langid import op9_language_id
 from basketry.llm.linededup import OP4_SQL, op4_line_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op12_divergence": op12_divergence,
     "op13_whitening": op13_whitening,
 }
 
@@ -35,4 +37,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_jaccard_join": OP8_SQL,
+    "op12_divergence": OP12_SQL,
 }
