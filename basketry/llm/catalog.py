@@ -9,6 +9,7 @@ from basketry.llm.jaccardjoin import OP8_SQL, op8_jaccard_join
 from basketry.llm.langid import op9_language_id
 from basketry.llm.linededup import OP4_SQL, op4_line_dedup
 from basketry.llm.lm import op5_lm_score
+from basketry.llm.minhash import OP11_SQL, op11_minhash
 from basketry.llm.pii import OP3_SQL, op3_pii
 from basketry.llm.quality import OP2_SQL, op2_quality
 from basketry.llm.secrets import OP1_SQL, op1_secrets
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op11_minhash": op11_minhash,
     "op12_divergence": op12_divergence,
     "op13_whitening": op13_whitening,
 }
@@ -37,5 +39,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_jaccard_join": OP8_SQL,
+    "op11_minhash": OP11_SQL,
     "op12_divergence": OP12_SQL,
 }
