@@ -202,9 +202,11 @@ def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
     sizes = _told(groups, "key").groupBy("number").agg(F.sum("members").alias("degree"))
     rows = stored(groups.join(sizes, "number").join(nodes.select("number", "signature"), "number"))
     hub = F.max(F.struct("degree", F.col("number").alias("hub"), F.col("signature").alias("hub_signature")))
-    near = _told(rows, "key", hub.alias("h")).select("key", "number", "signature", "members", "h.hub", (_matches("signature", "h.hub_signature") >= least).alias("near"))
+    near = _told(rows, "key", hub.alias("h")).select("key", "number", "signature", "members", "h.hub", F.col("h.degree").alias("hub_degree"), (_matches("signature", "h.hub_signature") >= least).alias("near"))
     near = stored(near.where("number <> hub"))
-    stars = near.where("near").select(F.col("number").alias("a"), F.col("hub").alias("b")).distinct()
+    # a set has a hub for each key: it goes to the one that shares most keys, and so do its other hubs, which many sets have in common
+    hubs = near.where("near").groupBy("number").agg(F.collect_set("hub").alias("hubs"), F.max(F.struct("hub_degree", "hub")).getField("hub").alias("b"))
+    stars = hubs.select(F.explode(F.array_append("hubs", F.col("number"))).alias("a"), "b").where("a <> b").distinct()
 
     # groups of three and more with members that don't look like the hub: those meet all members
     tiles = lambda n: F.ceil(n / TILE_SIGNATURES).cast("int")
