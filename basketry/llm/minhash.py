@@ -70,7 +70,7 @@ BLOCK_SHINGLES = 128
 #: Texts whose set a task remembers, to pass over copies.
 SEEN_SETS = 100_000
 #: Members of a group that are compared by signature at once, and rows that a task gets.
-TILE_SIGNATURES, PART_SIGNATURES = 4096, 2**15
+TILE_SIGNATURES, PART_SIGNATURES = 1024, 2**11
 TILE_SETS, TILE_SHINGLES = 1024, 1_000_000
 #: Copies of what a group's rows are told, so that they needn't meet in one task.
 SALTS = 16
@@ -192,7 +192,9 @@ def _groups(nodes: DataFrame) -> DataFrame:
     members = [F.count(F.lit(1)).alias("members"), F.bit_xor(name).alias("name"), F.bit_xor(F.xxhash64(name, F.lit(1))).alias("other"), F.min("number").alias("low"), F.max("number").alias("high")]
     shared = each.groupBy("key").agg(*members).where("members > 1")
     once = stored(shared.groupBy("members", "name", "other", "low", "high").agg(F.min("key").alias("key")).select("key"))
-    return stored(each.join(once, "key"))
+    # most keys are of one set: a filter of bounded size spares them the way to the join
+    of_groups = _only(each.select(F.col("key").alias("number"), F.col("number").alias("member")), once.select(F.col("key").alias("number")))
+    return stored(of_groups.select(F.col("number").alias("key"), F.col("member").alias("number")).join(once, "key"))
 
 
 def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
