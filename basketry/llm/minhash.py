@@ -188,13 +188,14 @@ def _signed(base: DataFrame) -> DataFrame:
 def _groups(nodes: DataFrame) -> DataFrame:
     """(key, number) of keys with two members and more; keys with the same members once."""
     each = nodes.select("number", F.explode("keys").alias("key"))
+    shared = stored(each.groupBy("key").agg(F.min("number").alias("low"), F.max("number").alias("high")).where("low < high").select("key"))
+    # most keys are of one set: a filter of bounded size spares them the way to the join
+    some = _only(each.select(F.col("key").alias("number"), F.col("number").alias("member")), shared.select(F.col("key").alias("number")))
+    groups = stored(some.select(F.col("number").alias("key"), F.col("member").alias("number")).join(shared, "key"))
     name = F.xxhash64("number")
     members = [F.count(F.lit(1)).alias("members"), F.bit_xor(name).alias("name"), F.bit_xor(F.xxhash64(name, F.lit(1))).alias("other"), F.min("number").alias("low"), F.max("number").alias("high")]
-    shared = each.groupBy("key").agg(*members).where("members > 1")
-    once = stored(shared.groupBy("members", "name", "other", "low", "high").agg(F.min("key").alias("key")).select("key"))
-    # most keys are of one set: a filter of bounded size spares them the way to the join
-    of_groups = _only(each.select(F.col("key").alias("number"), F.col("number").alias("member")), once.select(F.col("key").alias("number")))
-    return stored(of_groups.select(F.col("number").alias("key"), F.col("member").alias("number")).join(once, "key"))
+    once = groups.groupBy("key").agg(*members).groupBy("members", "name", "other", "low", "high").agg(F.min("key").alias("key"))
+    return stored(groups.join(once.select("key"), "key"))
 
 
 def _candidates(nodes: DataFrame, threshold: int) -> DataFrame:
@@ -358,8 +359,8 @@ def minhash_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
     named = signed.select("number", "n", "class", F.when(F.col("keys").isNotNull(), F.col("number")).alias("signed"))
     own = _told(named, "class", F.min("signed").alias("least"))
     own = stored(own.select("number", F.coalesce("least", "number").alias("node"), "n"))
-    nodes = signed.where("keys is not null").join(own.where("number = node").select("number"), "number").select("number", "n", "signature", "keys")
-    nodes = stored(nodes)
+    # the filter lets few rows pass that don't stand for their class: they are sets like any other, equal to the one that does
+    nodes = stored(_only(signed.where("keys is not null").select("number", "n", "signature", "keys"), own.where("number = node").select("number")))
     links = _links(base, nodes, _candidates(nodes, threshold), threshold)
     roots = connected_components(links)
 
