@@ -110,3 +110,29 @@ def pair_bucket(a: str | Column, b: str | Column, num_buckets: int, hash_kind: s
     if hash_kind == "polynomial":
         return polynomial_bucket(a, b, num_buckets)
     raise ValueError(f"hash_kind must be 'xxhash64' or 'polynomial', not {hash_kind!r}")
+
+
+# Longs of one row of a bitmap of buckets.
+BITMAP_WORDS = 64
+
+
+def bucket_bitmap(buckets: DataFrame, bucket: str = "bucket") -> DataFrame:
+    """``(chunk int, words array<bigint>)``: the bucket ids (0 and up) as a bitmap, a row
+    for every 4,096 buckets of which one is there. 10^8 buckets take 24,415 rows
+    of 512 bytes. Bits are combined within tasks; no task holds more than a row of it."""
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(bucket, F.lit(64)))
+    words = buckets.groupBy(F.floor(F.col(bucket) / 64).cast("int").alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    place = F.pmod("_word", F.lit(BITMAP_WORDS)).alias("_at")
+    chunks = words.groupBy(F.floor(F.col("_word") / BITMAP_WORDS).cast("int").alias("chunk")).agg(
+        F.map_from_entries(F.collect_list(F.struct(place, "_bits"))).alias("_set"))
+    zero = F.lit(0).cast("bigint")
+    return chunks.select("chunk", F.transform(
+        F.sequence(F.lit(0), F.lit(BITMAP_WORDS - 1)), lambda i: F.coalesce(F.try_element_at("_set", i), zero)).alias("words"))
+
+
+def in_bitmap(rows: DataFrame, bitmap: DataFrame, bucket: str = "bucket") -> DataFrame:
+    """The rows whose bucket is in ``bitmap``, probed by shift and mask."""
+    chunk = F.shiftright(bucket, 12).alias("chunk")
+    word = F.get("words", F.shiftright(bucket, 6).bitwiseAND(F.lit(BITMAP_WORDS - 1)))
+    met = rows.select("*", chunk).join(bitmap, "chunk")
+    return met.where(F.getbit(word, F.col(bucket).bitwiseAND(F.lit(63))) == 1).drop("chunk", "words")

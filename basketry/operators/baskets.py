@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.stats import stddev_or_zero
+from basketry.operators.coded import coded_pair_support, item_codes
 from basketry.operators.pairs import DEFAULT_MAX_ITEMS, BasketSet, pair_support, prepare_baskets
 
 BASKET_KEYS = ("customer_id", "date")
@@ -54,15 +55,19 @@ def month_baskets(purchases: DataFrame, max_items: int = DEFAULT_MAX_ITEMS,
 
 
 def pair_counts_per_month(purchases: DataFrame | BasketSet, max_items: int = DEFAULT_MAX_ITEMS,
-                          sort: bool = True) -> DataFrame:
+                          sort: bool = True, coded: bool = False) -> DataFrame:
     """f3 (DataFrame form): ``(month, item_a, item_b, n_baskets)`` for every
-    pair bought together in a basket, ordered by month then count.
+    pair bought together in a basket, ordered by month then count. ``coded``
+    counts pairs of integer codes, so that each travels as one long.
 
     ``purchases`` may be the baskets that ``month_baskets`` prepared, for
     callers that use them more than once or release them.
     """
     baskets = purchases if isinstance(purchases, BasketSet) else month_baskets(purchases, max_items)
-    counts = pair_support(baskets, group=("month",), name="n_baskets")
+    if coded:
+        counts = coded_pair_support(baskets, item_codes(baskets, baskets.support()), ("month",), name="n_baskets")
+    else:
+        counts = pair_support(baskets, group=("month",), name="n_baskets")
     if sort:
         counts = counts.orderBy("month", F.desc("n_baskets"), "item_a", "item_b")
     return counts

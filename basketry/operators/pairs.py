@@ -31,7 +31,7 @@ stores once; ``BasketSet.release`` deletes all of it.
 
 PCY (``pcy_pass1`` / ``pcy_pass2``) prunes before expansion: pass 2 keeps
 only frequent items (semi join) and only pairs whose hash bucket is frequent
-(semi join with a broadcast of at most ``num_buckets`` ids). A pair with
+(a bitmap of ``num_buckets`` bits, broadcast after a size check). A pair with
 support >= s has both items and its bucket at >= s, so the result equals the
 plain count for every bucket count and hash.
 """
@@ -45,10 +45,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.pairs import (
+    bucket_bitmap,
     check_buckets,
     combined_polynomial_bucket,
     explode_cross_pairs,
     explode_pairs,
+    in_bitmap,
     item_polynomial,
     pair_bucket,
 )
@@ -61,8 +63,6 @@ DEFAULT_KEYS = ("customer_id", "date")
 DEFAULT_MAX_ITEMS = 200
 # Pair rows one task should generate.
 PAIRS_PER_TASK = 5_000_000
-# Bucket ids are broadcast for the PCY bitmap only up to this many buckets.
-MAX_BROADCAST_BUCKETS = 4_000_000
 
 
 @dataclass
@@ -388,10 +388,9 @@ def pcy_pass2(
     """
     occ = pair_occurrences(baskets, items=_keep_items(baskets, items))
     if buckets is not None:
-        ids = buckets.select("bucket")
-        if num_buckets <= MAX_BROADCAST_BUCKETS:
-            ids = F.broadcast(ids)  # at most num_buckets rows
-        occ = with_bucket(baskets, occ, num_buckets, hash_kind).join(ids, "bucket", "left_semi")
+        # at most num_buckets / 8 bytes, stored and measured before it is broadcast
+        bitmap, _ = broadcast_checked(baskets.store(bucket_bitmap(buckets)))
+        occ = in_bitmap(with_bucket(baskets, occ, num_buckets, hash_kind), bitmap)
     return (
         occ.groupBy("item_a", "item_b")
         .agg(F.sum("weight").alias("support"))

@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 
 from basketry.operators import baskets as B
 from basketry.operators import rules as R
+from basketry.operators.coded import frequent_pairs_by_codes
 from basketry.operators.graph import degree_count
 from basketry.operators.pairs import (
     BasketSet,
     frequent_items,
     frequent_pairs,
     pcy_pass1,
-    pcy_pass2,
     pcy_pruning,
     prepare_baskets,
 )
@@ -148,7 +148,7 @@ def q_csv_baskets_per_month(spark, sf):
 
 def q_pair_counts_per_month(spark, sf):
     # baskets of these tables are rarely copies of one another
-    return B.pair_counts_per_month(B.month_baskets(_dense(spark, sf), collapse_copies=False))
+    return B.pair_counts_per_month(B.month_baskets(_dense(spark, sf), collapse_copies=False), coded=True)
 
 
 def q_top_pair_per_month(spark, sf):
@@ -219,7 +219,7 @@ def q_frequent_buckets(spark, sf):
 
 def _dense_pairs(spark, sf):
     baskets = _dense_baskets(spark, sf)
-    return baskets, frequent_pairs(baskets, _share(baskets, SUPPORT_PER_MILLE, 1000))
+    return baskets, frequent_pairs_by_codes(baskets, _share(baskets, SUPPORT_PER_MILLE, 1000))
 
 
 def _rule_pairs(spark, sf):
@@ -240,11 +240,11 @@ def q_pcy_pruning(spark, sf):
 
 
 def q_document_word_pairs(spark, sf):
-    """Pairs of frequent words of whole documents: most baskets are heavy, so their
-    pairs are made chunk by chunk, and most items are pruned first."""
+    """Pairs of frequent words of whole documents: few items in many long baskets, so
+    pairs are counted by bitmaps over blocks of documents."""
     baskets = prepare_baskets(tables.document_words(spark, sf), keys=("doc_id",))
     least = _share(baskets, WORD_SUPPORT_PERCENT, 100)
-    return pcy_pass2(baskets, frequent_items(baskets, least), None, least)
+    return frequent_pairs_by_codes(baskets, least, bitmaps=True)
 
 
 def q_pair_lines_roundtrip(spark, sf):
@@ -255,18 +255,18 @@ def q_pair_lines_roundtrip(spark, sf):
 
 
 def q_candidate_rules(spark, sf):
-    return R.generate_rules(_dense_pairs(spark, sf)[1])
+    return R.generate_rules(_dense_pairs(spark, sf)[1], unique_pairs=True)
 
 
 def q_rules_with_confidence(spark, sf):
     baskets, pairs = _rule_pairs(spark, sf)
-    return _round(R.with_confidence(R.generate_rules(pairs), baskets.support(), CONFIDENCE), "confidence")
+    return _round(R.with_confidence(R.generate_rules(pairs, unique_pairs=True), baskets.support(), CONFIDENCE), "confidence")
 
 
 def _final_rules(spark, sf):
     baskets, pairs = _rule_pairs(spark, sf)
     rules = R.association_rules(pairs, baskets.items, CONFIDENCE, INTEREST,
-                                total=baskets.n_baskets, support=baskets.support())
+                                total=baskets.n_baskets, support=baskets.support(), unique_pairs=True)
     return rules, baskets
 
 

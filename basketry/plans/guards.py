@@ -20,11 +20,14 @@ DEFAULT_BROADCAST_BYTES = 64 * 2**20
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """``(rows, bytes)``: strings and binaries by their length, other columns as 8 bytes."""
+    """``(rows, bytes)``: strings and binaries by their length, arrays by 8 bytes an entry, other columns as 8 bytes."""
     width = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         long = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) if long else F.lit(8))
+        if isinstance(field.dataType, T.ArrayType):
+            width = width + 8 * F.greatest(F.coalesce(F.size(field.name), F.lit(0)), F.lit(1))
+        else:
+            width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) if long else F.lit(8))
     row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return int(row[0]), int(row[1])
 

@@ -1,0 +1,120 @@
+"""Coded pairs, bitmaps of baskets and of buckets against brute force, and their plans."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.functions.pairs import bucket_bitmap, in_bitmap
+from basketry.operators import baskets as B
+from basketry.operators import coded as cd
+from basketry.operators import pairs as P
+from basketry.plans.guards import broadcast_checked, measured_size
+from helpers import brute_pair_support, purchases_frame
+
+KEYS = ("basket",)
+
+
+def made(spark, sets, **more):
+    rows = [(k, i) for k, items in enumerate(sets) for i in items]
+    return P.prepare_baskets(spark.createDataFrame(rows, "basket long, item string").repartition(5), keys=KEYS, **more)
+
+
+def random_sets(seed, n, kinds, most):
+    rng = random.Random(seed)
+    names = [f"{rng.choice('aZé日')}{k}" for k in range(kinds)]
+    sets = [set(rng.sample(names, rng.randrange(0, most))) for _ in range(n)]
+    return [s | {"hot"} if k % 3 == 0 else s for k, s in enumerate(sets)] + sets[:20]
+
+
+def got(df):
+    rows = [((r.item_a, r.item_b), r.support) for r in df.collect()]
+    assert len(dict(rows)) == len(rows)
+    return dict(rows)
+
+
+def test_codes_follow_the_names(spark):
+    bs = made(spark, [{f"x{k:03d}" for k in range(0, 500, 3)}, {"é", "日", "Z", "a", ""}])
+    codes = cd.item_codes(bs, bs.support())
+    rows = sorted(codes.table.collect(), key=lambda r: r.item.encode())
+    assert [r.code for r in rows] == list(range(len(rows))) and codes.n_items == len(rows) and codes.within
+
+
+@pytest.mark.parametrize("max_items", [3, 200])
+def test_equal_to_brute_force(spark, max_items):
+    sets = random_sets(max_items, 150, 30, 12)
+    bs = made(spark, sets, max_items=max_items)
+    want = brute_pair_support(sets)
+    codes = cd.item_codes(bs, bs.support())
+    assert got(cd.coded_pair_support(bs, codes)) == want
+    for least in (2, 9):
+        some = {p: n for p, n in want.items() if n >= least}
+        assert got(cd.frequent_pairs_by_codes(bs, least)) == some
+        assert got(cd.frequent_pairs_by_codes(bs, least, bitmaps=True, words=1)) == some
+
+
+def test_bitmaps_over_many_blocks_and_lanes(spark, monkeypatch):
+    """Blocks of 64 and of 128 baskets, several numberings, items of a block dealt to lanes."""
+    sets = random_sets(4, 400, 25, 9)
+    want = brute_pair_support(sets)
+    bs = made(spark, sets)
+    codes = cd.item_codes(bs, bs.support())
+    monkeypatch.setattr(P, "PAIRS_PER_TASK", 400)
+    monkeypatch.setattr(cd, "BLOCKS_PER_NUMBERING", 2)
+    for words in (1, 2, 40):
+        assert got(cd.vertical_pair_support(bs, codes, words=words)) == want
+    maps = cd.item_bitmaps(bs, codes, 1)
+    held = maps.groupBy("item").agg(F.sum(F.bit_count("w0")).alias("n")).join(codes.table.drop("item").withColumnRenamed("code", "item"), "item").select("n", "support").collect()
+    assert held and all(r.n == r.support for r in held)
+    with pytest.raises(ValueError):
+        cd.item_bitmaps(bs, codes, 0)
+
+
+def test_beyond_the_broadcast_bounds(spark):
+    sets = random_sets(6, 80, 20, 8)
+    bs = made(spark, sets)
+    codes = cd.item_codes(bs, bs.support())
+    wide = cd.ItemCodes(codes.table, codes.n_items, within=False)
+    assert got(cd.coded_pair_support(bs, wide)) == got(cd.vertical_pair_support(bs, wide)) == brute_pair_support(sets)
+
+
+def test_nothing_to_count(spark):
+    for sets in ([], [set()], [{"a"}], [{"a"}, {"b"}]):
+        bs = made(spark, sets)
+        for bitmaps in (False, True):
+            assert got(cd.frequent_pairs_by_codes(bs, 1, bitmaps)) == {}
+
+
+def test_months_by_codes(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(20), f"2024-0{rng.randrange(1, 4)}-1{rng.randrange(3)}", f"i{rng.randrange(9)}") for _ in range(300)]
+    df = purchases_frame(spark, rows)
+    assert B.pair_counts_per_month(df, coded=True).collect() == B.pair_counts_per_month(df).collect()
+
+
+def test_pairs_are_shuffled_as_longs(spark):
+    bs = made(spark, random_sets(5, 50, 10, 6))
+    codes = cd.item_codes(bs, bs.support())
+    for df in (cd.coded_pair_support(bs, codes, min_support=2), cd.vertical_pair_support(bs, codes, 2)):
+        plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        # the long of a pair, also where the planner names the expression itself
+        assert re.search(r"hashpartitioning\((pair|_groupingexpression)#\d+L", plan) and "hashpartitioning(item_a" not in plan
+
+
+def test_bucket_bitmap(spark):
+    rng = random.Random(1)
+    ids = set(rng.sample(range(100_000), 3000)) | {0, 63, 64, 4095, 4096, 2**31 - 2}
+    bitmap = bucket_bitmap(spark.createDataFrame([(i,) for i in ids], "bucket int")).persist()
+    rows = spark.createDataFrame([(i,) for i in [*range(0, 100_000, 7), *ids, 2**31 - 3]], "bucket int")
+    found = sorted(r.bucket for r in in_bitmap(rows, bitmap).collect())
+    assert found == sorted([i for i in range(0, 100_000, 7) if i in ids] + list(ids))
+    assert in_bitmap(rows, bucket_bitmap(rows.limit(0))).collect() == []
+    bitmap.unpersist()
+
+
+def test_bitmap_of_a_hundred_million_buckets(spark):
+    """Its measured size is one bit a bucket and a number a row, within the broadcast bounds."""
+    chunks = spark.range(24_415).select(F.col("id").cast("int").alias("chunk"), F.sequence(F.lit(1).cast("bigint"), F.lit(64).cast("bigint")).alias("words"))
+    rows, size = measured_size(chunks)
+    assert rows == 24_415 and size == 24_415 * 520 < 13_000_000 and broadcast_checked(chunks)[1]
