@@ -130,6 +130,11 @@ def bucket_bitmap(buckets: DataFrame, bucket: str = "bucket") -> DataFrame:
         F.sequence(F.lit(0), F.lit(BITMAP_WORDS - 1)), lambda i: F.coalesce(F.try_element_at("_set", i), zero)).alias("words"))
 
 
+def bitmap_bytes(num_buckets: int) -> int:
+    """Bytes that ``bucket_bitmap`` takes at most: a row's words, and 48 bytes beside them."""
+    return -(-num_buckets // (64 * BITMAP_WORDS)) * (8 * BITMAP_WORDS + 48)
+
+
 def in_bitmap(rows: DataFrame, bitmap: DataFrame, bucket: str = "bucket") -> DataFrame:
     """The rows whose bucket is in ``bitmap``, probed by shift and mask."""
     chunk = F.shiftright(bucket, 12).alias("chunk")

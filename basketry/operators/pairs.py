@@ -31,7 +31,7 @@ stores once; ``BasketSet.release`` deletes all of it.
 
 PCY (``pcy_pass1`` / ``pcy_pass2``) prunes before expansion: pass 2 keeps
 only frequent items (semi join) and only pairs whose hash bucket is frequent
-(a bitmap of ``num_buckets`` bits, broadcast after a size check). A pair with
+(a bitmap of ``num_buckets`` bits, broadcast if that size is within the bound). A pair with
 support >= s has both items and its bucket at >= s, so the result equals the
 plain count for every bucket count and hash.
 """
@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.pairs import (
+    bitmap_bytes,
     bucket_bitmap,
     check_buckets,
     combined_polynomial_bucket,
@@ -388,8 +389,9 @@ def pcy_pass2(
     """
     occ = pair_occurrences(baskets, items=_keep_items(baskets, items))
     if buckets is not None:
-        # at most num_buckets / 8 bytes, stored and measured before it is broadcast
-        bitmap, _ = broadcast_checked(baskets.store(bucket_bitmap(buckets)))
+        bitmap = bucket_bitmap(buckets)
+        if bitmap_bytes(num_buckets) <= DEFAULT_BROADCAST_BYTES:
+            bitmap = F.broadcast(bitmap)
         occ = in_bitmap(with_bucket(baskets, occ, num_buckets, hash_kind), bitmap)
     return (
         occ.groupBy("item_a", "item_b")

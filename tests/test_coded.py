@@ -6,11 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.functions.pairs import bucket_bitmap, in_bitmap
+from basketry.functions.pairs import bitmap_bytes, bucket_bitmap, in_bitmap
 from basketry.operators import baskets as B
 from basketry.operators import coded as cd
 from basketry.operators import pairs as P
-from basketry.plans.guards import broadcast_checked, measured_size
+from basketry.plans.guards import DEFAULT_BROADCAST_BYTES, measured_size
 from helpers import brute_pair_support, purchases_frame
 
 KEYS = ("basket",)
@@ -115,8 +115,20 @@ def test_bucket_bitmap(spark):
     bitmap.unpersist()
 
 
-def test_bitmap_of_a_hundred_million_buckets(spark):
-    """Its measured size is one bit a bucket and a number a row, within the broadcast bounds."""
-    chunks = spark.range(24_415).select(F.col("id").cast("int").alias("chunk"), F.sequence(F.lit(1).cast("bigint"), F.lit(64).cast("bigint")).alias("words"))
-    rows, size = measured_size(chunks)
-    assert rows == 24_415 and size == 24_415 * 520 < 13_000_000 and broadcast_checked(chunks)[1]
+def test_bitmap_sizes():
+    """One bit a bucket and a little: 10^8 buckets are broadcast, ids that fill 31 bits aren't."""
+    assert 12_500_000 < bitmap_bytes(10**8) < 14_000_000 < DEFAULT_BROADCAST_BYTES < bitmap_bytes(2**31 - 1)
+
+
+def test_pcy_with_bitmaps_of_any_size(spark, monkeypatch):
+    sets = random_sets(8, 60, 15, 7)
+    bs = made(spark, sets)
+    want = {p: n for p, n in brute_pair_support(sets).items() if n >= 3}
+    assert got(P.frequent_pairs(bs, 3, 10**8)) == want
+    monkeypatch.setattr(P, "DEFAULT_BROADCAST_BYTES", 0)
+    assert got(P.frequent_pairs(bs, 3, 7)) == want
+
+
+def test_arrays_are_measured(spark):
+    chunks = spark.range(10).select(F.col("id").cast("int").alias("chunk"), F.sequence(F.lit(1).cast("bigint"), F.lit(64).cast("bigint")).alias("words"))
+    assert measured_size(chunks) == (10, 10 * 520)
