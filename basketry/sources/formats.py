@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.text import unescaped_item
+
 # The purchases CSV header of the reference, our names and types
 # (the id is read as bigint so large customer keys do not overflow).
 PURCHASES_CSV = {
@@ -155,8 +157,8 @@ def _classify_pair_lines(lines: DataFrame, value: str) -> DataFrame:
     )
     return lines.select(
         F.col(value).alias("line"),
-        F.get(pair, 0).alias("item_a"),
-        F.get(pair, 1).alias("item_b"),
+        unescaped_item(F.get(pair, 0)).alias("item_a"),
+        unescaped_item(F.get(pair, 1)).alias("item_b"),
         support.alias("support"),
         F.coalesce(well_formed, F.lit(False)).alias("well_formed"),
     )

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.text import escaped_item
+
 
 def write_key_value_text(df: DataFrame, key: str | Column, value: str | Column, path: str,
                          mode: str = "errorifexists") -> None:
@@ -37,9 +39,10 @@ def degree_label(direction: str | Column = "direction", degree: str | Column = "
 
 
 def pair_lines(pairs: DataFrame) -> DataFrame:
-    """``(item_a, item_b, support)`` -> ``a|b<TAB>n`` lines as ``(value)``."""
+    """``(item_a, item_b, support)`` -> ``a|b<TAB>n`` lines as ``(value)``. Plain names are
+    written as they are, odd ones by ``functions.text.escaped_item``."""
     return pairs.select(
-        F.concat(F.col("item_a"), F.lit("|"), F.col("item_b"), F.lit("\t"), F.col("support").cast("string")).alias(
+        F.concat(escaped_item("item_a"), F.lit("|"), escaped_item("item_b"), F.lit("\t"), F.col("support").cast("string")).alias(
             "value"
         )
     )

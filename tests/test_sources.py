@@ -124,3 +124,27 @@ def test_sinks(spark):
     assert spark.read.csv(os.path.join(d, "csv")).count() == 1
     x = spark.createDataFrame([(4.949747468305833,)], "x double")
     assert x.select(fixed_decimals("x").alias("s")).first().s == "4.9497"
+
+
+def test_pair_file_keeps_odd_names(spark, tmp_path):
+    """Pipes, tabs, line ends, backslashes and empty names come back; plain names are written as they are."""
+    import itertools
+    import random
+
+    from basketry.sources.sinks import pair_lines, write_pairs
+
+    rng = random.Random(2)
+    names = ["".join(p) for n in range(4) for p in itertools.product("\\|te", repeat=n)]
+    names += ["".join(rng.choices("ab\\|\t\n\rpnrteé日", k=rng.randrange(1, 12))) for _ in range(300)]
+    rows = [(a, b, k) for k, (a, b) in enumerate(zip(names, reversed(names)))]
+    df = spark.createDataFrame(rows, "item_a string, item_b string, support long")
+    write_pairs(df, str(tmp_path / "pairs"))
+    back = read_pairs(spark, str(tmp_path / "pairs"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    assert rejected_pair_lines(spark.read.text(str(tmp_path / "pairs"))).collect() == []
+    plain = spark.createDataFrame([("whole milk", "yögurt", 3)], "item_a string, item_b string, support long")
+    assert pair_lines(plain).first().value == "whole milk|yögurt\t3"
+    # a file of another writer: a backslash that escapes nothing stays
+    lines = spark.createDataFrame([("a\\x|b\\\t2",)], "value string")
+    from basketry.sources.formats import parse_pair_lines
+    assert [tuple(r) for r in parse_pair_lines(lines).collect()] == [("a\\x", "b\\", 2)]
