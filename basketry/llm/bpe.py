@@ -18,15 +18,16 @@ special tokens found in a text get their ids, as the library does; texts of any
 length are cut at word bounds only for working, never in the result. Other
 columns pass through untouched; columns of the new names, in whatever case, are
 replaced. Repeated rows give repeated results; an empty table gives
-an empty one. Code points that newer Unicode versions made letters or numbers
-(some 17,500, all outside the scripts in common use) follow the ``regex`` module's
-tables, which are newer than the library's.
+an empty one. Unicode tables are pinned to those of the library: texts with a code
+point that Python's tables (classes of ``regex``, lower case and NFC of Python)
+know otherwise take a path of their own.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -43,6 +44,45 @@ LONG_WORD = 400
 CACHE_WORDS = 400_000
 
 
+# Where the library's Unicode tables differ from Python's and the ``regex`` module's.
+#: Letters to the ``regex`` module (Unicode 17 and later), unassigned to the library.
+NO_LETTERS = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
+    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16EB8),
+    (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF),
+    (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4),
+    (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+    (0x3D000, 0x3FC3F),
+]
+#: The same of numbers.
+NO_NUMBERS = [(0x11DE0, 0x11DE9), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16FF4, 0x16FF6)]
+#: Lower case that the library knows and Python doesn't: first and last capital, first small letter.
+LOWER = [
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+    (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+]
+#: Combining marks to Python that the library's NFC neither orders nor composes with what is before.
+NO_MARKS = [
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA),
+    (0x1715, 0x1715), (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC),
+    (0x10EFD, 0x10EFF), (0x10F46, 0x10F50), (0x10F82, 0x10F85), (0x11070, 0x11070), (0x1133B, 0x1133B),
+    (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x11930, 0x11930), (0x1193D, 0x1193E), (0x11943, 0x11943),
+    (0x119E0, 0x119E0), (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42),
+    (0x11D44, 0x11D45), (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F),
+    (0x1E130, 0x1E136), (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF),
+]
+
+
+def _ranges(pairs: list[tuple[int, int]]) -> str:
+    """The inside of a character class."""
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in pairs)
+
+
 def byte_symbols() -> list[str]:
     """The printable character that byte-level vocabularies use for each byte:
     itself for printable Latin-1, and code points from 256 on for the rest."""
@@ -86,6 +126,14 @@ class Encoder:
         self.m = model
         self.none = len(model["merged"])
         self.words = regex.compile(model["split"])
+        classes = {r"\p{L}": NO_LETTERS, r"\p{N}": NO_NUMBERS}
+        pinned = model["split"]
+        for name, pairs in classes.items():
+            pinned = pinned.replace(name, f"[{name}--[{_ranges(pairs)}]]")
+        self.pinned_words = regex.compile(pinned, regex.V1)
+        self.lower = {c: chr(to + c - a) for a, b, to in LOWER for c in range(a, b + 1)}
+        self.marks = re.compile(f"([{_ranges(NO_MARKS)}])")
+        self.differs = re.compile(f"[{_ranges([*NO_LETTERS, *NO_NUMBERS, *NO_MARKS])}{''.join(map(chr, self.lower))}]")
         names = sorted(model["special"], key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.reset()
@@ -112,18 +160,22 @@ class Encoder:
     def split(self, text: str) -> list[str]:
         """The words of a text; special tokens are marked by a leading NUL."""
         if self.special is None or "<" not in text:
-            return self.words.findall(self.normal(text))
+            return self.plain(text)
         out: list[str] = []
         for k, part in enumerate(self.special.split(text)):
-            out += ["\0" + part] if k % 2 else self.words.findall(self.normal(part))
+            out += ["\0" + part] if k % 2 else self.plain(part)
         return out
 
-    @staticmethod
-    def normal(text: str) -> str:
+    def plain(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
         if text.isascii():
-            return text.lower()
+            return self.words.findall(text.lower())
         # each character on its own: a final sigma isn't special
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if not self.differs.search(text):
+            return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        # an unknown mark stands for itself, between texts normalised apart
+        text = "".join(part if k % 2 else unicodedata.normalize("NFC", part) for k, part in enumerate(self.marks.split(text)))
+        return self.pinned_words.findall(text.translate(self.lower).replace("Σ", "σ").lower())
 
     def learn(self, words: list[str]) -> None:
         """Encode words not met before."""

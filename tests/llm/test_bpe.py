@@ -94,3 +94,17 @@ def test_query(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_every_code_point(model, library):
+    """Between letters, after a digit, before a combining mark, and behind one."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{c}B 1{c} e̖{c}́ ́{c}̖" for c in points[i:i + 64]) for i in range(0, len(points), 64)]
+    check(model, library, texts)
+
+
+def test_code_points_that_tables_differ_on(model, library):
+    rng = random.Random(8)
+    ranges = [r[:2] for r in bpe.NO_LETTERS + bpe.NO_NUMBERS + bpe.NO_MARKS + bpe.LOWER]
+    odd = [chr(rng.randint(a, b)) for a, b in ranges] + list("ab1 ̖́̈́Σ") + ["\U00011935", "\U00011938"]
+    check(model, library, ["".join(rng.choice(odd) for _ in range(12)) for _ in range(4000)])
