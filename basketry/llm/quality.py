@@ -2,12 +2,23 @@
 
 Four rates of a document are judged: mean word length, symbols, repeated lines
 and words in repeated 3-word windows. Instead of fixed cutoffs, each (language,
-source) gets limits from its own documents: Tukey fences around the quartiles,
-widened where a group hardly varies. The quartiles come from sketches: counts of
+source) gets limits from its own documents, FENCE widths outside two quantiles of
+the rate, whose distance is the width: the quartiles for word length, where both
+tails fail, and the median and the 90th percentile for the others, where only high
+values do. Symbols are an outlier wherever the group's texts have few, so all
+documents count there. Repetition occurs in clean text, but in few documents; how
+much is usual is learned from those that have any. The least width is one rounding
+step of the rate, and a document fails only if FENCE steps of its own (one more
+symbol, repeated line, repeated window, or ten letters) would not bring it inside:
+a short text's rates are coarse.
+
+The quantiles come from sketches: counts of
 logarithmic buckets with SUB_BUCKETS steps per power of two (a relative error
 of 1 / SUB_BUCKETS at most). Sketches merge by adding counts, so one pass makes
 those of (language, source), and sums of them those of a language and of all
-documents; groups under MIN_GROUP documents use the next wider sketch. Limits are
+documents. A rate for which a group has too few documents (MIN_GROUP, or MIN_SOME
+with repetition) uses the next wider sketch; if fewer than MIN_SOME documents of
+all have repetition, the limit is 0 and the document's own steps. Limits are
 joined back to the documents by group, salted because one source may hold a third
 of them.
 
@@ -24,6 +35,8 @@ columns are read, so other columns can have any name.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,18 +49,37 @@ MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 #: Steps of a sketch per power of two.
 SUB_BUCKETS = 32
-#: Documents that a group needs for limits of its own.
+#: Documents that a group needs for limits of its own, and those with repetition that it needs for limits of repetition.
 MIN_GROUP = 200
-#: Fences stand so many interquartile ranges outside the quartiles.
+MIN_SOME = 50
+#: Fences stand so many widths outside the quantiles.
 FENCE = 3
 #: Copies of the limits that hot groups are spread over.
 SALTS = 16
-#: The rates: numerator, denominator, scale, least width of the interquartile range, whether low values fail too.
+@dataclass(frozen=True)
+class Rate:
+    """``scale * over / under``, judged by the quantiles ``low`` and ``high`` (percent) of all
+    documents or of those where it isn't 0; ``step`` is the least change of ``over`` that counts."""
+
+    over: str
+    under: str
+    scale: int
+    step: int
+    low: int
+    high: int
+    some: bool = False
+    both: bool = False
+
+    @property
+    def least(self) -> int:
+        return MIN_SOME if self.some else MIN_GROUP
+
+
 RATES = {
-    "word_length": ("word_chars", "n_words", 100, 60, True),
-    "symbols": ("n_symbols", "n_words", 1000, 40, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 170, False),
-    "repeat_words": ("n_repeat_words", "n_words", 1000, 130, False),
+    "word_length": Rate("word_chars", "n_words", 100, 10, 25, 75, both=True),
+    "symbols": Rate("n_symbols", "n_words", 1000, 1, 50, 90),
+    "dup_lines": Rate("n_dup_lines", "n_lines", 1000, 1, 50, 90, some=True),
+    "repeat_words": Rate("n_repeat_words", "n_words", 1000, 2 * WINDOW, 50, 90, some=True),
 }
 
 
@@ -118,15 +150,23 @@ def bucket(value: Column) -> Column:
 
 
 def rate(name: str) -> Column:
-    over, under, scale, _, _ = RATES[name]
-    return F.coalesce(F.expr(f"{scale} * `{over}` div nullif(`{under}`, 0)"), F.lit(0)).cast("long")
+    r = RATES[name]
+    return F.coalesce(F.expr(f"{r.scale} * `{r.over}` div nullif(`{r.under}`, 0)"), F.lit(0)).cast("long")
+
+
+def outside(name: str, limits: str) -> Column:
+    """Whether a document's rate is outside its limits, with FENCE steps of its own to spare."""
+    r = RATES[name]
+    over, under, spare = r.scale * F.col(r.over), F.col(r.under), F.lit(FENCE * r.scale * r.step)
+    high = over - F.col(f"{limits}.{name}_high") * under > spare
+    return high | (F.col(f"{limits}.{name}_low") * under - over > spare) if r.both else high
 
 
 def sketches(counts: DataFrame) -> DataFrame:
     """(level, lang, source, rate, bucket, n): level 2 for a language and source, 1 for a language, 0 for all."""
-    rates = F.explode(F.array(*[F.struct(F.lit(k).alias("rate"), bucket(rate(k)).alias("bucket")) for k in RATES]))
+    cells = [F.when(rate(k) > 0 if r.some else F.lit(True), F.struct(F.lit(k).alias("rate"), bucket(rate(k)).alias("bucket"))) for k, r in RATES.items()]
     fine = (
-        counts.where("not base_failed").select("lang", "source", rates.alias("r"))
+        counts.where("not base_failed").select("lang", "source", F.explode(F.array_compact(F.array(*cells))).alias("r"))
         .groupBy("lang", "source", "r.rate", "r.bucket").agg(F.count(F.lit(1)).alias("n"))
     )
     levels = F.explode(F.array(
@@ -141,31 +181,39 @@ def sketches(counts: DataFrame) -> DataFrame:
 
 
 def limits(sketch: DataFrame) -> DataFrame:
-    """(level, lang, source, n_docs, limits): limits is a struct of ``<rate>_low`` and ``<rate>_high``."""
+    """(level, lang, source, limits): limits is a struct of ``<rate>_n``, the documents in the
+    sketch, ``<rate>_low`` and ``<rate>_high``, null where the sketch is empty."""
     group = ["level", "lang", "source", "rate"]
     upto = W.partitionBy(*group).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     ranked = sketch.select("*", F.sum("n").over(upto).alias("upto"), F.sum("n").over(W.partitionBy(*group)).alias("total"))
-    quarter = lambda k: F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("bucket")))
-    quartiles = ranked.groupBy(*group).agg(F.max("total").alias("total"), quarter(1).alias("q1"), quarter(3).alias("q3"))
+    percent = F.create_map(*[x for k, r in RATES.items() for x in (F.lit(k), F.struct(F.lit(r.low).alias("low"), F.lit(r.high).alias("high")))])
+    quantile = lambda k: F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent[F.col("rate")][k], F.col("bucket"))).alias(k)
+    quantiles = ranked.groupBy(*group).agg(F.max("total").alias("total"), quantile("low"), quantile("high"))
+    spread = FENCE * F.greatest(F.col("high") - F.col("low"), F.lit(1))
     columns = []
-    for name, (_, _, _, width, both) in RATES.items():
-        spread = FENCE * F.greatest(F.col("q3") - F.col("q1"), F.lit(width))
-        own = lambda x, name=name: F.max(F.when(F.col("rate") == name, x))
-        columns += [own(F.col("q1") - spread if both else F.lit(-1).cast("long")).alias(f"{name}_low"), own(F.col("q3") + spread).alias(f"{name}_high")]
-    return quartiles.groupBy("level", "lang", "source").agg(F.max("total").alias("n_docs"), F.struct(*columns).alias("limits"))
+    for name in RATES:
+        for k, x in {"n": F.col("total"), "low": F.col("low") - spread, "high": F.col("high") + spread}.items():
+            columns.append(F.max(F.when(F.col("rate") == name, x)).alias(f"{name}_{k}"))
+    return quantiles.groupBy("level", "lang", "source").agg(F.struct(*columns).alias("limits"))
 
 
 def group_limits(counts: DataFrame) -> DataFrame:
-    """A row for each (lang, source): the limits of the narrowest sketch with enough documents."""
+    """(lang, source, limits), a row for each group: the limits (``<rate>_low``, ``<rate>_high``) of
+    each rate are those of the narrowest sketch with enough documents."""
     found = stored(limits(sketches(counts)))
-    level = lambda k, *names: found.where(F.col("level") == k).select(*names, F.col("n_docs").alias(f"n{k}"), F.col("limits").alias(f"limits{k}"))
-    groups, langs = level(2, "lang", "source"), level(1, F.col("lang").alias("l_lang"))
-    kind = found.schema["limits"].dataType
-    whole = found.where("level = 0").select("limits").first()  # one row of eight numbers
-    whole = F.struct(*[F.lit(whole.limits[f.name] if whole else None).cast(f.dataType).alias(f.name) for f in kind.fields])
-    joined = groups.join(langs, F.col("lang").eqNullSafe(F.col("l_lang")))
-    chosen = F.when(F.col("n2") >= MIN_GROUP, F.col("limits2")).when(F.col("n1") >= MIN_GROUP, F.col("limits1")).otherwise(whole)
-    return joined.select("lang", "source", chosen.alias("limits"))
+    level = lambda k, *names: found.where(F.col("level") == k).select(*names, F.col("limits").alias(f"limits{k}"))
+    whole = found.where("level = 0").select("limits").first()  # one row of twelve numbers
+    joined = level(2, "lang", "source").join(level(1, F.col("lang").alias("l_lang")), F.col("lang").eqNullSafe(F.col("l_lang")))
+    columns = []
+    for name, r in RATES.items():
+        last = whole.limits if whole else {f"{name}_{k}": None for k in ("n", "low", "high")}
+        enough = not r.some or (last[f"{name}_n"] or 0) >= r.least
+        for k in ("low", "high"):
+            x = F.lit(last[f"{name}_{k}"] if enough else 0).cast("long")
+            for i in (1, 2):
+                x = F.when(F.col(f"limits{i}.{name}_n") >= r.least, F.col(f"limits{i}.{name}_{k}")).otherwise(x)
+            columns.append(x.alias(f"{name}_{k}"))
+    return joined.select("lang", "source", F.struct(*columns).alias("limits"))
 
 
 def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -188,10 +236,7 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: st
         F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")) & (F.col("salt") == F.col("g_salt")),
         "left",
     )
-    outside = [
-        F.when((rate(k) < F.col(f"limits.{k}_low")) | (rate(k) > F.col(f"limits.{k}_high")), F.lit(k)) for k in RATES
-    ]
-    judged = joined.withColumn("failed", F.array_compact(F.array(*outside)))
+    judged = joined.withColumn("failed", F.array_compact(F.array(*[F.when(outside(k, "limits"), F.lit(k)) for k in RATES])))
     kept = ~F.col("base_failed") & F.col("limits").isNotNull() & (F.size("failed") == 0)
     return judged.select("row", *numbers, "base_failed", "failed", kept.alias("kept"))
 
@@ -206,15 +251,20 @@ def op2_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    cells = " union all ".join(
-        f"select lang, source, '{k}' rate, coalesce({s} * {a} // nullif({b}, 0), 0) v from c where not base_failed" for k, (a, b, s, _, _) in RATES.items()
-    )
+    value = {k: f"coalesce({r.scale} * {r.over} // nullif({r.under}, 0), 0)" for k, r in RATES.items()}
+    cells = " union all ".join(f"select lang, source, '{k}' rate, {value[k]} v from c where not base_failed" + (f" and {value[k]} > 0" if r.some else "") for k, r in RATES.items())
     top = SUB_BUCKETS.bit_length()
-    width = "case rate " + " ".join(f"when '{k}' then {w}" for k, (_, _, _, w, _) in RATES.items()) + " end"
-    pick = ", ".join(f"max(case when rate = '{k}' then q1 - spread end) {k}_low, max(case when rate = '{k}' then q3 + spread end) {k}_high" for k in RATES)
+    percent = lambda k: "case rate " + " ".join(f"when '{n}' then {getattr(r, k)}" for n, r in RATES.items()) + " end"
+    numbers = {"n": "total", "low": "low - spread", "high": "high + spread"}
+    pick = ", ".join(f"max(case when rate = '{k}' then {x} end) {k}_{n}" for k in RATES for n, x in numbers.items())
+    last = lambda k, r, n: f"case when z.{k}_n >= {r.least} then z.{k}_{n} else 0 end" if r.some else f"z.{k}_{n}"
+    chosen = ", ".join(
+        f"case when g.{k}_n >= {r.least} then g.{k}_{n} when h.{k}_n >= {r.least} then h.{k}_{n} else {last(k, r, n)} end {k}_{n}"
+        for k, r in RATES.items() for n in ("low", "high")
+    )
     test = " and ".join(
-        f"coalesce({s} * {a} // nullif({b}, 0), 0) <= l.{k}_high" + (f" and coalesce({s} * {a} // nullif({b}, 0), 0) >= l.{k}_low" if both else "")
-        for k, (a, b, s, _, both) in RATES.items()
+        f"{r.scale} * {r.over} - l.{k}_high * {r.under} <= {FENCE * r.scale * r.step}" + (f" and l.{k}_low * {r.under} - {r.scale} * {r.over} <= {FENCE * r.scale * r.step}" if r.both else "")
+        for k, r in RATES.items()
     )
     return rf"""
 with d as (select row_number() over () r, doc_id, lang, source, coalesce(text, '') t from documents),
@@ -232,13 +282,10 @@ s as (select lang, source, rate, (v >> greatest(length(bin(v)) - {top}, 0)) << g
 k as (select 2 lev, lang, source, rate, bucket from s union all select 1, lang, null, rate, bucket from s union all select 0, null, null, rate, bucket from s),
 n as (select lev, lang, source, rate, bucket, count(*) n from k group by all),
 u as (select *, sum(n) over (partition by lev, lang, source, rate order by bucket) upto, sum(n) over (partition by lev, lang, source, rate) total from n),
-q as (select lev, lang, source, rate, max(total) total, min(case when 4 * upto >= total then bucket end) q1, min(case when 4 * upto >= 3 * total then bucket end) q3 from u group by all),
-f as (select *, {FENCE} * greatest(q3 - q1, {width}) spread from q),
-m as (select lev, lang, source, max(total) n_docs, {pick} from f group by all),
-o as (select g.lang, g.source, case when g.n_docs >= {MIN_GROUP} then 2 when h.n_docs >= {MIN_GROUP} then 1 else 0 end lev
-      from m g join m h on g.lev = 2 and h.lev = 1 and g.lang is not distinct from h.lang),
-e as (select o.lang dl, o.source ds, l.* from o join m l on l.lev = o.lev
-      and (o.lev < 1 or l.lang is not distinct from o.lang) and (o.lev < 2 or l.source is not distinct from o.source))
+q as (select lev, lang, source, rate, max(total) total, min(case when 100 * upto >= total * ({percent("low")}) then bucket end) low, min(case when 100 * upto >= total * ({percent("high")}) then bucket end) high from u group by all),
+f as (select *, {FENCE} * greatest(high - low, 1) spread from q),
+m as (select lev, lang, source, {pick} from f group by all),
+e as (select g.lang dl, g.source ds, {chosen} from m g join m h on g.lev = 2 and h.lev = 1 and g.lang is not distinct from h.lang join m z on z.lev = 0)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and coalesce({test}, false) kept
 from c left join e l on c.lang is not distinct from l.dl and c.source is not distinct from l.ds

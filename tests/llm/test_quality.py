@@ -78,3 +78,64 @@ def test_bucket_error(spark, value):
 def test_query_plan_is_native(spark):
     plan = q.op2_quality(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+
+
+def prose(rng, n_words=200, lines=20, letters=(3, 8)):
+    """Words that hardly repeat, on lines that don't."""
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(*letters))) for _ in range(n_words)]
+    step = n_words // lines
+    return [" ".join(words[i:i + step]) for i in range(0, n_words, step)]
+
+
+def in_groups(spark, rng, extra):
+    """300 documents of prose for each of two sources, and ``extra`` rows (text, source) with ids from 10,000.
+    Texts of ``code`` have symbols, repeated lines and repeated windows; those of ``news`` one repeated line in 20 at most."""
+    rows = []
+    for i in range(300):
+        rows.append((i, "\n".join(prose(rng) + (["a line again"] * 2 if i % 3 == 0 else [])), "en", "news"))
+        code = prose(rng, letters=(2, 5))
+        code += rng.sample(code, rng.randrange(1, 5)) + ["# " * rng.randrange(30)]
+        rows.append((1000 + i, "\n".join(code), "en", "code"))
+    rows += [(10_000 + i, text, "en", source) for i, (text, source) in enumerate(extra)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+def test_limits_follow_each_group(spark):
+    """Groups with other tails have other limits, for every rule; nothing of them is rejected."""
+    docs = in_groups(spark, random.Random(5), [])
+    counts = q.text_counts(docs, ["doc_id", "lang", "source"]).withColumn("base_failed", q.F.lit(False))
+    got = {r.source: r.limits for r in q.group_limits(counts).collect()}
+    for k in q.RATES:
+        assert got["code"][f"{k}_high"] != got["news"][f"{k}_high"]
+    assert got["code"].symbols_high > 20 * got["news"].symbols_high and got["code"].dup_lines_high > got["news"].dup_lines_high
+    assert run(docs).where("not kept").count() == 0
+
+
+def test_each_rule_fails_its_outlier(spark):
+    rng = random.Random(6)
+    again, new = prose(rng, 30, 30), prose(rng, 120, 120)
+    run_on = ["pre", "post", "over"]
+    planted = {
+        "word_length": "\n".join(prose(rng, letters=(12, 16))),
+        "symbols": "\n".join(prose(rng) + ["# " * 40]),
+        "dup_lines": "\n".join(x for pair in zip(again * 4, new) for x in pair),
+        "repeat_words": " ".join(" ".join(prose(rng, 6, 1) + run_on) for _ in range(30)),
+    }
+    docs = in_groups(spark, rng, [(t, "news") for t in planted.values()] + [("\n".join(f"{x} #" for x in prose(rng, letters=n)), s) for s, n in (("code", (2, 5)), ("news", (3, 8)))])
+    failed = {r.row.doc_id: r for r in q.judge(docs, ["doc_id"]).where("row.doc_id >= 10000").collect()}
+    for i, rule in enumerate(planted):
+        assert rule in failed[10_000 + i].failed and not failed[10_000 + i].base_failed and not failed[10_000 + i].kept
+    # what is usual in one source is an outlier in the other
+    assert failed[10_004].kept and failed[10_005].failed == ["symbols"]
+    frame = docs.toPandas()
+    assert sorted_rows(run(docs).collect()) == sorted_rows(oracle_rows(q.OP2_SQL, documents=frame))
+
+
+def test_limits_differ_at_scale(spark):
+    """On the given table languages differ in each rate but symbols, of which ordinary texts have none."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    counts = q.stored(q.text_counts(docs, ["doc_id", "lang", "source"]).selectExpr("*", "n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed"))
+    got = q.group_limits(counts).collect()
+    for k in ("word_length", "repeat_words"):
+        assert len({r.limits[f"{k}_high"] for r in got}) > 3
+    assert len({r.limits.dup_lines_high for r in got}) > 1
