@@ -133,7 +133,10 @@ class Encoder:
         self.pinned_words = regex.compile(pinned, regex.V1)
         self.lower = {c: chr(to + c - a) for a, b, to in LOWER for c in range(a, b + 1)}
         self.marks = re.compile(f"([{_ranges(NO_MARKS)}])")
-        self.differs = re.compile(f"[{_ranges([*NO_LETTERS, *NO_NUMBERS, *NO_MARKS])}{''.join(map(chr, self.lower))}]")
+        pairs = [*NO_LETTERS, *NO_NUMBERS, *NO_MARKS, *[(c, c) for c in sorted(self.lower)]]
+        # most texts have nothing from the first such code point on, which is faster to see
+        self.may_differ = re.compile(f"[{_ranges([(min(a for a, _ in pairs), 0x10FFFF)])}]")
+        self.differs = re.compile(f"[{_ranges(pairs)}]")
         names = sorted(model["special"], key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.reset()
@@ -171,7 +174,8 @@ class Encoder:
         if text.isascii():
             return self.words.findall(text.lower())
         # each character on its own: a final sigma isn't special
-        if not self.differs.search(text):
+        high = self.may_differ.search(text)
+        if not high or not self.differs.search(text, high.start()):
             return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
         # an unknown mark stands for itself, between texts normalised apart
         text = "".join(part if k % 2 else unicodedata.normalize("NFC", part) for k, part in enumerate(self.marks.split(text)))
