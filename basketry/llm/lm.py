@@ -1,75 +1,71 @@
 """Language-model scoring with Elias-Fano n-gram tries.
 
-``score_whole`` (the query) keeps every word and every pair and triple from LEAST
-occurrences on, at any N. Words go by a 64-bit hash (that any two of 10^8 words share
-one has a chance of about 1 in 4,000). Texts are cut into blocks of BLOCK_CHARS; each
-block sends its distinct n-grams with their counts through one shuffle and gets the
-kept ones of the whole corpus back, with the mass that is left behind them. So each
-block has a trie of its own n-grams with whole counts, no n-gram has more rows than
-there are blocks, and neither the driver nor a broadcast holds any of the model.
-Logarithms are rounded to steps of 1 / GRID, so scores don't depend on the blocks.
-
-``score_texts`` is the model of bounded size, which leaves out what is rare; no query
-uses it. Its unigram counts are exact and complete: every word of the corpus, however rare, is
-counted and looked up. Frequent words (at least ``N / MAX_WORDS`` of the N training
-tokens, so at most MAX_WORDS) are sent to the tasks with their counts; all other
-words are looked up by a join. So no word that is sent through a shuffle for its
-own sake is frequent, and what is sent to the tasks has a bound.
-
-Pairs and triples of frequent words are counted over the whole training corpus and
-kept from ``max(2, N / MAX_GRAMS)`` occurrences on; triples are counted only where
-both of their pairs are kept, which loses none that could be kept. With absolute
-discounting D the probabilities interpolate:
+``score_whole`` keeps every word of the training texts and every pair and triple from
+LEAST occurrences on, at any size of the corpus. Words go by a 64-bit hash, pairs and
+triples by a 64-bit hash of their parts' (two of 10^8 share one with a chance of about 1
+in 4,000; what shares one is counted as one). Texts are cut into blocks of BLOCK_CHARS,
+and a block is one stored row: its own dictionary of hashes, and its texts as places in it.
+
+Blocks ask for whole counts, level by level. A block sends its different keys sorted, in
+packed rows by range of hash; the task of a range adds up and answers each block in the
+order it asked in, so answers carry no keys. Triples are asked for only where both of their
+pairs are kept, which loses none that could be kept. One of the blocks that hold a kept
+n-gram, the first, is told to report it to its context, and a last round adds up what kept
+n-grams take from each context. A range is asked for RANGE keys on average: a frequent
+n-gram comes once from each block, whatever its count. No task, broadcast or driver
+holds the model of the corpus; the driver gets N, V and the number of tokens.
+
+With absolute discounting D the probabilities interpolate:
 
     p(w)      = (c(w) + 1) / (N + V + 1)
     p(w | u)  = max(c(u w) - D, 0) / c(u) + a(u) p(w)
     p(w | t u) = max(c(t u w) - D, 0) / c(t u) + a(t u) p(w | u)
 
 where a is the mass that kept n-grams leave. They sum to 1 over the V known
-words and one unknown. The trie's levels hold, for each word its kept successors and for each
-kept pair those of its second word's successors that follow the pair, numbered
-relative to that context. Pointers and ids are Elias-Fano sequences, logarithms of
-probabilities and back-off weights are places in code books of BOOK entries. A
-token is looked up by successor search in its context's range.
+words and one unknown. Each block builds a trie of those of its n-grams that are kept,
+with counts and masses of the whole corpus. The levels hold, for each word its kept
+successors and for each kept pair those of its second word's successors that follow the
+pair, numbered relative to that context. Pointers and ids are Elias-Fano sequences,
+logarithms of probabilities and back-off weights are rounded to steps of 1 / GRID, so
+that scores don't depend on the blocks. A token is looked up by successor search in its
+context's range.
 
 A text begins behind an end token and ends with one; only the latter is scored.
 
 Defined cases: a null text is empty and has the one token; without training rows
 N and V are 0 and every probability is 1; null ids count as the empty text for the
-hold-out; long texts are read whole; equal rows give equal results; an empty table
-gives an empty one. All columns asked for are carried in ``row``.
+hold-out; long texts are read whole, and one over BLOCK_CHARS is a block of its own;
+equal rows give equal results; an empty table gives an empty one. All columns asked for
+are carried in ``row``.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import documents, row_of, stored, text_slices, training_remainder, with_row_id
+from basketry.llm.common import documents, row_of, stored, text_slices, training_remainder
 from basketry.llm.eliasfano import EliasFano, children, find_child, mapped, packed
 
-MAX_WORDS = 2**20
-MAX_GRAMS = 2**21
 DISCOUNT = 0.75
-BOOK = 4096
-#: Different n-grams or words that a task holds before it passes them on.
-HOLD = 1_000_000
 END = b""
 #: Occurrences that a pair or triple needs, at any size of the corpus.
 LEAST = 2
 #: Characters of a block of texts, but for a longer text.
 BLOCK_CHARS = 8_000_000
-#: Steps of a logarithm's unit in the whole model.
+#: Keys of all blocks that a range of hashes is asked for, on average.
+RANGE = 4_000_000
+#: Steps of a logarithm's unit.
 GRID = 2048
+#: Numbers of ranges carry the level above these bits: words, pairs, triples, and words and pairs as contexts.
+LEVEL_BITS = 40
+CONTEXTS = 4
 
 
 def tokens(text: str) -> list[bytes]:
@@ -77,52 +73,6 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word: binary, c) of all texts."""
-    def run(batches):
-        held = Counter()
-
-        def passed_on():
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], names=["word", "c"])
-
-        for _, texts in text_slices(batches, "text"):
-            for t in texts:
-                held.update(tokens(t))
-                if len(held) > HOLD:
-                    yield passed_on()
-                    held.clear()
-        yield passed_on()
-
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-def sequences(texts: list[str], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """All texts as ids, each behind an end token, -1 for words without id; where each begins; and its tokens."""
-    found = [tokens(t) for t in texts]
-    get = ids.get
-    lengths = np.array([len(x) + 1 for x in found], np.int64)
-    flat = np.fromiter((i for x in found for i in (ids[END], *[get(w, -1) for w in x])), np.int64, int(lengths.sum()))
-    return flat, np.cumsum(lengths) - lengths, found
-
-
-def rare_words(s: np.ndarray, starts: np.ndarray, found: list[list[bytes]]) -> tuple[list[bytes], list[int], np.ndarray]:
-    """The words without id of each text, each once, how often they occur, and where each text's words end (from 0)."""
-    place = np.flatnonzero(s < 0)
-    cut = np.searchsorted(place, np.r_[starts, len(s)]).tolist()
-    place, words, times, ends = place.tolist(), [], [], [0]
-    for x, start, a, b in zip(found, starts.tolist(), cut, cut[1:]):
-        own = [x[i - start - 1] for i in place[a:b]]
-        if len(set(own)) < len(own):
-            counts = Counter(own)
-            words += counts.keys()
-            times += counts.values()
-        else:
-            words += own
-            times += [1] * len(own)
-        ends.append(len(words))
-    return words, times, np.array(ends)
-
-
 def pairs_of(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Marks of the places (but those that begin a text) that have an id, as does the place before."""
     on = (s >= 0) & np.r_[False, s[:-1] >= 0]
@@ -130,80 +80,24 @@ def pairs_of(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return on
 
 
-def gram_counts(docs: DataFrame, words: list[bytes], pairs: np.ndarray | None, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of the n-grams that occur at least ``least`` times: pairs
-    (``first * V + second``) or, given the kept pairs, triples (``pair * V + third``)."""
-    n_words = len(words)
-    sent = docs.sparkSession.sparkContext.broadcast((words, pairs))
-
-    def run(batches):
-        words, pairs = sent.value
-        ids = {w: i for i, w in enumerate(words)}
-        codes, counts, size = [], [], 0
-
-        def summed():
-            keys, where = np.unique(np.concatenate(codes), return_inverse=True)
-            return keys, np.bincount(where, np.concatenate(counts)).astype(np.int64)
-
-        for _, texts in text_slices(batches, "text"):
-            s, starts, _ = sequences(texts, ids)
-            on = pairs_of(s, starts)
-            code = np.r_[0, s[:-1]] * n_words + s
-            if pairs is not None:
-                at = np.minimum(np.searchsorted(pairs, code), max(len(pairs) - 1, 0))
-                on = on & (pairs[at] == code) if len(pairs) else on & False
-                code = np.r_[0, at[:-1]] * n_words + s
-                on = on & np.r_[False, on[:-1]]
-            keys, n = np.unique(code[on], return_counts=True)
-            codes.append(keys)
-            counts.append(n)
-            size += len(keys)
-            if size > 4 * HOLD:
-                keys, n = summed()
-                codes, counts, size = [keys], [n], len(keys)
-                if size > 2 * HOLD:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["code", "n"])
-                    codes, counts, size = [], [], 0
-        if codes:
-            keys, n = summed()
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["code", "n"])
-
-    kept = docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    code, n = (np.asarray(kept.column(c).combine_chunks()).astype(np.int64) for c in ("code", "n"))
-    order = np.argsort(code)
-    return code[order], n[order]
-
-
-def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a code book of at most BOOK entries, and the book: the values themselves
-    if they are few, else the means of equally large parts of them."""
-    book = np.unique(values)
-    if len(book) > BOOK:
-        book = np.array([part.mean() for part in np.array_split(np.sort(values), BOOK)])
-        book = np.unique(book)
-    middle = (book[1:] + book[:-1]) / 2
-    return np.searchsorted(middle, values).astype(np.uint16), book.astype(np.float64)
-
-
 def on_grid(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in the code book of all multiples of 1 / GRID that 16 bits hold, and the book."""
     return np.clip(np.rint(-values * GRID), 0, 65535).astype(np.uint16), np.arange(65536) / -GRID
 
 
-def build_trie(counts: np.ndarray, total: int, kinds: int, pairs: tuple, triples: tuple, lefts: tuple | None = None, quantise=quantised) -> dict[str, np.ndarray]:
-    """All arrays of the model. ``counts``: of the frequent words, by id. ``lefts``: the mass
-    left behind each word and each pair, if they have other successors than the given ones."""
+def build_trie(counts: np.ndarray, total: int, kinds: int, pairs: tuple, triples: tuple, lefts: tuple) -> dict[str, np.ndarray]:
+    """All arrays of the model. ``counts``: of the words, by id; ``pairs`` and ``triples``: sorted codes
+    (``first * W + second`` and ``pair * W + third``) and counts; ``lefts``: the mass left behind each word and pair."""
     n_words = len(counts)
     unigram = (counts + 1) / (total + kinds + 1)
     code, n = pairs
     u, w = code // n_words, code % n_words
     own = np.maximum(n - DISCOUNT, 0)
-    left = 1 - np.bincount(u, own, n_words)[:n_words] / np.maximum(counts, 1) if lefts is None else lefts[0]
+    left, left3 = lefts
     second = own / counts[u] + left[u] * unigram[w] if len(u) else np.zeros(0)
     code3, n3 = triples
     pair, x = code3 // n_words, code3 % n_words
     own3 = np.maximum(n3 - DISCOUNT, 0)
-    left3 = 1 - np.bincount(pair, own3, len(code))[:len(code)] / np.maximum(n, 1) if lefts is None else lefts[1]
     # the third word as the second of the pair (second, third), relative to where such pairs begin
     next_pair = np.searchsorted(code, w[pair] * n_words + x) if len(pair) else np.zeros(0, np.int64)
     begin = np.searchsorted(u, np.arange(n_words + 1))
@@ -212,7 +106,7 @@ def build_trie(counts: np.ndarray, total: int, kinds: int, pairs: tuple, triples
     pointers3, ids3 = children(max(len(code), 1), pair, next_pair - begin[w[pair]] if len(pair) else pair)
     out = {"unigram": np.log10(unigram)}
     for name, values in (("left1", left), ("prob2", second), ("left2", left3), ("prob3", third)):
-        out[name], out[f"{name}_book"] = quantise(np.log10(np.maximum(values, 1e-300)))
+        out[name], out[f"{name}_book"] = on_grid(np.log10(np.maximum(values, 1e-300)))
     for name, ef in (("pointers2", pointers2), ("ids2", ids2), ("pointers3", pointers3), ("ids3", ids3)):
         out |= {f"{name}.{f}": getattr(ef, f) for f in EliasFano.FIELDS}
     return out
@@ -264,211 +158,279 @@ class Trie:
         return out
 
 
-def score_texts(docs: DataFrame, train: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` in a struct ``row``; n_tokens, n_known, train_tokens, base_score and
-    score of every row of ``docs`` under the models of the texts of ``train``."""
-    spark = docs.sparkSession
-    train = train.select(F.col(text_col).alias("text"))
-    counts = stored(word_counts(train))
-    total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    least = max(2, -(-total // MAX_WORDS))
-    top = counts.where((F.col("c") >= least) & (F.col("word") != F.lit(END))).toArrow()
-    ends = counts.where(F.col("word") == F.lit(END)).first()
-    words = [END, *top.column("word").to_pylist()]
-    known = np.array([ends.c if ends else 0, *top.column("c").to_pylist()], np.int64)
-    order = np.argsort(-known, kind="stable")  # frequent words get small ids
-    words, known = [words[i] for i in order], known[order]
-    often = max(2, -(-total // MAX_GRAMS))
-    pairs = gram_counts(train, words, None, often)
-    triples = gram_counts(train, words, pairs[0], often)
-    raw, index = packed(build_trie(known, total, kinds, pairs, triples))
-    sent = spark.sparkContext.broadcast((words, known, raw, index))
-
-    frame = with_row_id(docs.select(row_of(docs, keep), F.col(text_col).alias("text")), "number")
-    schema = T.StructType([
-        frame.schema["row"], T.StructField("number", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
-        T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
-        T.StructField("rare", T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())]))),
-    ])
+def packed_ints(x: np.ndarray) -> bytes:
+    """Non-negative integers by planes of their bytes, which compress well where most are small."""
+    x = np.ascontiguousarray(x, "<u8")
+    width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    planes = x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(x).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
 
-    def run(batches):
-        words, known, raw, index = sent.value
-        ids = {w: i for i, w in enumerate(words)}
-        trie = Trie(mapped(raw, index))
-        for batch, texts in text_slices(batches, "text"):
-            s, starts, found = sequences(texts, ids)
-            log = trie.log_probabilities(s, starts)
-            base = np.zeros(len(s))
-            has = s >= 0
-            base[has] = trie.a["unigram"][s[has]]
-            base[starts] = 0
-            had = np.zeros(len(s), np.int64)
-            had[has] = known[s[has]] > 0
-            had[starts] = 0
-            sums = [np.add.reduceat(x, starts) for x in (had, base, log)] if len(starts) else [np.zeros(0)] * 3
-            others, times, bounds = rare_words(s, starts, found)
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(times, pa.int64())], names=["word", "n"]))
-            own = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "number")]
-            yield pa.RecordBatch.from_arrays([
-                *own, pa.array([len(x) for x in found], pa.int64()), pa.array(sums[0], pa.int64()),
-                pa.array(sums[1], pa.float64()), pa.array(sums[2], pa.float64()), lists,
-            ], names=schema.names)
 
-    scored = stored(frame.mapInArrow(run, schema))
-    seldom = scored.select("number", F.explode("rare").alias("r")).select("number", "r.word", "r.n")
-    found = seldom.join(counts, "word", "left").select("number", "n", F.coalesce("c", F.lit(0)).alias("c"))
-    log = F.log10((F.col("c") + 1) / F.lit(float(total + kinds + 1)))
-    more = found.groupBy("number").agg(F.sum(F.col("n") * log).alias("log"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"))
-    zero = F.coalesce("log", F.lit(0.0))
-    return scored.drop("rare").join(more, "number", "left").select(
-        "row", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + zero).alias("base_score"), (F.col("score") + zero).alias("score"),
-    )
+def unpacked_ints(raw: bytes) -> np.ndarray:
+    n, width = int.from_bytes(raw[:8], "little"), raw[8]
+    out = np.zeros((n, 8), np.uint8)
+    if n and width:
+        out[:, :width] = np.frombuffer(pa.decompress(raw[9:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view("<u8")
+
+
+def packed_keys(sorted_keys: np.ndarray) -> bytes:
+    return packed_ints(np.diff(sorted_keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_ints(raw), dtype=np.uint64)
+
 
+def word_keys(words) -> np.ndarray:
+    return np.array([int.from_bytes(blake2b(w, digest_size=8).digest(), "little") for w in words], np.uint64)
 
-class Keys(dict):
-    """Words to their 64-bit hashes."""
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of two rows of hashes."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
+
+
+class Places(dict):
+    """Words to their places in order of appearance."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = key = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
-        return key
+        self[word] = n = len(self)
+        return n
 
 
 def blocked(frame: DataFrame) -> DataFrame:
-    """(row, train, block, seq) of (row, train, text), stored: the hashes of each text's tokens, and blocks of texts."""
-    schema = T.StructType([frame.schema["row"], frame.schema["train"], T.StructField("block", T.LongType()), T.StructField("seq", T.BinaryType())])
+    """(block, rows, train, lengths, words, ids, n) of (row, train, text), stored: a row for each block of texts."""
+    schema = T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(frame.schema["row"].dataType)),
+        *[T.StructField(c, T.BinaryType()) for c in ("train", "lengths", "words", "ids")], T.StructField("n", T.LongType()),
+    ])
 
     def run(batches):
-        block, keys = TaskContext.get().partitionId() << 32, Keys()
+        block = TaskContext.get().partitionId() << 32
         for batch, texts in text_slices(batches, "text", BLOCK_CHARS):
-            seqs = []
+            if not texts:
+                continue
+            places, found, lengths = Places(), [], []
             for t in texts:
-                found = tokens(t)
-                seqs.append(np.fromiter(map(keys.__getitem__, found), np.int64, len(found)).tobytes())
-                if len(keys) > HOLD:
-                    keys.clear()
-            own = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "train")]
-            yield pa.RecordBatch.from_arrays([*own, pa.array([block] * len(texts), pa.int64()), pa.array(seqs, pa.binary())], names=schema.names)
+                own = tokens(t)
+                lengths.append(len(own))
+                found.append(np.fromiter(map(places.__getitem__, own), np.int64, len(own)))
+            words, place = np.unique(word_keys(places), return_inverse=True)
+            ids = place[np.concatenate(found)]
+            rows, train = (batch.column(batch.schema.get_field_index(c)) for c in ("row", "train"))
+            train = np.asarray(train.to_pylist(), np.uint64)
+            packs = [packed_ints(train), packed_ints(np.array(lengths)), packed_keys(words), packed_ints(ids)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), rows),
+                *[pa.array([x], pa.binary()) for x in packs], pa.array([len(ids)]),
+            ], names=schema.names)
             block += 1
 
     return stored(frame.mapInArrow(run, schema))
 
 
-def joined(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' hashes, each text behind an end token, and where each begins."""
-    end = np.array([Keys()[END]], np.int64).tobytes()
-    lengths = np.array([len(x) // 8 + 1 for x in seqs], np.int64)
-    return np.frombuffer(b"".join(y for x in seqs for y in (end, x)), np.int64), np.cumsum(lengths) - lengths
-
-
-def block_grams(block: int, seqs: list[bytes], train: np.ndarray):
-    """Batches (block, level, t, u, w, n) of the different words, pairs and triples of the
-    texts, with how often they occur in those for training."""
-    flat, starts = joined(seqs)
-    weight = np.repeat(train.astype(np.int64), np.diff(np.r_[starts, len(flat)]))
-    inside = np.ones(len(flat), bool)
-    inside[starts] = False
-    words, s = np.unique(flat, return_inverse=True)
-    at = np.flatnonzero(inside)
-    none = np.zeros(0, np.int64)
-
-    def batch(level, code, at, keys):
-        kinds, first, where = np.unique(code, return_index=True, return_inverse=True)
-        n = np.bincount(where, weight[at], len(kinds)).astype(np.int64)
-        columns = [keys(first, back) if back < level else np.zeros(len(kinds), np.int64) for back in (2, 1, 0)]
-        return where, pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(kinds), block)), pa.array(np.full(len(kinds), level, np.int8)), *map(pa.array, columns), pa.array(n)],
-            names=["block", "level", "t", "u", "w", "n"],
-        )
-
-    keys = lambda first, back: words[s[at[first] - back]] if len(first) else none
-    yield batch(1, s[at], at, keys)[1]
-    where, out = batch(2, s[at - 1] * len(words) + s[at], at, keys)
-    yield out
-    pair = np.full(len(flat), -1)
-    pair[at] = where
-    at = at[inside[at - 1]]
-    yield batch(3, pair[at - 1] * len(words) + s[at], at, keys)[1]
-
-
-def kept_grams(texts: DataFrame) -> tuple[DataFrame, int, int]:
-    """(block, level, t, u, w, n, left): for each block its words that training texts have and its
-    pairs and triples that they have LEAST times, with counts over all training texts and the
-    mass left behind words and pairs; and how many tokens and different words those texts have."""
-    def run(batches):
-        for b in batches:
-            blocks, train, seqs = (b.column(c) for c in ("block", "train", "seq"))
-            blocks, train = np.asarray(blocks), np.asarray(train.to_pylist(), bool)
-            cuts = np.r_[0, np.flatnonzero(np.diff(blocks)) + 1, len(blocks)] if len(blocks) else [0]
-            for x, y in zip(cuts, cuts[1:]):
-                yield from block_grams(int(blocks[x]), seqs.slice(x, y - x).to_pylist(), train[x:y])
-
-    grams = texts.select("block", "train", "seq").mapInArrow(run, "block long, level byte, t long, u long, w long, n long")
-    same = W.partitionBy("level", "t", "u", "w").orderBy("block")
-    found = stored(
-        grams.select(
-            "block", "level", "t", "u", "w", F.sum("n").over(same.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("n"),
-            (F.row_number().over(same) == 1).alias("first"),
-        ).where((F.col("n") >= LEAST) | (F.col("n") > 0) & (F.col("level") == 1))
-    )
-    once = found.where("first")
-    total, kinds = once.where("level = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # what follows (t, u) is taken from the mass of the pair, what follows u from that of the word
-    behind = once.where("level > 1").groupBy((F.col("level") - 1).alias("b_level"), F.col("t").alias("b_u"), F.col("u").alias("b_w")).agg(
-        (F.sum("n") - DISCOUNT * F.count(F.lit(1))).alias("taken"))
-    same_context = (F.col("level") == F.col("b_level")) & (F.col("u") == F.col("b_u")) & (F.col("w") == F.col("b_w"))
-    left = (1 - F.coalesce("taken", F.lit(0.0)) / F.col("n")).alias("left")
-    columns = ["block", "level", "t", "u", "w", "n"]
-    contexts = found.where("level < 3").join(behind, same_context, "left").select(*columns, left)
-    return contexts.unionByName(found.where("level = 3").select(*columns, F.lit(1.0).alias("left"))), total, kinds
-
-
-def block_trie(grams: pa.Table, total: int, kinds: int) -> tuple[np.ndarray, np.ndarray, Trie]:
-    """The sorted hashes of a block's words, their counts, and the trie."""
-    level, t, u, w, n, left = (np.asarray(grams.column(c).combine_chunks()) for c in ("level", "t", "u", "w", "n", "left"))
-    one = level == 1
-    words, first = np.unique(w[one], return_index=True)
-    counts, left1 = n[one][first], left[one][first]
-    ids = lambda x: np.searchsorted(words, x)
-    two = level == 2
-    pairs, first = np.unique(ids(u[two]) * len(words) + ids(w[two]), return_index=True)
-    n2, left2 = n[two][first], left[two][first]
-    three = level == 3
-    pair = np.searchsorted(pairs, ids(t[three]) * len(words) + ids(u[three]))
-    triples, first = np.unique(pair * len(words) + ids(w[three]), return_index=True)
-    arrays = build_trie(counts, total, kinds, (pairs, n2), (triples, n[three][first]), (left1, left2), on_grid)
-    return words, counts, Trie(mapped(*packed(arrays)))
+class Block:
+    """A block's texts and n-grams. ``kinds[k]`` are the codes of its different words, pairs
+    (``first * W + second``) and triples (``pair * W + third``), ``where`` which of them are at ``at``."""
+
+    def __init__(self, texts: pa.RecordBatch | pa.Table):
+        train, lengths, ids = (unpacked_ints(texts.column(c)[0].as_py()).astype(np.int64) for c in ("train", "lengths", "ids"))
+        self.number = texts.column("block")[0].as_py()
+        self.words = unpacked_keys(texts.column("words")[0].as_py())
+        self.wide = len(self.words)
+        self.lengths, self.starts = lengths, np.cumsum(lengths + 1) - lengths - 1
+        self.end = int(np.searchsorted(self.words, word_keys([END])[0]))
+        # each text behind an end token
+        self.s = np.insert(ids, np.cumsum(lengths) - lengths, self.end)
+        self.weight = np.repeat(train, lengths + 1)
+        self.inside = np.ones(len(self.s), bool)
+        self.inside[self.starts] = False
+        self.at = np.flatnonzero(self.inside)
+        self.kinds, self.keys, self.counts = {1: np.arange(self.wide)}, {1: self.words}, {1: self._sums(self.s[self.at], self.at, self.wide)}
+        self.kinds[2], self.where2 = np.unique(self.s[self.at - 1] * self.wide + self.s[self.at], return_inverse=True)
+        self.keys[2] = mixed(self.words[self.kinds[2] // self.wide], self.words[self.kinds[2] % self.wide])
+        self.counts[2] = self._sums(self.where2, self.at, len(self.kinds[2]))
+
+    def _sums(self, where: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(where, self.weight[at], n).astype(np.int64)
+
+    def add_triples(self, kept: np.ndarray) -> None:
+        """Triples both of whose pairs are ``kept``."""
+        pair = np.full(len(self.s), -1)
+        pair[self.at] = np.where(kept[self.where2], self.where2, -1)
+        at = self.at[self.inside[self.at - 1]]
+        at = at[(pair[at] >= 0) & (pair[at - 1] >= 0)]
+        self.kinds[3], where = np.unique(pair[at - 1] * self.wide + self.s[at], return_inverse=True)
+        self.keys[3] = mixed(self.keys[2][self.kinds[3] // self.wide], self.words[self.kinds[3] % self.wide])
+        self.counts[3] = self._sums(where, at, len(self.kinds[3]))
+
+    def contexts(self, level: int, n: dict[int, np.ndarray]) -> np.ndarray:
+        """Which words or pairs have a kept one's mass to divide; nothing follows the end of a text."""
+        return np.flatnonzero((n[level] > 0) & ((self.kinds[level] % self.wide != self.end) | (level == 1)))
+
+
+ASKED = "block long, part long, keys binary, first binary, second binary"
+ANSWERED = "block long, part long, first binary, second binary, total long, kinds long"
+
+
+def asked(block: int, level: int, ranges: int, keys: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
+    """The keys and one or two values of each, sorted and cut by ranges of hash."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
+    bounds = list(zip(cuts[:-1], cuts[1:]))
+    pack = lambda f, x: pa.array([f(x[a:b]) for a, b in bounds], pa.binary())
+    columns = [pack(packed_ints, v[order]) for v in values]
+    columns += [pa.array([b""] * len(bounds), pa.binary())] * (2 - len(columns))
+    return pa.RecordBatch.from_arrays([
+        pa.array([block] * len(bounds), pa.int64()), pa.array([(level << LEVEL_BITS) + int(part[a]) for a, _ in bounds], pa.int64()),
+        pack(packed_keys, keys), *columns,
+    ], names=["block", "part", "keys", "first", "second"])
+
+
+def answers(replies: pa.Table, level: int, keys: np.ndarray, column: str = "first") -> np.ndarray:
+    """What was answered for ``keys``, in their order."""
+    part = np.asarray(replies.column("part").combine_chunks())
+    rows = np.flatnonzero(part >> LEVEL_BITS == level)
+    rows = rows[np.argsort(part[rows])]
+    values = [unpacked_ints(replies.column(column)[int(i)].as_py()) for i in rows]
+    out = np.zeros(len(keys), np.int64)
+    if values:
+        out[np.argsort(keys, kind="stable")] = np.concatenate(values)
+    return out
+
+
+def counts_of(replies: pa.Table, block: Block, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each n-gram of the block occurs in all training texts, 0 if it isn't kept, and whether this block reports it."""
+    v = answers(replies, level, block.keys[level])
+    return v >> 1, (v & 1).astype(bool)
+
+
+def summed(requests: pa.Table) -> pa.Table:
+    """A range's answers: for n-grams twice the whole count (0 if not kept), and one more for the
+    first block that has it; for contexts the sums of both values."""
+    # the same rows give the same answers, however often a task is run
+    requests = requests.sort_by("block")
+    part = requests.column("part")[0].as_py()
+    level = part >> LEVEL_BITS
+    held = [unpacked_keys(x.as_py()) for x in requests.column("keys")]
+    ends = np.cumsum([len(x) for x in held])[:-1]
+    found, first, where = np.unique(np.concatenate(held), return_index=True, return_inverse=True)
+    del held
+
+    def total(column):
+        values = np.concatenate([unpacked_ints(x.as_py()) for x in requests.column(column)])
+        return np.bincount(where, values, len(found)).astype(np.int64)
+
+    pack = lambda x: pa.array([packed_ints(v) for v in np.split(x, ends)], pa.binary())
+    n = total("first")
+    zero = [0] * (len(ends) + 1)
+    totals, kinds = list(zero), list(zero)
+    if level > CONTEXTS:
+        columns = [pack(n[where]), pack(total("second")[where])]
+    else:
+        kept = n >= (1 if level == 1 else LEAST)
+        out = np.where(kept, 2 * n, 0)[where]
+        out[first[kept]] += 1
+        totals[0], kinds[0] = int(n.sum()), int(kept.sum())
+        columns = [pack(out), pa.array([b""] * len(zero), pa.binary())]
+    return pa.Table.from_arrays([requests.column("block"), requests.column("part"), *columns, pa.array(totals), pa.array(kinds)],
+                                names=["block", "part", "first", "second", "total", "kinds"])
+
+
+def answered(requests: DataFrame) -> DataFrame:
+    return stored(requests.groupBy("part").applyInArrow(summed, ANSWERED))
+
+
+def taken(replies: pa.Table, level: int, block: Block, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The mass left behind each word or pair of the block; 1 where none was asked for."""
+    sums, kinds = (answers(replies, level + CONTEXTS, block.keys[level][at], c) for c in ("first", "second"))
+    left = np.ones(len(n))
+    left[at] -= (sums - DISCOUNT * kinds) / n[at]
+    return left
+
+
+def block_trie(block: Block, replies: pa.Table, total: int, kinds: int) -> tuple[np.ndarray, Trie]:
+    """The block's places as ids of its known words (-1 for others), and the trie."""
+    n = {}
+    for level in (1, 2):
+        n[level], _ = counts_of(replies, block, level)
+    block.add_triples(n[2] > 0)
+    n[3], _ = counts_of(replies, block, 3)
+    left = {level: taken(replies, level, block, n[level], block.contexts(level, n)) for level in (1, 2)}
+    known, two, three = (n[k] > 0 for k in (1, 2, 3))
+    word, pair = np.cumsum(known) - 1, np.cumsum(two) - 1
+    wide = int(known.sum())
+    code2, code3 = block.kinds[2][two], block.kinds[3][three]
+    # codes keep their order, as ids do
+    pairs = word[code2 // block.wide] * wide + word[code2 % block.wide]
+    triples = pair[code3 // block.wide] * wide + word[code3 % block.wide]
+    arrays = build_trie(n[1][known], total, kinds, (pairs, n[2][two]), (triples, n[3][three]), (left[1][known], left[2][two]))
+    return np.where(known, word, -1)[block.s], Trie(mapped(*packed(arrays)))
 
 
 def score_whole(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns of ``score_texts`` for every row of ``docs``, under the whole model of the rows where ``train`` holds."""
+    """``keep`` in a struct ``row``; n_tokens, n_known, train_tokens, base_score and score of
+    every row of ``docs`` under the model of the rows where ``train`` holds."""
     frame = docs.select(row_of(docs, keep), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
-    texts = blocked(frame)
-    grams, total, kinds = kept_grams(texts)
+    whole = blocked(frame)
+    texts = whole.drop("rows", "n")
+    ranges = max(1, -(-(whole.agg(F.sum("n")).first()[0] or 0) // RANGE))
+
+    def ask_two(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                block = Block(batch.slice(i, 1))
+                for level in (1, 2):
+                    yield asked(block.number, level, ranges, block.keys[level], block.counts[level])
+
+    def ask_triples(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        block = Block(texts)
+        block.add_triples(counts_of(replies, block, 2)[0] > 0)
+        return pa.Table.from_batches([asked(block.number, 3, ranges, block.keys[3], block.counts[3])])
+
+    def ask_contexts(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        block, n, own = Block(texts), {}, {}
+        for level in (1, 2, 3):
+            if level == 3:
+                block.add_triples(n[2] > 0)
+            n[level], own[level] = counts_of(replies, block, level)
+        out = []
+        for level in (1, 2):
+            context, at = block.kinds[level + 1][own[level + 1]] // block.wide, block.contexts(level, n)
+            sums, kinds = (np.bincount(context, x, len(n[level])).astype(np.int64)[at] for x in (n[level + 1][own[level + 1]], None))
+            out.append(asked(block.number, level + CONTEXTS, ranges, block.keys[level][at], sums, kinds))
+        return pa.Table.from_batches(out)
+
+    def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        block = Block(texts)
+        s, trie = block_trie(block, replies, total, kinds)
+        has = s >= 0
+        base = np.where(has, trie.a["unigram"][s] if len(trie.a["unigram"]) else 0.0, unknown)
+        log = trie.log_probabilities(s, block.starts) + np.where(has, 0.0, unknown)
+        had = has.astype(np.int64)
+        for x in (base, log, had):
+            x[block.starts] = 0
+        sums = [np.add.reduceat(x, block.starts) for x in (had, base, log)]
+        rows = texts.column("rows").combine_chunks().flatten()
+        return pa.Table.from_arrays([rows, pa.array(block.lengths), *map(pa.array, sums)], names=schema.names)
+
+    with_replies = lambda blocks, replies: blocks.groupBy("block").cogroup(replies.select("block", "part", "first", "second").groupBy("block"))
+    replies = answered(texts.mapInArrow(ask_two, ASKED))
+    total, kinds = replies.where(F.shiftright("part", LEVEL_BITS) == 1).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    unknown = -np.log10(total + kinds + 1)
+    replies = replies.unionByName(answered(with_replies(texts, replies.where(F.shiftright("part", LEVEL_BITS) == 2)).applyInArrow(ask_triples, ASKED)))
+    replies = replies.unionByName(answered(with_replies(texts, replies).applyInArrow(ask_contexts, ASKED)))
     schema = T.StructType([
         frame.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
-    unknown = -np.log10(total + kinds + 1)
-
-    def run(texts: pa.Table, grams: pa.Table) -> pa.Table:
-        words, counts, trie = block_trie(grams, total, kinds)
-        flat, starts = joined(texts.column("seq").to_pylist())
-        s = np.full(len(flat), -1)
-        if len(words):
-            at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
-            s = np.where(words[at] == flat, at, -1)
-        has = s >= 0
-        base = np.where(has, trie.a["unigram"][s] if len(words) else 0.0, unknown)
-        log = trie.log_probabilities(s, starts) + np.where(has, 0.0, unknown)
-        had = has.astype(np.int64)
-        for x in (base, log, had):
-            x[starts] = 0
-        sums = [np.add.reduceat(x, starts) for x in (had, base, log)]
-        lengths = np.diff(np.r_[starts, len(flat)]) - 1
-        return pa.Table.from_arrays([texts.column("row"), pa.array(lengths), *map(pa.array, sums)], names=schema.names)
-
-    out = texts.select("row", "block", "seq").groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(run, schema)
+    out = with_replies(whole.drop("n"), replies).applyInArrow(score, schema)
     return out.select("row", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -52,23 +52,20 @@ def words(text):
 
 
 class Brute:
-    def __init__(self, texts, max_words=lm.MAX_WORDS, max_grams=lm.MAX_GRAMS):
+    def __init__(self, texts):
         rows = [[None, *words(t)] for t in texts]
         self.c = Counter(w for r in rows for w in r[1:])
         self.total, self.kinds = sum(self.c.values()), len(self.c)
-        least, often = max(2, -(-self.total // max_words)), max(2, -(-self.total // max_grams))
-        self.vocab = {w for w, n in self.c.items() if n >= least} | {None}
-        inside = lambda g: all(w in self.vocab for w in g)
-        pairs = Counter(g for r in rows for g in zip(r, r[1:]) if inside(g))
-        self.pairs = {g: n for g, n in pairs.items() if n >= often}
-        triples = Counter(g for r in rows for g in zip(r, r[1:], r[2:]) if inside(g))
-        self.triples = {g: n for g, n in triples.items() if n >= often}
+        pairs = Counter(g for r in rows for g in zip(r, r[1:]))
+        self.pairs = {g: n for g, n in pairs.items() if n >= lm.LEAST}
+        triples = Counter(g for r in rows for g in zip(r, r[1:], r[2:]))
+        self.triples = {g: n for g, n in triples.items() if n >= lm.LEAST}
 
     def p1(self, w):
         return (self.c[w] + 1) / (self.total + self.kinds + 1)
 
     def p2(self, u, w):
-        if u not in self.vocab or not self.c[u]:
+        if not self.c[u]:
             return self.p1(w)
         kept = {g: n - lm.DISCOUNT for g, n in self.pairs.items() if g[0] == u}
         return kept.get((u, w), 0) / self.c[u] + (1 - sum(kept.values()) / self.c[u]) * self.p1(w)
@@ -89,42 +86,18 @@ def corpus(rng, n, kinds):
     return [" ".join("w%d" % int(rng.paretovariate(0.7)) for _ in range(rng.randrange(30))).replace("w1 ", rng.choice(["W1 ", "w1\t"])) + rng.choice(["", f" r{i}"]) for i in range(n)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"MAX_WORDS": 60, "MAX_GRAMS": 90, "HOLD": 20}])
-def test_equals_dictionaries(spark, monkeypatch, limits):
-    for k, v in limits.items():
-        monkeypatch.setattr(lm, k, v)
-    rng = random.Random(3)
-    train, probe = corpus(rng, 120, 40), corpus(rng, 30, 40) + ["", None, "unknown words only", "w2 unknown w2 w3 w2 w3"]
-    brute = Brute(train, limits.get("MAX_WORDS", lm.MAX_WORDS), limits.get("MAX_GRAMS", lm.MAX_GRAMS))
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(probe)], "doc_id int, text string, score string")
-    rows = lm.score_texts(docs, spark.createDataFrame([(t,) for t in train], "text string").repartition(3), ["doc_id", "score"]).collect()
-    assert len(rows) == len(probe) and brute.triples
-    for r in rows:
-        w = words(probe[r.row.doc_id])
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(brute.c[x] > 0 for x in w), brute.total)
-        assert r.base_score == pytest.approx(sum(math.log10(brute.p1(x)) for x in w), rel=1e-9)
-        assert r.score == pytest.approx(brute.score(probe[r.row.doc_id]), rel=1e-6) and r.row.score == "x"
-
-
 def test_probabilities_sum_to_one():
     brute = Brute(corpus(random.Random(5), 60, 30))
     for t, u in [*list(brute.pairs)[:10], (None, "w1"), ("zz", "w1"), ("w1", "zz")]:
         assert sum(brute.p3(t, u, w) for w in [*brute.c, "unknown"]) == pytest.approx(1)
 
 
-def test_code_book_error():
-    values = np.log10(np.random.default_rng(1).random(50_000))
-    at, book = lm.quantised(values)
-    assert len(book) <= lm.BOOK and np.abs(book[at] - values).mean() < 1e-3
-
-
-def test_odd_and_empty(spark):
-    docs = odd_documents(spark)
-    out = lm.score_texts(docs, docs, ["doc_id"])
-    assert out.count() == docs.count() and all(r.score <= 0 and r.n_tokens >= 1 for r in out.collect())
-    none = lm.score_texts(docs, docs.limit(0), ["doc_id"]).collect()
-    assert {(r.train_tokens, r.base_score, r.score, r.n_known) for r in none} == {(0, 0.0, 0.0, 0)}
-    assert lm.score_texts(docs.limit(0), docs, ["doc_id"]).collect() == []
+@pytest.mark.parametrize("top", [0, 1, 255, 256, 2**40, 2**64 - 1])
+def test_packed_integers(top):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, top, 3000, np.uint64, endpoint=True)
+    assert (lm.unpacked_ints(lm.packed_ints(x)) == x).all() and len(lm.unpacked_ints(lm.packed_ints(x[:0]))) == 0
+    assert (lm.unpacked_keys(lm.packed_keys(np.sort(x))) == np.sort(x)).all()
 
 
 def test_query(spark):
@@ -148,14 +121,14 @@ def whole(spark, train, probe):
     return {r.row.doc_id: r for r in lm.score_whole(docs, lm.F.col("score"), ["doc_id", "score"]).collect()}
 
 
-@pytest.mark.parametrize("chars", [lm.BLOCK_CHARS, 300])
-def test_whole_model_equals_dictionaries(spark, monkeypatch, chars):
-    """Every n-gram from two occurrences on is in the model, whatever the limits of the bounded one and the blocks."""
-    for k, v in {"MAX_WORDS": 60, "MAX_GRAMS": 90, "HOLD": 20, "BLOCK_CHARS": chars}.items():
-        monkeypatch.setattr(lm, k, v)
+@pytest.mark.parametrize("chars,keys", [(lm.BLOCK_CHARS, lm.RANGE), (300, lm.RANGE), (300, 100)])
+def test_whole_model_equals_dictionaries(spark, monkeypatch, chars, keys):
+    """Every n-gram from two occurrences on is in the model, whatever the blocks and ranges."""
+    monkeypatch.setattr(lm, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(lm, "RANGE", keys)
     rng = random.Random(3)
     train, probe = corpus(rng, 120, 40), corpus(rng, 30, 40) + ["", None, "unknown words only", "w2 unknown w2 w3 w2 w3"]
-    brute, rows = Brute(train, 2**40, 2**40), whole(spark, train, probe)
+    brute, rows = Brute(train), whole(spark, train, probe)
     assert len(rows) == len(train) + len(probe) and min(brute.triples.values()) == 2
     for i, text in enumerate([*train, *probe]):
         r, w = rows[i], words(text)
@@ -164,14 +137,12 @@ def test_whole_model_equals_dictionaries(spark, monkeypatch, chars):
         assert r.score == pytest.approx(brute.score(text), abs=len(w) * 1.01 / lm.GRID)
 
 
-def test_rare_pair_is_in_the_query_at_any_size(spark, monkeypatch, tmp_path):
-    """A pair of two occurrences raises its second word's probability, also beside a corpus over the old limits."""
-    for k, v in {"MAX_WORDS": 60, "MAX_GRAMS": 90}.items():
-        monkeypatch.setattr(lm, k, v)
+def test_rare_pair_is_in_the_query_beside_frequent_ones(spark, tmp_path):
+    """A pair of two occurrences raises its second word's probability."""
     texts = ["common words all over " * 50] * 20 + ["seldom seen"] * 20
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(40)}
-    brute = Brute([t for i, t in enumerate(texts) if not held[i]], 2**40, 2**40)
+    brute = Brute([t for i, t in enumerate(texts) if not held[i]])
     for r in lm.op5_lm_score(spark, str(tmp_path)).collect():
         assert r.score == pytest.approx(brute.score(texts[r.doc_id]), abs=r.n_tokens * 1.01 / lm.GRID)
 
@@ -183,3 +154,18 @@ def test_whole_model_odd_and_empty(spark):
     none = lm.score_whole(docs, lm.F.lit(False), ["doc_id"]).collect()
     assert {(r.train_tokens, r.base_score, r.score, r.n_known) for r in none} == {(0, 0.0, 0.0, 0)}
     assert lm.score_whole(docs.limit(0), lm.F.lit(True), ["doc_id"]).collect() == []
+
+
+def test_frequent_ngram_comes_once_from_each_block(spark, monkeypatch):
+    """A range's rows for a third of all tokens being one word are as many as the blocks."""
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 500)
+    texts = ["hot " * 40 + f"a{i} b{i} c{i}" for i in range(60)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    blocks = lm.blocked(frame.select(lm.F.struct("text").alias("row"), lm.F.lit(True).alias("train"), "text"))
+    held = []
+    for r in blocks.collect():
+        b = lm.Block(lm.pa.Table.from_pylist([{c: r[c] for c in ("block", "train", "lengths", "words", "ids")}]))
+        hot = np.flatnonzero(b.words == lm.word_keys([b"hot"])[0])
+        held.append((len(hot), int(b.counts[1][hot[0]]), int(b.counts[2][b.kinds[2] == hot[0] * b.wide + hot[0]][0])))
+    assert len(held) > 5 and {h[0] for h in held} == {1}
+    assert sum(h[1] for h in held) == 60 * 40 and sum(h[2] for h in held) == 60 * 39
