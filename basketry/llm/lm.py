@@ -5,6 +5,7 @@ LEAST occurrences on, at any size of the corpus. Words go by a 64-bit hash, pair
 triples by a 64-bit hash of their parts' (two of 10^8 share one with a chance of about 1
 in 4,000; what shares one is counted as one). Texts are cut into blocks of BLOCK_CHARS,
 and a block is one stored row: its own dictionary of hashes, and its texts as places in it.
+Rows are stored in buckets by block, so the rounds below shuffle what is asked and answered only.
 
 Blocks ask for whole counts, level by level. A block sends its different keys sorted, in
 packed rows by range of hash; the task of a range adds up and answers each block in the
@@ -42,6 +43,7 @@ are carried in ``row``.
 from __future__ import annotations
 
 from hashlib import blake2b
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,7 @@ from pyspark.sql import types as T
 
 from basketry.llm.common import documents, row_of, stored, text_slices, training_remainder
 from basketry.llm.eliasfano import EliasFano, children, find_child, mapped, packed
+from basketry.plans.lineage import scratch_folder
 
 DISCOUNT = 0.75
 END = b""
@@ -61,6 +64,8 @@ LEAST = 2
 BLOCK_CHARS = 8_000_000
 #: Keys of all blocks that a range of hashes is asked for, on average.
 RANGE = 4_000_000
+#: Buckets that a Spark table may have by default.
+MAX_BUCKETS = 100_000
 #: Steps of a logarithm's unit.
 GRID = 2048
 #: Numbers of ranges carry the level above these bits: words, pairs, triples, and words and pairs as contexts.
@@ -230,7 +235,14 @@ def blocked(frame: DataFrame) -> DataFrame:
             ], names=schema.names)
             block += 1
 
-    return stored(frame.mapInArrow(run, schema))
+    # rows stay in buckets of the blocks' numbers, so that only answers are shuffled to them; the files are all that is needed
+    spark, name = frame.sparkSession, f"basketry_blocks_{uuid4().hex}"
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    files = frame.mapInArrow(run, schema).write.format("parquet").option("compression", "zstd").option("path", scratch_folder(spark))
+    files.bucketBy(buckets, "block").saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"drop table {name}")
+    return out
 
 
 class Block:
