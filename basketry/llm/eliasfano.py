@@ -13,49 +13,44 @@ import tempfile
 
 import numpy as np
 
-BLOCK = 512
-_WORDS = BLOCK // 64
+#: Bits that the directory counts together: those of one word.
+BLOCK = 64
 _PLACES = np.array([[k for k in range(8) if b >> k & 1] + [8] * (8 - bin(b).count("1")) for b in range(256)], np.int64)
+_BYTES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_HALVES = [np.uint64(int(x * 8, 16)) for x in ("55", "33", "0f")]
 
 
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
-    """Place of the k-th (from 0) set bit, or with ``flip`` of the k-th clear one; ``before`` counts them at each block."""
-    block = np.searchsorted(before, k, side="right") - 1
-    left = k - before[block]
-    at = block * _WORDS
-    word = words[at]
-    if flip:
-        word = ~word
-    count = np.bitwise_count(word).astype(np.int64)
-    for _ in range(_WORDS - 1):
-        on = left >= count
-        if not on.any():
-            break
-        left = np.where(on, left - count, left)
-        at = np.where(on, at + 1, at)
-        word = words[np.minimum(at, len(words) - 1)]
-        if flip:
-            word = ~word
-        count = np.bitwise_count(word).astype(np.int64)
-    place = at * 64
-    for _ in range(7):
-        low = np.bitwise_count(word & np.uint64(255)).astype(np.int64)
-        on = left >= low
-        if not on.any():
-            break
-        left = np.where(on, left - low, left)
-        place = np.where(on, place + 8, place)
-        word = np.where(on, word >> np.uint64(8), word)
-    return place + _PLACES[(word & np.uint64(255)).astype(np.int64), left]
+    """Place of the k-th (from 0) set bit, or with ``flip`` of the k-th clear one; ``before`` counts them at each word."""
+    at = np.searchsorted(before, k, side="right") - 1
+    left = (k - before[at]).astype(np.uint64)
+    word = ~words[at] if flip else words[at]
+    # set bits of each byte, then of all bytes up to each
+    upto = word - ((word >> np.uint64(1)) & _HALVES[0])
+    upto = (upto & _HALVES[1]) + ((upto >> np.uint64(2)) & _HALVES[1])
+    upto = ((upto + (upto >> np.uint64(4))) & _HALVES[2]) * _BYTES
+    # bytes that end before the bit
+    shift = np.bitwise_count(((left * _BYTES) | _TOPS) - upto & _TOPS).astype(np.uint64) << np.uint64(3)
+    left -= ((upto << np.uint64(8)) >> shift) & np.uint64(255)
+    byte = (word >> shift) & np.uint64(255)
+    return at * 64 + shift.astype(np.int64) + _PLACES.ravel()[(byte << np.uint64(3) | left).astype(np.int64)]
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value of each run of equal neighbours, and the run of each place."""
+    new = np.r_[True, x[1:] != x[:-1]] if len(x) else np.zeros(0, bool)
+    return x[new], np.cumsum(new) - 1
 
 
 class EliasFano:
     """A monotone sequence; made with ``build`` or from its arrays."""
 
-    FIELDS = ("shape", "high", "ones", "zeros", "low")
+    FIELDS = ("shape", "high", "ones", "low")
 
-    def __init__(self, shape, high, ones, zeros, low):
-        self.shape, self.high, self.ones, self.zeros, self.low = shape, high, ones, zeros, low
+    def __init__(self, shape, high, ones, low):
+        self.shape, self.high, self.ones, self.low = shape, high, ones, low
+        self.before = ones.astype(np.int64)
+        self.zeros = np.arange(len(ones)) * BLOCK - self.before
         self.n, self.bits, self.buckets = (int(x) for x in shape)
 
     @classmethod
@@ -69,8 +64,7 @@ class EliasFano:
         flags[(values >> bits) + np.arange(n)] = 1
         high = np.packbits(flags, bitorder="little").view(np.uint64)
         count = flags.reshape(-1, BLOCK).sum(1, dtype=np.int64)
-        ones = np.r_[0, np.cumsum(count)]
-        zeros = np.arange(len(ones)) * BLOCK - ones
+        ones = np.r_[0, np.cumsum(count)].astype(np.uint32 if size < 2**32 else np.int64)
         low = np.zeros(-(-n * bits // 64) + 1, np.uint64)
         if bits:
             part = (values & ((1 << bits) - 1)).astype(np.uint64)
@@ -79,7 +73,7 @@ class EliasFano:
             np.bitwise_or.at(low, start // 64, part << shift)
             over = np.flatnonzero(start % 64 + bits > 64)
             np.bitwise_or.at(low, start[over] // 64 + 1, part[over] >> (np.uint64(64) - shift[over]))
-        return cls(np.array([n, bits, buckets], np.int64), high, ones, zeros, low)
+        return cls(np.array([n, bits, buckets], np.int64), high, ones, low)
 
     def low_part(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -93,28 +87,34 @@ class EliasFano:
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at ``i``."""
-        return ((_select(self.high, self.ones, i, False) - i) << self.bits) | self.low_part(i)
+        return ((_select(self.high, self.before, i, False) - i) << self.bits) | self.low_part(i)
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first value of at least ``x``; n if there is none."""
-        h = x >> self.bits
+        return self.located(x)[0]
+
+    def located(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``successor``, and whether the value there is ``x``."""
+        h, where = _runs(x >> self.bits)
         inside = h < self.buckets
         h = np.where(inside, h, 0)
         # values with high part h stand between the zeros h - 1 and h
         first = np.where(h > 0, _select(self.high, self.zeros, np.maximum(h - 1, 0), True) + 1 - h, 0)
         end = _select(self.high, self.zeros, h, True) - h
-        wanted = x & ((1 << self.bits) - 1)
-        found = first.copy()
-        while True:  # binary search among the low parts
-            open_ = found < end
-            if not open_.any():
-                break
-            mid = (found + end) >> 1
-            less = np.zeros(len(x), bool)
-            less[open_] = self.low_part(mid[open_]) < wanted[open_]
-            found = np.where(open_ & less, mid + 1, found)
-            end = np.where(open_ & ~less, mid, end)
-        return np.where(inside, found, self.n)
+        inside, found, end = inside[where], first[where], end[where]
+        last, wanted = end, x & ((1 << self.bits) - 1)
+        open_ = np.flatnonzero(found < end)
+        while len(open_):  # binary search among the low parts
+            mid = (found[open_] + end[open_]) >> 1
+            less = self.low_part(mid) < wanted[open_]
+            found[open_[less]] = mid[less] + 1
+            if last is end:
+                end = end.copy()
+            end[open_[~less]] = mid[~less]
+            open_ = open_[found[open_] < end[open_]]
+        equal = inside & (found < last)
+        equal[equal] = self.low_part(found[equal]) == wanted[equal]
+        return np.where(inside, found, self.n), equal
 
 
 def children(parents: int, parent: np.ndarray, child: np.ndarray) -> tuple[EliasFano, EliasFano]:
@@ -130,15 +130,14 @@ def children(parents: int, parent: np.ndarray, child: np.ndarray) -> tuple[Elias
 
 def find_child(pointers: EliasFano, values: EliasFano, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each (parent, child) its node or -1, and where the parent's children begin."""
-    begin, end = pointers.access(parent), pointers.access(parent + 1)
-    base = np.zeros(len(parent), np.int64)
+    own, where = _runs(parent)
+    begin, end = pointers.access(own), pointers.access(own + 1)
+    base = np.zeros(len(own), np.int64)
     some = begin > 0
     base[some] = values.access(begin[some] - 1)
-    wanted = base + child + 1
-    at = values.successor(wanted)
-    hit = (at >= begin) & (at < end)
-    hit[hit] = values.access(at[hit]) == wanted[hit]
-    return np.where(hit, at, -1), begin
+    begin, end = begin[where], end[where]
+    at, equal = values.located(base[where] + child + 1)
+    return np.where(equal & (at >= begin) & (at < end), at, -1), begin
 
 
 def packed(arrays: dict[str, np.ndarray]) -> tuple[bytes, list[tuple]]:

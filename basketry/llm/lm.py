@@ -78,13 +78,6 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def pairs_of(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Marks of the places (but those that begin a text) that have an id, as does the place before."""
-    on = (s >= 0) & np.r_[False, s[:-1] >= 0]
-    on[starts] = False
-    return on
-
-
 def on_grid(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in the code book of all multiples of 1 / GRID that 16 bits hold, and the book."""
     return np.clip(np.rint(-values * GRID), 0, 65535).astype(np.uint16), np.arange(65536) / -GRID
@@ -125,20 +118,22 @@ class Trie:
     def value(self, name: str, at: np.ndarray) -> np.ndarray:
         return self.a[f"{name}_book"][self.a[name][at]]
 
-    def log_probabilities(self, s: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, s: np.ndarray, starts: np.ndarray, u: np.ndarray, w: np.ndarray, which: np.ndarray) -> np.ndarray:
         """log10 of each token's probability (of words without id, only the back-off weights before their
-        unigram probability); 0 at the places where texts begin."""
+        unigram probability); 0 at the places where texts begin. ``u`` and ``w`` are the different pairs of
+        neighbours, ``which`` of them ends at each place that doesn't begin a text."""
         out = np.zeros(len(s))
         known = s >= 0
         out[known] = self.a["unigram"][s[known]]
-        on = pairs_of(s, starts)
         pair, relative = np.full(len(s), -1), np.zeros(len(s), np.int64)
-        at = np.flatnonzero(on)
+        at = np.ones(len(s), bool)
+        at[starts] = False
         # each pair of words is looked up once
-        code, where = np.unique(s[at - 1] * len(self.a["unigram"]) + s[at], return_inverse=True)
-        if len(code):
-            found, begin = find_child(self.ef["pointers2"], self.ef["ids2"], code // len(self.a["unigram"]), code % len(self.a["unigram"]))
-            pair[at], relative[at] = found[where], (found - begin)[where]
+        both = (u >= 0) & (w >= 0)
+        if both.any():
+            found, begin = np.full(len(u), -1), np.zeros(len(u), np.int64)
+            found[both], begin[both] = find_child(self.ef["pointers2"], self.ef["ids2"], u[both], w[both])
+            pair[at], relative[at] = found[which], (found - begin)[which]
         # back off from the word before, or take the pair
         before = np.r_[-1, s[:-1]]
         before[starts] = -1
@@ -291,7 +286,7 @@ ANSWERED = "block long, part long, first binary, second binary, total long, kind
 
 def asked(block: int, level: int, ranges: int, keys: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
     """The keys and one or two values of each, sorted and cut by ranges of hash."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     part = ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
     cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
@@ -313,7 +308,8 @@ def answers(replies: pa.Table, level: int, keys: np.ndarray, column: str = "firs
     values = [unpacked_ints(replies.column(column)[int(i)].as_py()) for i in rows]
     out = np.zeros(len(keys), np.int64)
     if values:
-        out[np.argsort(keys, kind="stable")] = np.concatenate(values)
+        # equal keys have equal counts, so their order doesn't matter
+        out[np.argsort(keys)] = np.concatenate(values)
     return out
 
 
@@ -368,7 +364,7 @@ def taken(replies: pa.Table, level: int, block: Block, n: np.ndarray, at: np.nda
 
 
 def block_trie(block: Block, replies: pa.Table, total: int, kinds: int) -> tuple[np.ndarray, Trie]:
-    """The block's places as ids of its known words (-1 for others), and the trie."""
+    """Ids of the block's words among the known ones (-1 for others), and the trie."""
     n = {}
     for level in (1, 2):
         n[level], _ = counts_of(replies, block, level)
@@ -383,7 +379,7 @@ def block_trie(block: Block, replies: pa.Table, total: int, kinds: int) -> tuple
     pairs = word[code2 // block.wide] * wide + word[code2 % block.wide]
     triples = pair[code3 // block.wide] * wide + word[code3 % block.wide]
     arrays = build_trie(n[1][known], total, kinds, (pairs, n[2][two]), (triples, n[3][three]), (left[1][known], left[2][two]))
-    return np.where(known, word, -1)[block.s], Trie(mapped(*packed(arrays)))
+    return np.where(known, word, -1), Trie(mapped(*packed(arrays)))
 
 
 def score_whole(docs: DataFrame, train: Column, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -421,10 +417,11 @@ def score_whole(docs: DataFrame, train: Column, keep: list[str], text_col: str =
 
     def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(texts)
-        s, trie = block_trie(block, replies, total, kinds)
+        ids, trie = block_trie(block, replies, total, kinds)
+        s = ids[block.s]
         has = s >= 0
         base = np.where(has, trie.a["unigram"][s] if len(trie.a["unigram"]) else 0.0, unknown)
-        log = trie.log_probabilities(s, block.starts) + np.where(has, 0.0, unknown)
+        log = trie.log_probabilities(s, block.starts, ids[block.kinds[2] // block.wide], ids[block.kinds[2] % block.wide], block.where2) + np.where(has, 0.0, unknown)
         had = has.astype(np.int64)
         for x in (base, log, had):
             x[block.starts] = 0
