@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,19 +84,30 @@ def read_purchases_csv(spark: SparkSession, path: str, date_format: str | None =
     return df
 
 
-def parse_basket_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def _observed(lines: DataFrame, observation: Observation | None, skipped: dict[str, Column]) -> DataFrame:
+    """``lines`` with their number and those skipped for each reason counted on the way into ``observation``."""
+    if observation is None:
+        return lines
+    counts = [F.count_if(F.coalesce(why, F.lit(False))).alias(name) for name, why in skipped.items()]
+    return lines.observe(observation, F.count(F.lit(1)).alias("lines"), *counts)
+
+
+def parse_basket_lines(lines: DataFrame, value: str = "value", observation: Observation | None = None) -> DataFrame:
     """``id,item,item,...`` -> ``(basket_id string, items array<string>)``.
 
     Items are trimmed, empty items dropped and repeats removed (first
     occurrence kept). Lines without an item are skipped, and so are lines with
     an empty id: the id names the basket wherever lines are joined or merged, so
-    a basket without one cannot be told apart.
+    a basket without one cannot be told apart. An ``observation`` gets ``lines``,
+    ``no_id`` and ``no_items`` in the pass that reads them.
     """
     parts = F.split(F.col(value), ",")
     items = F.filter(
         F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), java_trim),
         lambda x: x != "",
     )
+    no_id = F.coalesce(java_trim(F.get(parts, 0)), F.lit("")) == ""
+    lines = _observed(lines, observation, {"no_id": no_id, "no_items": ~no_id & (F.size(items) <= 0)})
     return (
         lines.select(java_trim(F.get(parts, 0)).alias("basket_id"), F.array_distinct(items).alias("items"))
         .where((F.col("basket_id") != "") & (F.size("items") > 0))
@@ -112,17 +123,20 @@ def basket_lines_to_items(baskets: DataFrame) -> DataFrame:
 _EDGE_SPACES = " \t\n\x0b\f\r"
 
 
-def parse_edge_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_edge_lines(lines: DataFrame, value: str = "value", observation: Observation | None = None) -> DataFrame:
     """``src dst`` -> ``(src string, dst string)``.
 
     Lines are trimmed and must hold exactly two whitespace-separated fields;
     empty lines and lines with one or three fields are skipped. White space is
     made single spaces' worth by ``translate`` and each line is split once,
     without a regex: the fields come out of a generator, so neither the filter
-    nor the projection repeats the split.
+    nor the projection repeats the split. An ``observation`` gets ``lines``, ``empty``,
+    ``one_field`` and ``many_fields`` in the pass that reads them; counting splits lines once more.
     """
     spaced = F.translate(java_trim(F.col(value)), _EDGE_SPACES[1:], " " * (len(_EDGE_SPACES) - 1))
     fields = F.array_remove(F.split(spaced, " "), "")
+    size = F.greatest(F.coalesce(F.size(fields), F.lit(0)), F.lit(0))
+    lines = _observed(lines, observation, {"empty": size == 0, "one_field": size == 1, "many_fields": size > 2})
     return (
         lines.select(F.explode(F.array(fields)).alias("_fields"))
         .where(F.size("_fields") == 2)
@@ -130,13 +144,15 @@ def parse_edge_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def parse_pair_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_pair_lines(lines: DataFrame, value: str = "value", observation: Observation | None = None) -> DataFrame:
     """``a|b<TAB>n`` -> ``(item_a string, item_b string, support bigint)``.
 
     Only well-formed lines are returned: one tab, one pipe, an integer
-    support. ``rejected_pair_lines`` returns the others.
+    support. ``rejected_pair_lines`` returns the others, and an ``observation``
+    gets ``lines`` and ``malformed`` in the pass that reads them.
     """
-    return _classify_pair_lines(lines, value).where("well_formed").drop("line", "well_formed")
+    classified = _observed(_classify_pair_lines(lines, value), observation, {"malformed": ~F.col("well_formed")})
+    return classified.where("well_formed").drop("line", "well_formed")
 
 
 def rejected_pair_lines(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -148,3 +148,20 @@ def test_pair_file_keeps_odd_names(spark, tmp_path):
     lines = spark.createDataFrame([("a\\x|b\\\t2",)], "value string")
     from basketry.sources.formats import parse_pair_lines
     assert [tuple(r) for r in parse_pair_lines(lines).collect()] == [("a\\x", "b\\", 2)]
+
+
+def test_skipped_lines_are_counted_in_the_same_pass(spark):
+    from pyspark.sql import Observation
+
+    from basketry.sources import formats as fm
+
+    def counted(parse, lines):
+        seen = Observation()
+        rows = parse(spark.createDataFrame([(x,) for x in lines], "value string").repartition(3), observation=seen).collect()
+        return len(rows), seen.get
+
+    assert counted(fm.parse_edge_lines, ["a b", " a\tc ", "", " ", None, "a", "a b c", "a b c d"]) == (
+        2, {"lines": 8, "empty": 3, "one_field": 1, "many_fields": 2})
+    assert counted(fm.parse_basket_lines, ["1,a,b", "2, ,", "3", ",a", "", None]) == (1, {"lines": 6, "no_id": 3, "no_items": 2})
+    assert counted(fm.parse_pair_lines, ["a|b\t3", "a|b\tx", "a|b", "|b\t3", None]) == (1, {"lines": 5, "malformed": 4})
+    assert counted(fm.parse_edge_lines, []) == (0, {"lines": 0, "empty": 0, "one_field": 0, "many_fields": 0})
