@@ -9,7 +9,8 @@ remain. Two exact ways count them, both native Spark:
   codes in place of names. A basket of n items costs n(n-1)/2 rows.
 * ``vertical_pair_support``: baskets are numbered in blocks of ``64 * words``,
   and each item has a bitmap of the baskets of a block that hold it
-  (``bit_or``). Within a block the bitmaps of two items are ANDed and their
+  (``bit_or``). Baskets stored as arrays of items are numbered where they lie,
+  so only bitmaps are shuffled. Within a block the bitmaps of two items are ANDed and their
   bits counted (``bit_count``), so a pair costs a row a block and not a row
   a basket. It suits few items in many long baskets: a block with m of the
   items costs m(m-1)/2 rows, whatever its baskets hold.
@@ -71,6 +72,17 @@ def pair_code(a: str, b: str) -> Column:
     return F.shiftleft(F.col(a).cast("bigint"), CODE_BITS).bitwiseOR(F.col(b).cast("bigint"))
 
 
+def numbered(stored: DataFrame, place: str, name: str) -> DataFrame:
+    """Stored rows with a number 0, 1, ... in the order of ``place``, the
+    ``monotonically_increasing_id`` that they were stored with."""
+    part = F.shiftright(place, 33).alias("_part")
+    # a row for each partition that was stored
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = stored.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).select("_part", before.alias("_before"))
+    number = F.col("_before") + F.col(place).bitwiseAND(F.lit(2**33 - 1))
+    return stored.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(name, number).drop("_part", "_before")
+
+
 def item_codes(baskets: BasketSet, items: DataFrame) -> ItemCodes:
     """Codes of ``items`` (item, support), stored as part of ``baskets``."""
     place = F.monotonically_increasing_id()
@@ -78,12 +90,8 @@ def item_codes(baskets: BasketSet, items: DataFrame) -> ItemCodes:
     n, size = measured_size(ranked)
     if n >= 2**CODE_BITS:
         raise ValueError(f"{n} items are more than {CODE_BITS} bits of codes")
-    # a row for each partition of the sort
-    part = F.shiftright("_place", 33).alias("_part")
-    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = ranked.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).select("_part", before.alias("_before"))
-    code = (F.col("_before") + F.col("_place").bitwiseAND(F.lit(2**33 - 1))).cast("int")
-    coded = ranked.withColumn("_part", part).join(F.broadcast(offsets), "_part").select("item", "support", code.alias("code"))
+    code = F.col("_number").cast("int").alias("code")
+    coded = numbered(ranked, "_place", "_number").select("item", "support", code)
     table = baskets.store(coded)
     return ItemCodes(table, n, broadcast_checked(table)[1])
 
@@ -108,17 +116,37 @@ def item_bitmaps(baskets: BasketSet, codes: ItemCodes, words: int = WORDS) -> Da
     Every basket with a coded item has one place in one block."""
     if not 1 <= words <= MAX_WORDS:
         raise ValueError(f"words must be between 1 and {MAX_WORDS}, not {words}")
-    keys, bits = list(baskets.keys), 64 * words
-    present = baskets.store(codes.coded(baskets.items, keys))
+    bits = 64 * words
+    if baskets.lists is None:
+        rows = _placed(baskets, codes, baskets.items, bits)
+    else:
+        lists = baskets.lists.where(F.col("place").isNotNull())
+        number = F.col("_number")
+        rows = numbered(lists, "place", "_number").select(number, F.explode("item").alias("item"))
+        rows = codes.coded(rows, ["_number"]).select(F.floor(number / bits).alias("block"), F.pmod(number, F.lit(bits)).alias("_at"), "item")
+        others = baskets.lists.where(F.col("place").isNull())
+        if not others.isEmpty():
+            # baskets of several rows have blocks of their own, below zero
+            others = _placed(baskets, codes, others.select(*baskets.keys, F.explode("item").alias("item")), bits)
+            rows = rows.unionByName(others.withColumn("block", -1 - F.col("block")))
+    word, bit = F.floor(F.col("_at") / 64), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_at", F.lit(64)).cast("int"))
+    rows = rows.select("block", "item", word.cast("int").alias("_word"), bit.alias("_bit"))
+    columns = [F.bit_or(F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("bigint"))).alias(f"w{w}") for w in range(words)]
+    return baskets.store(rows.groupBy("block", "item").agg(*columns))
+
+
+def _placed(baskets: BasketSet, codes: ItemCodes, items: DataFrame, bits: int) -> DataFrame:
+    """``(block bigint, _at bigint, item int)`` of the coded ``items``: baskets numbered by
+    windows over hashes of their keys."""
+    keys = list(baskets.keys)
+    present = baskets.store(codes.coded(items, keys))
     parts = max(1, -(-baskets.n_baskets // (bits * BLOCKS_PER_NUMBERING)))
     part = F.pmod(F.xxhash64(*keys), F.lit(parts))
     row = F.row_number().over(W.partitionBy("_part").orderBy(*keys)) - 1
     places = present.select(*keys).distinct().withColumn("_part", part).withColumn("_row", row)
     block = F.col("_part") + F.floor(F.col("_row") / bits) * parts
-    word, bit = F.floor(F.pmod("_row", F.lit(bits)) / 64), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_row", F.lit(64)))
-    places = places.select(*keys, block.alias("block"), word.cast("int").alias("_word"), bit.alias("_bit"))
-    columns = [F.bit_or(F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("bigint"))).alias(f"w{w}") for w in range(words)]
-    return baskets.store(present.join(places, keys).groupBy("block", "item").agg(*columns))
+    places = places.select(*keys, block.alias("block"), F.pmod("_row", F.lit(bits)).cast("bigint").alias("_at"))
+    return present.join(places, keys).select("block", "_at", "item")
 
 
 def vertical_pair_support(baskets: BasketSet, codes: ItemCodes, min_support: int | None = None,

@@ -5,6 +5,9 @@ Plan shape (all native Spark, no Python workers):
 1. ``prepare_baskets``: ``(basket keys, item)`` rows are de-duplicated by a
    distributed aggregate and written once to the shared checkpoint folder,
    as the reference writes its basket file once and reads it in two passes.
+   Baskets that come as one array of items a row lose repeats within the row,
+   without a shuffle of their items; only baskets of several rows are
+   de-duplicated by the aggregate.
    Basket sizes are counted in one job that also measures the pair volume;
    the (normally empty) list of *heavy* baskets, those with more than
    ``max_items`` distinct items, is broadcast only when that count is within
@@ -43,6 +46,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.functions.pairs import (
     bitmap_bytes,
@@ -81,6 +85,7 @@ class BasketSet:
     keys: tuple[str, ...]
     attrs: tuple[str, ...]
     max_items: int
+    lists: DataFrame | None = None  # stored arrays of items, see ``_stored_lists``
     heavy: DataFrame | None = None
     heavy_chunks: int = 0  # chunks of all heavy baskets
     heavy_cells: int = 0  # (lo, hi) chunk pairs of all heavy baskets
@@ -154,6 +159,8 @@ def prepare_baskets(
 ) -> BasketSet:
     """Build a ``BasketSet`` from rows ``(keys..., attrs..., item)``.
 
+    ``item`` may be an array: its entries are items of the row's basket, and a
+    null or empty array is a basket without items. Such rows are always stored.
     Rows with a null key are dropped (a null key is not a basket). A null item
     is no item, but its basket counts in ``n_baskets``. ``collapse_copies=False``
     states that few baskets are copies of one another: pairs are then
@@ -168,12 +175,18 @@ def prepare_baskets(
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    rows = basket_items.where(not_null).select(*cols, F.col(item).alias("item")).distinct()
+    rows = basket_items.where(not_null).select(*cols, F.col(item).alias("item"))
     baskets = BasketSet(rows, keys, attrs, max_items, collapse_copies=collapse_copies)
-    if materialize_items:
-        rows = baskets.store(rows)
-    baskets.items = rows.where(F.col("item").isNotNull())
-    sizes = rows.groupBy(*keys).agg(F.count("item").alias("_n"))
+    if isinstance(rows.schema["item"].dataType, T.ArrayType):
+        baskets.lists = _stored_lists(baskets, rows)
+        baskets.items = baskets.lists.select(*cols, F.explode("item").alias("item"))
+        sizes = baskets.lists.groupBy(*keys).agg(F.sum(F.size("item")).alias("_n"))
+    else:
+        rows = rows.distinct()
+        if materialize_items:
+            rows = baskets.store(rows)
+        baskets.items = rows.where(F.col("item").isNotNull())
+        sizes = rows.groupBy(*keys).agg(F.count("item").alias("_n"))
     n = F.col("_n").cast("bigint")
     is_heavy = F.col("_n") > max_items
     chunks = F.ceil(n / F.lit(max_items))
@@ -196,6 +209,26 @@ def prepare_baskets(
     return baskets
 
 
+def _stored_lists(baskets: BasketSet, rows: DataFrame) -> DataFrame:
+    """``(keys..., attrs..., item array, place bigint)``, stored: every item of a basket once.
+
+    A basket of one row keeps its row, with a ``place`` that numbers such rows
+    within their partition (see ``coded.numbered``). A basket of several rows
+    has a row for each of its items, however many these are, and no place."""
+    keys, cols, kind = list(baskets.keys), baskets.columns, rows.schema["item"].dataType
+    none, place = F.array().cast(kind), F.monotonically_increasing_id().alias("place")
+    items = F.coalesce(F.array_compact(F.array_distinct("item")), none).alias("item")
+    stored = baskets.store(rows.select(*cols, items, place))
+    several = baskets.store(stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(*keys))
+    if several.isEmpty():
+        return stored
+    several, _ = broadcast_checked(several)
+    once = stored.join(several, keys, "left_anti").select(*cols, "item", place)
+    merged = stored.join(several, keys, "left_semi").select(*cols, F.explode_outer("item").alias("item")).distinct()
+    one = F.when(F.col("item").isNull(), none).otherwise(F.array("item")).alias("item")
+    return baskets.store(once.unionByName(merged.select(*cols, one, F.lit(None).cast("bigint").alias("place"))))
+
+
 def tasks_for(pairs: int) -> int:
     """Tasks that so many pairs are spread over."""
     return max(1, -(-pairs // PAIRS_PER_TASK))

@@ -242,7 +242,7 @@ def q_pcy_pruning(spark, sf):
 def q_document_word_pairs(spark, sf):
     """Pairs of frequent words of whole documents: few items in many long baskets, so
     pairs are counted by bitmaps over blocks of documents."""
-    baskets = prepare_baskets(tables.document_words(spark, sf), keys=("doc_id",))
+    baskets = prepare_baskets(tables.document_words(spark, sf, lists=True), keys=("doc_id",))
     least = _share(baskets, WORD_SUPPORT_PERCENT, 100)
     return frequent_pairs_by_codes(baskets, least, bitmaps=True)
 

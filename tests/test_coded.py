@@ -71,6 +71,75 @@ def test_bitmaps_over_many_blocks_and_lanes(spark, monkeypatch):
         cd.item_bitmaps(bs, codes, 0)
 
 
+LISTS = "basket long, item array<string>"
+
+
+def test_arrays_of_items_are_baskets(spark, monkeypatch):
+    """Repeats and nulls in arrays, null arrays and keys, baskets of one row and of several."""
+    rng = random.Random(11)
+    sets = random_sets(12, 150, 20, 9)
+    rows = [(k, [*s, *rng.sample(sorted(s), len(s) // 2), None]) for k, s in enumerate(sets)]
+    rows += [(1000, None), (1001, []), (None, ["a", "b"]), (1002, None), (1002, ["hot", "x"]), (1003, []), (1003, None)]
+    several = {k: set(sets[k]) for k in range(0, 60, 2)} | {1002: {"hot", "x"}}
+    for k in range(0, 60, 2):
+        more = rng.choice(sets)
+        rows.append((k, sorted(more)))
+        several[k] |= more
+    want = [several.get(k, s) for k, s in enumerate(sets)] + [several[1002]]
+    monkeypatch.setattr(P, "PAIRS_PER_TASK", 2000)
+    monkeypatch.setattr(cd, "BLOCKS_PER_NUMBERING", 1)
+    bs = P.prepare_baskets(spark.createDataFrame(rows, LISTS).repartition(5), keys=KEYS, max_items=6)
+    flat = P.prepare_baskets(spark.createDataFrame(rows, LISTS).selectExpr("basket", "explode_outer(item) item"), keys=KEYS, max_items=6)
+    assert (bs.n_baskets, bs.light_pairs, bs.heavy_cells) == (flat.n_baskets, flat.light_pairs, flat.heavy_cells)
+    assert bs.n_baskets == len(sets) + 4
+    assert sorted(map(tuple, bs.items.collect())) == sorted(map(tuple, flat.items.collect()))
+    assert sorted(map(tuple, bs.support().collect())) == sorted(map(tuple, flat.support().collect()))
+    codes = cd.item_codes(bs, bs.support())
+    assert got(cd.coded_pair_support(bs, codes)) == brute_pair_support(want)
+    assert got(cd.vertical_pair_support(bs, codes, words=1)) == brute_pair_support(want)
+    assert got(cd.frequent_pairs_by_codes(bs, 4, bitmaps=True, words=3)) == {p: n for p, n in brute_pair_support(want).items() if n >= 4}
+
+
+def test_arrays_fill_their_blocks(spark):
+    """Numbers run on over the stored partitions, so that small ones share a block."""
+    rows = [(k, ["a", f"b{k % 3}"]) for k in range(130)]
+    bs = P.prepare_baskets(spark.createDataFrame(rows, LISTS).repartition(7), keys=KEYS)
+    maps = cd.item_bitmaps(bs, cd.item_codes(bs, bs.support()), 1)
+    assert sorted((r.block, r.n) for r in maps.where("item = 0").select("block", F.bit_count("w0").alias("n")).collect()) == [(0, 64), (1, 64), (2, 2)]
+    for rows in ([], [(1, None)], [(1, ["a"]), (1, ["a"])], [(1, ["a", None]), (2, [])]):
+        bs = P.prepare_baskets(spark.createDataFrame(rows, LISTS), keys=KEYS)
+        assert got(cd.frequent_pairs_by_codes(bs, 1, bitmaps=True)) == {} and bs.n_baskets == len({k for k, _ in rows})
+
+
+def test_words_of_documents_are_not_shuffled(spark, monkeypatch):
+    """Documents lose repeated words row by row: nothing stored deals out (document, word) rows."""
+    from basketry.plans.catalog import QUERIES
+
+    plans, store = [], P.materialize_with_folder
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(P, "materialize_with_folder", seen)
+    QUERIES["document_word_pairs"](spark, "/root/testdata/sf0.001")
+    assert len(plans) > 4
+    assert not any(re.search(r"hashpartitioning\(doc_id#\d+L, item#", plan) or "Window" in plan and "doc_id" in plan for plan in plans)
+
+
+def test_document_words_as_arrays(spark, tmp_path):
+    rows = [(1, "a b\ta\n\n c"), (2, None), (3, ""), (4, " \r\f"), (1, "b"), (None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    from basketry.sources.tables import document_words
+
+    key = lambda r: (str(r[0]), str(r[1]))
+    lists = document_words(spark, str(tmp_path), lists=True)
+    assert sorted(map(tuple, lists.collect()), key=key) == sorted(
+        [(1, ["a", "b", "a", "c"]), (2, None), (3, []), (4, []), (1, ["b"]), (None, ["x"])], key=key)
+    flat = lists.select("doc_id", F.explode_outer("item").alias("item"))
+    assert sorted(map(tuple, document_words(spark, str(tmp_path)).collect()), key=key) == sorted(map(tuple, flat.collect()), key=key)
+
+
 def test_beyond_the_broadcast_bounds(spark):
     sets = random_sets(6, 80, 20, 8)
     bs = made(spark, sets)
